@@ -111,77 +111,63 @@ def bucket_number(value: Column, cuts: Column) -> Column:
     return F.size(F.filter(cuts, lambda cut: cut <= value))
 
 
-def boundary_key(df: DataFrame, value: str, tie: str, share: float, from_top: bool) -> DataFrame:
+def boundary_key(df: DataFrame, value: str, tie: str, share: float, from_top: bool) -> dict | None:
     """The row key at which ``row_number / count`` crosses ``share``.
 
     Rows are ordered by ``(value, md5(tie), tie)``.  With ``from_top`` the first
     key whose ratio reaches ``share`` is returned, else the last one that does
-    not exceed it; as one row with a single struct column ``key``.
+    not exceed it; None when there is none.
 
-    Three narrowing steps, each an ordinary aggregate: find the value, then the
-    md5 prefix among rows with that value, then the key inside that prefix.
+    Three narrowing jobs, each an aggregate that returns one row: the value,
+    then the md5 prefix among rows with that value (at most 65,536 prefixes),
+    then the key inside that prefix.
     """
     rows = df.select(
-        F.col(value).cast("double").alias("v"),
-        F.col(tie).alias("t"),
-        F.md5(F.col(tie)).alias("h"),
+        F.col(value).cast("double").alias("v"), F.col(tie).alias("t"), F.md5(tie).alias("h")
     )
-    n_all = df.agg(F.count(F.lit(1))).scalar()
 
-    def pick(candidates, order, before):
-        """Candidate holding the crossing, with the number of rows before it."""
-        first = (before + 1) / n_all
-        last = (before + F.col("n_rows")) / n_all
-        inside = (last >= share) if from_top else (first <= share)
+    def crossing(counted, order, before, total):
+        """Candidate holding the crossing, as ``(order value, rows before it)``."""
+        first = (before + 1) / total
+        last = (before + F.col("n_rows")) / total
+        inside = counted.filter((last >= share) if from_top else (first <= share))
         choose = F.min_by if from_top else F.max_by
-        entry = F.struct(F.col(order).alias("at"), before.alias("n"), F.lit(1).alias("any"))
-        rank = F.struct(F.col(order).isNotNull().alias("k"), F.col(order).alias("o"))
-        return candidates.filter(inside).agg(choose(entry, rank).alias("hit"))
-
-    values = value_ranks(rows, "v")
-    by_value = pick(values, "v", F.col("n_before"))
-
-    same_value = rows.filter(F.col("v").eqNullSafe(by_value.select("hit.at").scalar()))
-    prefixes = same_value.groupBy(F.substring("h", 1, 4).alias("p")).agg(
-        F.count(F.lit(1)).alias("n_rows")
-    )
-    running = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prefixes = prefixes.withColumn(
-        "n_before", F.sum("n_rows").over(running) - F.col("n_rows")
-    )
-    by_prefix = pick(prefixes, "p", F.col("n_before") + by_value.select("hit.n").scalar())
-
-    same_prefix = same_value.filter(
-        F.substring("h", 1, 4) == by_prefix.select("hit.at").scalar()
-    )
-    keys = same_prefix.groupBy("h", "t").agg(F.count(F.lit(1)).alias("n_rows"))
-    running = Window.orderBy("h", "t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    keys = keys.select(
-        F.struct("h", "t").alias("k"),
-        "n_rows",
-        (F.sum("n_rows").over(running) - F.col("n_rows")).alias("n_before"),
-    )
-    by_key = pick(keys, "k", F.col("n_before") + by_prefix.select("hit.n").scalar())
-    return by_key.select(
-        F.when(
-            F.col("hit.any") == 1,
-            F.struct(
-                by_value.select("hit.at").scalar().alias("v"),
-                F.col("hit.at.h").alias("h"),
-                F.col("hit.at.t").alias("t"),
-            ),
-        ).alias("key")
-    )
-
-
-def at_or_after(value: Column, tie: Column, key: Column, reverse=False) -> Column:
-    """Is the row's ``(value, md5(tie), tie)`` at or beyond ``key``?"""
-
-    def sortable(v, t, h):
-        # a plain tuple of non-null parts, NULL value first
-        return F.struct(v.isNotNull().alias("a"), F.coalesce(v, F.lit(0.0)).alias("b"), h, t)
-
-    mine = sortable(value.cast("double"), tie.alias("t"), F.md5(tie).alias("h"))
-    theirs = sortable(key["v"], key["t"].alias("t"), key["h"].alias("h"))
-    inside = (mine <= theirs) if reverse else (mine >= theirs)
-    return key.isNotNull() & inside
+        rank = F.struct(F.col(order).isNotNull().alias("known"), F.col(order).alias("at"))
+        found = F.struct(F.col(order).alias("at"), before.alias("before"), total.alias("total"))
+        return inside.agg(choose(found, rank).alias("found")).first()["found"]
+
+    def running(counted, *order):
+        so_far = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return counted.withColumn("n_before", F.sum("n_rows").over(so_far) - F.col("n_rows"))
+
+    at_value = crossing(value_ranks(rows, "v"), "v", F.col("n_before"), F.col("n_total"))
+    if at_value is None:
+        return None
+    total = F.lit(at_value["total"])
+    rows = rows.filter(F.col("v").eqNullSafe(F.lit(at_value["at"]).cast("double")))
+    n_rows = F.count(F.lit(1)).alias("n_rows")
+
+    prefix = F.substring("h", 1, 4)
+    by_prefix = running(rows.groupBy(prefix.alias("p")).agg(n_rows), "p")
+    at_prefix = crossing(by_prefix, "p", F.lit(at_value["before"]) + F.col("n_before"), total)
+
+    inside = rows.filter(prefix == at_prefix["at"])
+    by_key = running(inside.groupBy(F.struct("h", "t").alias("key")).agg(n_rows), "key")
+    at_key = crossing(by_key, "key", F.lit(at_prefix["before"]) + F.col("n_before"), total)
+    return {"v": at_value["at"], "h": at_key["at"]["h"], "t": at_key["at"]["t"]}
+
+
+def beyond(value: Column, tie: Column, key: dict | None, from_top: bool) -> Column:
+    """Does the row's ``(value, md5(tie), tie)`` lie at the key or on its far side?"""
+    if key is None:
+        return F.lit(False)
+
+    def sortable(v, h, t):
+        # plain tuples of non-null parts, NULL value first
+        return F.struct(
+            v.isNotNull().alias("known"), F.coalesce(v, F.lit(0.0)).alias("v"), h.alias("h"), t.alias("t")
+        )
+
+    row = sortable(value.cast("double"), F.md5(tie), tie)
+    edge = sortable(F.lit(key["v"]).cast("double"), F.lit(key["h"]), F.lit(key["t"]))
+    return (row >= edge) if from_top else (row <= edge)

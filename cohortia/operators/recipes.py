@@ -23,7 +23,7 @@ from cohortia import schemas
 from cohortia.errors import InvalidDefinition
 from cohortia.functions.aspects import all_of, any_of, aspect_value
 from cohortia.operators import requirements as req
-from cohortia.operators.ranking import at_or_after, boundary_key
+from cohortia.operators.ranking import beyond, boundary_key
 
 ID = "xid"
 DIRECTIONS = ("greater_than", "less_than")
@@ -257,9 +257,9 @@ class MatchesPercentage(TargetClass):
         from_top = self.direction == "greater_than"
         key = boundary_key(
             targets.filter(matched), self.value_col, ID, self.percentage, from_top
-        ).scalar()
-        beyond = at_or_after(F.col(self.value_col), F.col(ID), key, reverse=not from_top)
-        return Membership(row=matched & beyond)
+        )
+        far_side = beyond(F.col(self.value_col), F.col(ID), key, from_top)
+        return Membership(row=matched & far_side)
 
 
 @dataclass

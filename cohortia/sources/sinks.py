@@ -47,7 +47,7 @@ def replace_targets(targets: DataFrame, uri: str, replaced: DataFrame) -> bool:
         replaced.distinct(), replaced.columns, "left_semi"
     ).collect()
     written = Observation()
-    key = F.to_json(F.struct(*[F.col(k).cast("string") for k in TARGET_KEYS]))
+    key = F.to_json(F.struct(*[F.col(k).cast("string").alias(k) for k in TARGET_KEYS]))
     rows = targets.select(*schemas.TARGETS.names).observe(
         written, F.array_join(F.collect_set(key), "\n").alias("keys")
     )
