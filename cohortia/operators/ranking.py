@@ -106,9 +106,10 @@ def quantile_cuts(df: DataFrame, value: str, buckets: int, by=()) -> DataFrame:
     return ranks.groupBy(*by).agg(cuts)
 
 
-def bucket_number(value: Column, cuts: Column) -> Column:
-    """How many cuts lie at or below the value: its half-open bucket, from 0."""
-    return F.size(F.filter(cuts, lambda cut: cut <= value))
+def bucket_number(value: Column, cuts: Column, buckets: int) -> Column:
+    """How many of the cuts lie at or below the value: its half-open bucket, from 0."""
+    passed = [F.when(F.get(cuts, F.lit(i)) <= value, 1).otherwise(0) for i in range(buckets - 1)]
+    return sum(passed[1:], passed[0])
 
 
 def boundary_key(df: DataFrame, value: str, tie: str, share: float, from_top: bool) -> dict | None:
@@ -171,3 +172,40 @@ def beyond(value: Column, tie: Column, key: dict | None, from_top: bool) -> Colu
     row = sortable(value.cast("double"), F.md5(tie), tie)
     edge = sortable(F.lit(key["v"]).cast("double"), F.lit(key["h"]), F.lit(key["t"]))
     return (row >= edge) if from_top else (row <= edge)
+
+
+def row_shares(df: DataFrame, value: str, tie: str) -> DataFrame:
+    """``row_number / count`` of rows ordered by ``(value, md5(tie), tie)``.
+
+    One row per distinct ``(value, tie)`` with the shares of its first and last
+    copy.  Ties on the value are spread over md5 prefixes, so neither a hot
+    value nor a hot user is ranked in a single task.
+    """
+    keys = [F.col(value).cast("double").alias("v"), F.col(tie).alias("t")]
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    counts = counts.withColumns({"h": F.md5("t"), "p": F.substring(F.md5("t"), 1, 4)})
+    values = value_ranks(df.select(keys[0]), "v").select(
+        F.col("v").alias("w"), F.col("n_before").alias("_below"), "n_total"
+    )
+
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    prefixes = counts.groupBy("v", "p").agg(F.sum("n_rows").alias("_in_prefix"))
+    by_prefix = Window.partitionBy("v").orderBy("p").rowsBetween(*so_far)  # at most 65,536 rows
+    prefixes = prefixes.select(
+        F.col("v").alias("w2"),
+        F.col("p").alias("p2"),
+        (F.sum("_in_prefix").over(by_prefix) - F.col("_in_prefix")).alias("_earlier"),
+    )
+    within = Window.partitionBy("v", "p").orderBy("h", "t").rowsBetween(*so_far)
+    last = F.col("_below") + F.col("_earlier") + F.sum("n_rows").over(within)
+    return (
+        counts.join(prefixes, F.col("v").eqNullSafe(F.col("w2")) & (F.col("p") == F.col("p2")))
+        .join(values, F.col("v").eqNullSafe(F.col("w")))
+        .select(
+            F.col("v").alias(value),
+            F.col("t").alias(tie),
+            "n_rows",
+            ((last - F.col("n_rows") + 1) / F.col("n_total")).alias("first_share"),
+            (last / F.col("n_total")).alias("last_share"),
+        )
+    )

@@ -358,17 +358,21 @@ class Dataset:
         return label, None if needs_all else any_of(useful)
 
 
+def compiled_labels(targets: DataFrame, compiled: dict[str, tuple]) -> DataFrame:
+    """Label columns from the ``Dataset.user_label`` of each name, in one pass."""
+    filters = [row_filter for _, row_filter in compiled.values()]
+    if all(row_filter is not None for row_filter in filters):
+        targets = targets.filter(any_of(filters))
+    labels = targets.groupBy(ID).agg(*[label.alias(name) for name, (label, _) in compiled.items()])
+    return labels.filter(any_of([F.col(f"`{name}`").isNotNull() for name in compiled]))
+
+
 def label_users(targets: DataFrame, datasets: dict[str, Dataset]) -> DataFrame:
     """``xid`` and one label column per data set, all from one pass.
 
     Users that no data set labels are left out.
     """
-    compiled = {name: data.user_label(targets) for name, data in datasets.items()}
-    filters = [row_filter for _, row_filter in compiled.values()]
-    if all(row_filter is not None for row_filter in filters):
-        targets = targets.filter(any_of(filters))
-    labels = targets.groupBy(ID).agg(*[label.alias(name) for name, (label, _) in compiled.items()])
-    return labels.filter(any_of([F.col(f"`{name}`").isNotNull() for name in datasets]))
+    return compiled_labels(targets, {name: d.user_label(targets) for name, d in datasets.items()})
 
 
 def label_one(targets: DataFrame, dataset: Dataset, name="target") -> DataFrame:

@@ -31,7 +31,7 @@ def with_decile(scores: DataFrame, value="temp_score", by=(), cuts=None) -> Data
         column = F.col("cuts")
     else:
         column = cuts.select("cuts").scalar()
-    number = bucket_number(F.col(value), column)
+    number = bucket_number(F.col(value), column, BUCKETS)
     return scores.withColumn("decile", (F.lit(BUCKETS) - number).cast("int")).drop("cuts")
 
 

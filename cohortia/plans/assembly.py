@@ -5,11 +5,11 @@ from __future__ import annotations
 import datetime
 import traceback as tb
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortia.functions.ids import unit_hash
-from cohortia.operators.recipes import ID, label_users
+from cohortia.operators.recipes import ID, compiled_labels
 from cohortia.plans.workflow import Workflow
 from cohortia.session import staged
 from cohortia.sources import sinks
@@ -70,18 +70,16 @@ def assemble(features: DataFrame, targets: DataFrame, workflows: list[Workflow],
         trace = "".join(tb.format_exception(fault))
         problems[workflow.id] = (status, fault, trace)
 
-    usable = {}
+    usable, compiled = {}, {}
     for position, workflow in enumerate(workflows):
         try:
-            workflow.dataset.user_label(targets)
+            compiled[_label(position)] = workflow.dataset.user_label(targets)
             usable[_label(position)] = workflow
         except Exception as fault:
             failed(workflow, "failed_on_load_target", fault)
 
     if usable:
-        labels = staged(
-            label_users(targets, {name: w.dataset for name, w in usable.items()}), "labels"
-        )
+        labels = staged(compiled_labels(targets, compiled), "labels")
         before = label_counts(labels, list(usable))
         for name, workflow in list(usable.items()):
             try:
@@ -104,21 +102,13 @@ def assemble(features: DataFrame, targets: DataFrame, workflows: list[Workflow],
                 usable.pop(name)
 
     if usable:
-        # class sizes are counted while writing, not by another pass
-        sizes = Observation()
-        measures = [
-            F.count_if((F.col("workflow_id") == w.id) & (F.col("target") == label)).alias(
-                f"{w.id}|{w.dataset.requirements.name(label)}"
-            )
-            for name, w in usable.items()
-            for label in joined[name]
-        ]
-        rows = training_rows(features, labels, kept).observe(sizes, *measures)
         try:
-            sinks.write_training_sets(rows, uri)
-            for key, n in sizes.get.items():
-                workflow_id, label = key.rsplit("|", 1)
-                stats[workflow_id][f"final_{label}s"] = n
+            sinks.write_training_sets(training_rows(features, labels, kept), uri)
+            written = spark.read.parquet(uri).filter(F.col("workflow_id").isin(list(kept)))
+            for row in written.groupBy("workflow_id", "target").count().collect():
+                workflow = next(w for w in usable.values() if w.id == str(row["workflow_id"]))
+                name = workflow.dataset.requirements.name(row["target"])
+                stats[workflow.id][f"final_{name}s"] = row["count"]
         except Exception as fault:
             for workflow in usable.values():
                 failed(workflow, "failed_on_join_or_write", fault)

@@ -27,6 +27,9 @@ def delete(spark: SparkSession, uri: str) -> None:
         fs.delete(path, True)
 
 
+ANY = object()  # partition value that matches everything
+
+
 # Characters Spark escapes in partition folder names.
 _ESCAPED = "\"#%'*/:=?\\\x7f{[]^"
 
@@ -39,9 +42,17 @@ def _escape(value) -> str:
     )
 
 
-def partition_path(base: str, **keys) -> str:
-    """Folder of one partition; ``keys`` in the table's partition order."""
-    return "/".join([base.rstrip("/"), *[f"{k}={_escape(v)}" for k, v in keys.items()]])
+def partition_pattern(base: str, keys: dict) -> str:
+    """Glob for the partitions with the given keys, in the table's partition order."""
+    parts = [f"{name}=*" if value is ANY else f"{name}={_escape(value)}" for name, value in keys.items()]
+    return "/".join([base.rstrip("/"), *parts])
+
+
+def matching_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders that match a glob, none when there are none."""
+    fs, path = _fs(spark, pattern)
+    found = fs.globStatus(path)
+    return sorted(status.getPath().toString() for status in found or [])
 
 
 def partitions(spark: SparkSession, base: str, columns: list[str], schema) -> DataFrame | None:

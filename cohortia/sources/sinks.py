@@ -9,7 +9,7 @@ in parallel.
 import datetime
 import json
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortia import schemas
@@ -36,28 +36,29 @@ def overwrite_partitions(df: DataFrame, uri: str, keys: list[str]) -> None:
 def replace_targets(targets: DataFrame, uri: str, replaced: DataFrame) -> bool:
     """Write targets, replacing whole partitions listed in ``replaced``.
 
-    ``replaced`` holds partition keys (``vendor, source, date`` or those and
-    ``group``).  Stored partitions it covers that get no new rows are dropped,
-    after the new ones are in place.  Nothing is touched when there are no rows.
+    ``replaced`` holds partition keys, a subset of ``TARGET_KEYS``.  Covered
+    partitions that got no new rows still hold their old files after the write
+    and are then dropped; False, and nothing dropped, when there were no rows.
     """
     spark = targets.sparkSession
-    stored = files.partitions(spark, uri, TARGET_KEYS, schemas.TARGETS)
-    # both sides below are partition keys: table metadata, not rows
-    covered = [] if stored is None else stored.join(
-        replaced.distinct(), replaced.columns, "left_semi"
-    ).collect()
-    written = Observation()
-    key = F.to_json(F.struct(*[F.col(k).cast("string").alias(k) for k in TARGET_KEYS]))
-    rows = targets.select(*schemas.TARGETS.names).observe(
-        written, F.array_join(F.collect_set(key), "\n").alias("keys")
-    )
-    overwrite_partitions(rows, uri, TARGET_KEYS)
-    fresh = {tuple(json.loads(k).get(c) for c in TARGET_KEYS) for k in written.get["keys"].split("\n") if k}
-    if not fresh:
+    # partition keys and file names only: table metadata, not rows
+    patterns = [
+        files.partition_pattern(uri, {k: row.get(k, files.ANY) for k in TARGET_KEYS})
+        for row in (r.asDict() for r in replaced.distinct().collect())
+    ]
+
+    def held() -> dict[str, list[str]]:
+        paths = {path for pattern in patterns for path in files.matching_folders(spark, pattern)}
+        return {path: files.list_names(spark, path) for path in paths}
+
+    before = held()
+    overwrite_partitions(targets.select(*schemas.TARGETS.names), uri, TARGET_KEYS)
+    after = held()
+    if before == after:
         return False
-    for row in covered:
-        if tuple(None if row[c] is None else str(row[c]) for c in TARGET_KEYS) not in fresh:
-            files.delete(spark, files.partition_path(uri, **{c: row[c] for c in TARGET_KEYS}))
+    for path, names in before.items():
+        if after.get(path) == names:
+            files.delete(spark, path)
     return True
 
 
