@@ -12,4 +12,4 @@ def registry() -> dict:
     return dict(views.REGISTRY)
 
 
-MODULES = ["scans", "labels", "joins", "shapes", "models"]
+MODULES = ["scans", "labels", "joins", "shapes", "models", "stages"]

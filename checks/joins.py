@@ -211,14 +211,14 @@ def _(spark, sf):
     return rows.select("workflow_id", "stage", "status", "enabled", "trait_id", "name")
 
 
-HISTORY_DAY = datetime.date(1997, 5, 28)
+HISTORY_DAY = datetime.date(1998, 3, 6)
 
 
 @query("e17_unlaunched", """
 SELECT id AS workflow_id, trait_id, description FROM v_workflow
-WHERE enabled AND weekday = dayofweek(DATE '1997-05-28')
-  AND EXISTS (SELECT 1 FROM v_history WHERE arg_date = DATE '1997-05-28')
-  AND id NOT IN (SELECT workflow_id FROM v_history WHERE arg_date = DATE '1997-05-28' AND stage = 'training')""")
+WHERE enabled AND weekday = dayofweek(DATE '1998-03-06')
+  AND EXISTS (SELECT 1 FROM v_history WHERE arg_date = DATE '1998-03-06')
+  AND id NOT IN (SELECT workflow_id FROM v_history WHERE arg_date = DATE '1998-03-06' AND stage = 'training')""")
 def _(spark, sf):
     return reports.unlaunched(v.v_history(spark, sf), v.v_workflow(spark, sf), "training", HISTORY_DAY)
 
@@ -299,9 +299,9 @@ def _(spark, sf):
 @query("f13_status_counts", """
 WITH latest AS (SELECT status FROM (SELECT h.*, row_number() OVER (PARTITION BY workflow_id ORDER BY execution_date DESC) AS rn
   FROM v_history h JOIN v_workflow w ON h.workflow_id = w.id
-  WHERE w.enabled AND h.arg_date = DATE '1997-05-28' AND h.stage = 'scoring') WHERE rn = 1),
-unlaunched AS (SELECT id FROM v_workflow WHERE enabled AND EXISTS (SELECT 1 FROM v_history WHERE arg_date = DATE '1997-05-28')
-  AND id NOT IN (SELECT workflow_id FROM v_history WHERE arg_date = DATE '1997-05-28' AND stage = 'scoring'))
+  WHERE w.enabled AND h.arg_date = DATE '1998-03-06' AND h.stage = 'scoring') WHERE rn = 1),
+unlaunched AS (SELECT id FROM v_workflow WHERE enabled AND EXISTS (SELECT 1 FROM v_history WHERE arg_date = DATE '1998-03-06')
+  AND id NOT IN (SELECT workflow_id FROM v_history WHERE arg_date = DATE '1998-03-06' AND stage = 'scoring'))
 SELECT status, count(*) AS n FROM latest GROUP BY status
 UNION ALL SELECT 'num_launched', count(*) FROM latest
 UNION ALL SELECT 'num_workflows', count(*) FROM v_workflow WHERE enabled
@@ -399,7 +399,7 @@ def _(spark, sf):
 @query("g10_latest_enabled", """
 SELECT workflow_id, status FROM (SELECT h.*, row_number() OVER (PARTITION BY workflow_id ORDER BY execution_date DESC) AS rn
   FROM v_history h JOIN v_workflow w ON h.workflow_id = w.id
-  WHERE w.enabled AND h.arg_date = DATE '1997-05-28' AND h.stage = 'scoring') WHERE rn = 1""")
+  WHERE w.enabled AND h.arg_date = DATE '1998-03-06' AND h.stage = 'scoring') WHERE rn = 1""")
 def _(spark, sf):
     rows = reports.latest_runs(v.v_history(spark, sf), v.v_workflow(spark, sf), "scoring", HISTORY_DAY)
     return rows.select("workflow_id", "status")

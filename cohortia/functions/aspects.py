@@ -6,9 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def aspect(pairs: dict[str, str | Column] | None = None) -> Column:
-    """JSON object text from ``{name: column}``; no pairs gives ``{}``."""
-    entries = [item for name, value in (pairs or {}).items() for item in (F.lit(name), value)]
+def aspect(pairs: dict[str, str | Column] | None = None, as_text=False) -> Column:
+    """JSON object text from ``{name: column}``; no pairs gives ``{}``.
+
+    All values of one map have one type.  ``as_text`` states that it is text,
+    for columns of several types; ANSI coercion would try numbers instead.
+    """
+    entries = []
+    for name, value in (pairs or {}).items():
+        column = F.col(value) if isinstance(value, str) else value
+        entries += [F.lit(name), column.cast("string") if as_text else column]
     return F.to_json(F.create_map(*entries))
 
 

@@ -173,7 +173,7 @@ class AdEvents(VendorTargets):
             "xid": F.col("custom_targeting")["vnd_4d_xid"],
             "date": F.lit(self.date),
             "group": F.col("order_id"),
-            "aspect": aspect(self.details),
+            "aspect": aspect(self.details, as_text=True),
             "value": F.lit(PRESENT),
         }
 
