@@ -213,7 +213,7 @@ def _(spark, sf):
 
 
 @query("m18_passthrough_scores", """
-SELECT DISTINCT xid, 1 AS score, 1 AS decile, '2024-01-08' AS date, 77 AS tid FROM v_targets
+SELECT DISTINCT xid, CAST(1 AS DOUBLE) AS score, 1 AS decile, '2024-01-08' AS date, 77 AS tid FROM v_targets
 WHERE vendor = 'dfp' AND date = DATE '2024-01-08' AND "group" = 'g3'""")
 def _(spark, sf):
     return scoring.passthrough_scores(

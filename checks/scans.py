@@ -331,7 +331,7 @@ def _(spark, sf):
 
 
 @query("b06_write_training_sets", """
-SELECT workflow_id, count(*) AS n, sum(target) AS positives, round(sum(feature_3), 4) AS total
+SELECT workflow_id, count(*) AS n, CAST(sum(target) AS BIGINT) AS positives, round(sum(feature_3), 4) AS total
 FROM (SELECT 'w' || target AS workflow_id, * FROM v_training) GROUP BY workflow_id""")
 def _(spark, sf):
     path = scratch(spark, "sets")

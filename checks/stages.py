@@ -29,7 +29,7 @@ def segment_run(spark, sf):
 
 @query("m01_segment_targets", f"""
 WITH {BRIDGE_SQL} SELECT b.xid, CAST(b.day AS VARCHAR) AS date, 'adobe' AS vendor, 'mcid' AS source,
-  CAST(b.segment_id AS VARCHAR) AS "group", '{{"name":"' || a.segment_name || '"}}' AS aspect, 1 AS value
+  CAST(b.segment_id AS VARCHAR) AS "group", '{{"name":"' || a.segment_name || '"}}' AS aspect, CAST(1 AS DOUBLE) AS value
 FROM bridged b JOIN active a USING (segment_id)""")
 def _(spark, sf):
     return segment_run(spark, sf)[1]
@@ -143,7 +143,7 @@ def resolved_vendor(kind, spark, sf):
 
 
 GENDER = """SELECT DISTINCT r.xid, '2024-01-03' AS date, 'cds' AS vendor, '{source}' AS source, '{group}' AS "group",
-  '{{"{key}":"' || c.{column} || '"}}' AS aspect, 1 AS value
+  '{{"{key}":"' || c.{column} || '"}}' AS aspect, CAST(1 AS DOUBLE) AS value
 FROM resolved r JOIN v_crm c USING (universal_id) WHERE r.date = DATE '2024-01-03'"""
 
 
@@ -163,7 +163,7 @@ def _(spark, sf):
 
 AD_DAY = datetime.date(2024, 1, 5)
 AD_SQL = """SELECT xid, '2024-01-05' AS date, 'dfp' AS vendor, '{source}' AS source, CAST(order_id AS VARCHAR) AS "group",
-  {aspect} AS aspect, 1 AS value FROM v_ad_events
+  {aspect} AS aspect, CAST(1 AS DOUBLE) AS value FROM v_ad_events
 WHERE dt = DATE '2024-01-05' AND order_id IN (SELECT order_id FROM v_orders_dim WHERE active)"""
 CLICK_ASPECT = """'{"creative_size":"' || creative_size || '","creative_id":"' || creative_id || '","line_item_id":"' || line_item_id
   || '","ad_unit_id":"' || adunit_id || '"}'"""
@@ -193,7 +193,7 @@ NAMES = [s.lower() for s in v.SEGMENTS]
 
 @query("m09_purchase_category_targets", f"WITH {RESOLVED_SQL} " + " UNION ALL ".join(
     f"""SELECT r.xid, '2024-01-03' AS date, 'ncs' AS vendor, 'syndicated' AS source, '{n}' AS "group",
-  '{{"action":"purchase"}}' AS aspect, max(c.{n}) AS value FROM resolved r JOIN v_crm c USING (universal_id)
+  '{{"action":"purchase"}}' AS aspect, CAST(max(c.{n}) AS DOUBLE) AS value FROM resolved r JOIN v_crm c USING (universal_id)
 WHERE r.date = DATE '2024-01-03' GROUP BY r.xid""" for n in NAMES))
 def _(spark, sf):
     return resolved_vendor(vendors.PurchaseCategories, spark, sf).targets(
@@ -222,10 +222,10 @@ def _(spark, sf):
 @query("m12_click_log_targets", f"""
 WITH {COUNTS_SQL} SELECT infinity_id AS xid, '2024-01-03' AS date, 'publisher' AS vendor, 'ga' AS source, 'covid_readers' AS "group",
   '{{"corona_articles":' || corona_articles || ',"total_articles":' || total_articles || '}}' AS aspect,
-  CAST(corona_articles >= 1 AS INTEGER) AS value FROM counts WHERE dt = DATE '2024-01-03'
+  CAST(CAST(corona_articles >= 1 AS INTEGER) AS DOUBLE) AS value FROM counts WHERE dt = DATE '2024-01-03'
 UNION ALL SELECT infinity_id, '2024-01-03', 'publisher', 'ga', 'affiliate_commerce_clicks',
   '{{"affiliate_articles":' || affiliate_articles || ',"total_articles":' || total_articles || '}}',
-  CAST(affiliate_articles >= 1 AS INTEGER) FROM counts WHERE dt = DATE '2024-01-03'""")
+  CAST(CAST(affiliate_articles >= 1 AS INTEGER) AS DOUBLE) FROM counts WHERE dt = DATE '2024-01-03'""")
 def _(spark, sf):
     return vendors.ClickLogGroups(DAY, label="publisher").targets(v.v_clicks(spark, sf))
 

@@ -5,6 +5,8 @@ many ids never multiplies rows beyond the distinct pairs of the result; hot
 keys are split by adaptive skew joins (see ``session``).
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,19 +36,21 @@ def users_with_offline_ids(ids: DataFrame) -> DataFrame:
 
 def join_offline_table(users: DataFrame, kind: str, table: DataFrame) -> DataFrame:
     """``xid, universal_id, date`` of one id kind joined to its offline table."""
-    pairs = table.select("id", "universal_id").distinct()
-    return (
-        users.filter(F.col("type") == kind).join(pairs, "id").select("xid", "universal_id", "date")
-    )
+    return resolve(users.filter(F.col("type") == kind), {kind: table})
 
 
 def resolve(users: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-    """Distinct ``xid, universal_id, date`` over all ``{id kind: offline table}``."""
-    joined = [join_offline_table(users, kind, table) for kind, table in tables.items()]
-    result = joined[0]
-    for more in joined[1:]:
-        result = result.unionByName(more)
-    return result.distinct()
+    """Distinct ``xid, universal_id, date`` over all ``{id kind: offline table}``.
+
+    The tables are stacked with their kind as part of the key, so the users are
+    joined once, whatever the number of tables.
+    """
+    keyed = [
+        table.select(F.lit(kind).alias("type"), "id", "universal_id")
+        for kind, table in tables.items()
+    ]
+    stacked = reduce(DataFrame.unionByName, keyed).distinct()
+    return users.join(stacked, ["type", "id"]).select("xid", "universal_id", "date").distinct()
 
 
 def universal_ids(ids: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:

@@ -28,10 +28,9 @@ def with_decile(scores: DataFrame, value="temp_score", by=(), cuts=None) -> Data
         cuts = quantile_cuts(scores, value, BUCKETS, by)
     if by:
         scores = scores.join(cuts, list(by), "left")
-        column = F.col("cuts")
     else:
-        column = cuts.select("cuts").scalar()
-    number = bucket_number(F.col(value), column, BUCKETS)
+        scores = scores.withColumn("cuts", cuts.select("cuts").scalar())
+    number = bucket_number(F.col(value), F.col("cuts"), BUCKETS)
     return scores.withColumn("decile", (F.lit(BUCKETS) - number).cast("int")).drop("cuts")
 
 

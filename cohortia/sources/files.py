@@ -42,17 +42,24 @@ def _escape(value) -> str:
     )
 
 
+def partition_folder(name: str, value) -> str:
+    """Folder name of one partition value, or the glob for all of them."""
+    return f"{name}=*" if value is ANY else f"{name}={_escape(value)}"
+
+
 def partition_pattern(base: str, keys: dict) -> str:
     """Glob for the partitions with the given keys, in the table's partition order."""
-    parts = [f"{name}=*" if value is ANY else f"{name}={_escape(value)}" for name, value in keys.items()]
-    return "/".join([base.rstrip("/"), *parts])
+    return "/".join([base.rstrip("/"), *[partition_folder(k, v) for k, v in keys.items()]])
 
 
-def matching_folders(spark: SparkSession, pattern: str) -> list[str]:
-    """Folders that match a glob, none when there are none."""
+def files_by_folder(spark: SparkSession, pattern: str) -> dict[str, list[str]]:
+    """Names of the files that match a glob, by folder."""
     fs, path = _fs(spark, pattern)
-    found = fs.globStatus(path)
-    return sorted(status.getPath().toString() for status in found or [])
+    found: dict[str, list[str]] = {}
+    for status in fs.globStatus(path) or []:
+        folder, name = status.getPath().toString().rsplit("/", 1)
+        found.setdefault(folder, []).append(name)
+    return {folder: sorted(names) for folder, names in found.items()}
 
 
 def partitions(spark: SparkSession, base: str, columns: list[str], schema) -> DataFrame | None:

@@ -42,14 +42,26 @@ def replace_targets(targets: DataFrame, uri: str, replaced: DataFrame) -> bool:
     """
     spark = targets.sparkSession
     # partition keys and file names only: table metadata, not rows
-    patterns = [
-        files.partition_pattern(uri, {k: row.get(k, files.ANY) for k in TARGET_KEYS})
-        for row in (r.asDict() for r in replaced.distinct().collect())
-    ]
+    keys = [row.asDict() for row in replaced.distinct().collect()]
+    days = {
+        files.partition_pattern(uri, {k: row.get(k, files.ANY) for k in TARGET_KEYS[:-1]})
+        for row in keys
+    }
+    groups = {
+        (files.partition_pattern(uri, {k: row.get(k, files.ANY) for k in TARGET_KEYS[:-1]}),
+         files.partition_folder("group", row["group"]))
+        for row in keys
+        if "group" in row
+    }
 
     def held() -> dict[str, list[str]]:
-        paths = {path for pattern in patterns for path in files.matching_folders(spark, pattern)}
-        return {path: files.list_names(spark, path) for path in paths}
+        """File names of each covered partition, from one listing per day."""
+        return {
+            folder: names
+            for day in days
+            for folder, names in files.files_by_folder(spark, f"{day}/group=*/*").items()
+            if "group" not in replaced.columns or (day, folder.rsplit("/", 1)[1]) in groups
+        }
 
     before = held()
     overwrite_partitions(targets.select(*schemas.TARGETS.names), uri, TARGET_KEYS)
