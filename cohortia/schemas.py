@@ -78,13 +78,9 @@ STAGE_REPORT = T.StructType(
     ]
 )
 
+# entries stay maps: writers differ in the case of ``FileName``
 MANIFEST = T.StructType(
-    [
-        T.StructField(
-            "Files",
-            T.ArrayType(T.StructType([T.StructField("FileName", T.StringType())])),
-        )
-    ]
+    [T.StructField("Files", T.ArrayType(T.MapType(T.StringType(), T.StringType())))]
 )
 
 SEGMENT_LIST = T.ArrayType(

@@ -58,7 +58,9 @@ def unprocessed(described: DataFrame, membership: DataFrame | None) -> DataFrame
 def manifest_names(spark: SparkSession, uri: str) -> DataFrame:
     """Data file names listed in a multi-line JSON manifest."""
     manifest = spark.read.schema(schemas.MANIFEST).option("multiLine", True).json(uri)
-    return manifest.select(F.explode("Files.FileName").alias("name"))
+    entry = F.map_filter("entry", lambda key, _: F.lower(key) == "filename")
+    entries = manifest.select(F.explode("Files").alias("entry"))
+    return entries.select(F.map_values(entry)[0].alias("name"))
 
 
 def read_lines(spark: SparkSession, paths: list[str], tries=10, wait_seconds=120) -> DataFrame:
