@@ -262,13 +262,14 @@ def target_counts(rows):
 
 @query("b01_replace_day", f"""
 WITH {WEEKLY} SELECT {TARGET_COUNTS} FROM weekly
-WHERE NOT (vendor = 'dfp' AND source = 'view' AND date = DATE '2024-01-08') OR value > 150
+WHERE NOT (vendor = 'dfp' AND source = 'view' AND date = DATE '2024-01-08') OR value > 60
+   OR NOT EXISTS (SELECT 1 FROM weekly WHERE vendor = 'dfp' AND source = 'view' AND date = DATE '2024-01-08' AND value > 60)
 GROUP BY vendor, source, date, "group" """)
 def _(spark, sf):
     """Only high values are delivered again: groups without any must vanish."""
     path = stored_targets(spark, sf)
     fresh = weekly_targets(spark, sf).filter(
-        (F.col("vendor") == "dfp") & (F.col("source") == "view") & (F.col("date") == WEEK) & (F.col("value") > 150)
+        (F.col("vendor") == "dfp") & (F.col("source") == "view") & (F.col("date") == WEEK) & (F.col("value") > 60)
     )
     for _ in range(2):  # a repeated run changes nothing
         sinks.replace_day(fresh, path, "dfp", "view", WEEK)

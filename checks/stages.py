@@ -351,10 +351,11 @@ def _(spark, sf):
 WITH latest AS (SELECT stage, status, workflow_id FROM (SELECT h.*, row_number() OVER (PARTITION BY workflow_id, stage ORDER BY execution_date DESC) AS rn
   FROM v_history h JOIN v_workflow w ON h.workflow_id = w.id WHERE w.enabled AND h.arg_date = DATE '1998-03-06') WHERE rn = 1)
 SELECT stage, 'failures' AS kind, count(*) FILTER (status <> 'success') AS n FROM (SELECT unnest(['assembly', 'training', 'scoring']) AS stage) LEFT JOIN latest USING (stage) GROUP BY stage
-UNION ALL SELECT s.stage, 'missing', count(*) FROM (SELECT unnest(['assembly', 'training', 'scoring']) AS stage) s, v_workflow w
-WHERE w.enabled AND (s.stage = 'scoring' OR w.weekday = dayofweek(DATE '1998-03-06'))
-  AND NOT EXISTS (SELECT 1 FROM v_history h WHERE h.workflow_id = w.id AND h.stage = s.stage AND h.arg_date = DATE '1998-03-06')
-GROUP BY s.stage""")
+UNION ALL SELECT s.stage, 'missing', (SELECT count(*) FROM v_workflow w
+  WHERE w.enabled AND EXISTS (SELECT 1 FROM v_history WHERE arg_date = DATE '1998-03-06')
+    AND (s.stage = 'scoring' OR w.weekday = dayofweek(DATE '1998-03-06'))
+    AND NOT EXISTS (SELECT 1 FROM v_history h WHERE h.workflow_id = w.id AND h.stage = s.stage AND h.arg_date = DATE '1998-03-06'))
+FROM (SELECT unnest(['assembly', 'training', 'scoring']) AS stage) s""")
 def _(spark, sf):
     found = reports.daily_report(v.v_history(spark, sf), v.v_workflow(spark, sf), HISTORY_DAY)
     parts = [

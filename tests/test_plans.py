@@ -43,8 +43,8 @@ def targets(spark, folder):
         F.lit("{}").alias("aspect"),
         (F.col("id") % 7).cast("float").alias("value"),
     )
-    data.write.partitionBy("vendor", "group").parquet(folder)
-    return spark.read.parquet(folder)
+    data.write.partitionBy("vendor", "group").parquet(f"{folder}/targets")
+    return spark.read.parquet(f"{folder}/targets")
 
 
 def recipe(group):
@@ -84,10 +84,8 @@ def test_rank_windows_see_values_not_rows(spark):
     df = spark.range(20000).select((F.col("id") % 3 / 10).cast("float").alias("score"))
     ranked = ranking.value_ranks(df, "score", descending=True)
     assert rows(ranked.select("n_rows")) == {(6667,): 2, (6666,): 1}
-    text = plan(ranked)
-    assert text.count("HashAggregate") >= 2
-    first_window = text.index("Window")
-    assert "Exchange" in text[:first_window]
+    tree = plan(ranked).split("\n\n")[0]
+    assert "HashAggregate" in tree[tree.rindex("Window") :]  # rows are counted before any window
 
 
 def test_threshold_table_never_joins_ranks_back_to_rows(spark):
