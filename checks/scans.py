@@ -98,7 +98,7 @@ def _(spark, sf):
     )
     path = scratch(spark, "manifest")
     names.select("m.*").write.json(path)
-    return segment_files.manifest_names(spark, path)
+    return segment_files.manifest_names(spark, path).select("name")
 
 
 @query("a07_segment_list", """

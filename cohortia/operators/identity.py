@@ -39,23 +39,44 @@ def join_offline_table(users: DataFrame, kind: str, table: DataFrame) -> DataFra
     return resolve(users.filter(F.col("type") == kind), {kind: table})
 
 
+def stacked(tables: dict[str, DataFrame]) -> DataFrame:
+    """All ``{id kind: offline table}`` as one distinct ``type, id, universal_id``."""
+    keyed = [
+        table.select(F.lit(kind).alias("type"), "id", "universal_id")
+        for kind, table in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, keyed).distinct()
+
+
 def resolve(users: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     """Distinct ``xid, universal_id, date`` over all ``{id kind: offline table}``.
 
     The tables are stacked with their kind as part of the key, so the users are
     joined once, whatever the number of tables.
     """
-    keyed = [
-        table.select(F.lit(kind).alias("type"), "id", "universal_id")
-        for kind, table in tables.items()
-    ]
-    stacked = reduce(DataFrame.unionByName, keyed).distinct()
-    return users.join(stacked, ["type", "id"]).select("xid", "universal_id", "date").distinct()
+    linked = users.join(stacked(tables), ["type", "id"])
+    return linked.select("xid", "universal_id", "date").distinct()
 
 
 def universal_ids(ids: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-    """Identity rows straight to ``xid, universal_id, date``."""
-    return resolve(users_with_offline_ids(ids), tables)
+    """Identity rows straight to ``xid, universal_id, date``.
+
+    Equal to resolving ``users_with_offline_ids``, but the offline ids are
+    resolved per visitor first: the many ids of one person collapse to few
+    universal ids before they meet the visitor's user ids.
+    """
+    per_visitor = (
+        offline_ids(ids)
+        .join(stacked(tables), ["type", "id"])
+        .select("date", "fullvisitor_id", "universal_id")
+        .distinct()
+    )
+    return (
+        user_ids(ids)
+        .join(per_visitor, ["date", "fullvisitor_id"])
+        .select("xid", "universal_id", "date")
+        .distinct()
+    )
 
 
 def with_universal_id(users: DataFrame, vendor: DataFrame) -> DataFrame:

@@ -92,12 +92,14 @@ def ingest_files(spark: SparkSession, folder: str, membership_uri: str, tries=10
 def store_manifests(spark, folder, rows, membership_uri, tries=10, wait_seconds=120) -> None:
     """Read the data files of described manifests and write their partitions."""
     held = set(files.list_names(spark, folder))
+    described = {row["name"]: row for row in rows}
     owner = []
-    for row in rows:
-        for (name,) in sf.manifest_names(spark, row.uri).collect():  # file names only
-            if name not in held:
-                raise EmptyInput(f"{row.name} lists {name}, which is not there")
-            owner.append((name, row.ref_date, row.type, row.timestamp))
+    # file names only, of all manifests in one job
+    for manifest, name in sf.manifest_names(spark, [row.uri for row in rows]).collect():
+        if name not in held:
+            raise EmptyInput(f"{manifest} lists {name}, which is not there")
+        row = described[manifest]
+        owner.append((name, row.ref_date, row.type, row.timestamp))
     base = folder.rstrip("/")
     lines = sf.read_lines(spark, [f"{base}/{o[0]}" for o in owner], tries, wait_seconds)
     details = spark.createDataFrame(

@@ -55,12 +55,14 @@ def unprocessed(described: DataFrame, membership: DataFrame | None) -> DataFrame
     return described.filter(F.col("timestamp") > last.scalar()).orderBy("timestamp", "name")
 
 
-def manifest_names(spark: SparkSession, uri: str) -> DataFrame:
-    """Data file names listed in a multi-line JSON manifest."""
-    manifest = spark.read.schema(schemas.MANIFEST).option("multiLine", True).json(uri)
+def manifest_names(spark: SparkSession, uris: str | list[str]) -> DataFrame:
+    """Data file names listed in multi-line JSON manifests: ``manifest, name``."""
+    manifests = spark.read.schema(schemas.MANIFEST).option("multiLine", True).json(uris)
     entry = F.map_filter("entry", lambda key, _: F.lower(key) == "filename")
-    entries = manifest.select(F.explode("Files").alias("entry"))
-    return entries.select(F.map_values(entry)[0].alias("name"))
+    entries = manifests.select(
+        F.col("_metadata.file_name").alias("manifest"), F.explode("Files").alias("entry")
+    )
+    return entries.select("manifest", F.map_values(entry)[0].alias("name"))
 
 
 def read_lines(spark: SparkSession, paths: list[str], tries=10, wait_seconds=120) -> DataFrame:
