@@ -10,6 +10,7 @@ from checks import views as v
 from checks.joins import MEMBERS_SQL, selected
 from checks.scans import LINES_SQL
 from checks.views import query
+from cohortia.functions import ids
 from cohortia.functions.aspects import aspect, aspect_columns, constant_aspect
 from cohortia.operators import features, reshape
 from cohortia.sources import segment_files
@@ -139,3 +140,18 @@ WITH {MEMBERS_SQL} SELECT CAST(day AS VARCHAR) AS processing_start_date, mcid,
   array_to_string(list_sort(list(segment_id)), ' ') AS segment_select FROM members GROUP BY 1, 2""")
 def _(spark, sf):
     return selected(spark, sf).withColumn("segment_select", F.sort_array("segment_select"))
+
+
+@query("s11_name_functions", """
+SELECT id, regexp_extract(name, '_([^_]+)_', 1) AS vendor, CAST(regexp_extract(name, '_building_([0-9]*)', 1) AS VARCHAR) AS number,
+  regexp_replace(description, '\\W', '', 'g') AS words, lower('t_' || regexp_replace(replace(replace('News::' || description, '::', '_'), ' ', '_'), '[^A-Za-z0-9_]', '', 'g')) AS slug
+FROM v_workflow""")
+def _(spark, sf):
+    number = ids.trailing_number(F.col("name"), "building").cast("string")
+    return v.v_workflow(spark, sf).select(
+        "id",
+        ids.vendor_of(F.col("name")).alias("vendor"),
+        F.coalesce(number, F.lit("")).alias("number"),
+        ids.word_characters(F.col("description")).alias("words"),
+        ids.topic_slug("t", F.concat(F.lit("News::"), "description")).alias("slug"),
+    )

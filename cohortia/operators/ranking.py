@@ -32,44 +32,51 @@ def order_bucket(value: Column) -> Column:
     ).cast("bigint")
 
 
+def _bucket_of(value: str) -> Column:
+    """Order bucket of a column; NULL forms its own bucket below every other."""
+    return F.coalesce(order_bucket(F.col(value)), F.lit(-(2**50)))
+
+
+def _up_to_here(keys: list, order: Column):
+    return (
+        Window.partitionBy(*keys)
+        .orderBy(order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+
+
+def _bucket_offsets(rows: DataFrame, keys: list, size: Column, direction=F.asc) -> DataFrame:
+    """``keys, _bucket, _in_bucket, _offset, n_total``: rows in and before each bucket."""
+    totals = rows.groupBy(*keys, "_bucket").agg(size.alias("_in_bucket"))
+    running = F.sum("_in_bucket").over(_up_to_here(keys, direction("_bucket")))
+    return totals.select(
+        *keys,
+        "_bucket",
+        "_in_bucket",
+        (running - F.col("_in_bucket")).alias("_offset"),
+        F.sum("_in_bucket").over(Window.partitionBy(*keys)).alias("n_total"),
+    )
+
+
 def value_ranks(df: DataFrame, value: str, by=(), descending=False) -> DataFrame:
     """One row per distinct value: ``by, value, n_rows, n_before, n_total``.
 
     ``n_before`` counts the rows sorted strictly before the value.  NULL sorts
     first when ascending and last when descending, as Spark sorts it.
     """
-    keys = list(by)
+    keys, direction = list(by), F.desc if descending else F.asc
     counts = (
         df.groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("n_rows"))
-        .withColumn("_bucket", order_bucket(F.col(value)))
+        .withColumn("_bucket", _bucket_of(value))
     )
-    # NULL forms its own bucket below every other
-    counts = counts.withColumn("_bucket", F.coalesce("_bucket", F.lit(-(2**50))))
-    totals = counts.groupBy(*keys, "_bucket").agg(F.sum("n_rows").alias("_in_bucket"))
-
-    direction = F.desc if descending else F.asc
-    per_group = Window.partitionBy(*keys)
-    up_to_bucket = per_group.orderBy(direction("_bucket")).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    totals = totals.select(
-        *keys,
-        "_bucket",
-        (F.sum("_in_bucket").over(up_to_bucket) - F.col("_in_bucket")).alias("_offset"),
-        F.sum("_in_bucket").over(per_group).alias("n_total"),
-    )
-
-    within = (
-        Window.partitionBy(*keys, "_bucket")
-        .orderBy(direction(value))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return counts.join(totals, [*keys, "_bucket"]).select(
+    offsets = _bucket_offsets(counts, keys, F.sum("n_rows"), direction).drop("_in_bucket")
+    within = F.sum("n_rows").over(_up_to_here([*keys, "_bucket"], direction(value)))
+    return counts.join(offsets, [*keys, "_bucket"]).select(
         *keys,
         value,
         "n_rows",
-        (F.col("_offset") + F.sum("n_rows").over(within) - F.col("n_rows")).alias("n_before"),
+        (F.col("_offset") + within - F.col("n_rows")).alias("n_before"),
         "n_total",
     )
 
@@ -95,15 +102,36 @@ def quantile_cuts(df: DataFrame, value: str, buckets: int, by=()) -> DataFrame:
     """Inner cut values ``cuts`` of an equal-count split, one row per group.
 
     The cut for share q is the smallest value with at least q of the rows at or
-    below it; equal cuts collapse.
+    below it; equal cuts collapse.  Rows are first counted per order bucket, so
+    hardly anything is shuffled; only the few buckets in which a cut falls are
+    then counted per value.
     """
-    known = df.filter(F.col(value).isNotNull())
-    ranks = value_ranks(known, value, by)
-    last = F.col("n_before") + F.col("n_rows")
-    wanted = [F.ceil(F.lit(step) * F.col("n_total") / buckets) for step in range(1, buckets)]
-    found = [F.min(F.when(last >= rank, F.col(value))) for rank in wanted]
-    cuts = F.array_distinct(F.array(*found)).alias("cuts")
-    return ranks.groupBy(*by).agg(cuts)
+    keys = list(by)
+    known = df.filter(F.col(value).isNotNull()).select(*keys, value)
+    known = known.withColumn("_bucket", _bucket_of(value))
+
+    steps = F.array(*[F.lit(step) for step in range(1, buckets)])
+    ranks = F.transform(steps, lambda step: F.ceil(step * F.col("n_total") / buckets))
+    in_bucket = F.filter(
+        ranks,
+        lambda rank: (rank > F.col("_offset")) & (rank <= F.col("_offset") + F.col("_in_bucket")),
+    )
+    crossed = (
+        _bucket_offsets(known, keys, F.count(F.lit(1)))
+        .select(*keys, "_bucket", "_offset", in_bucket.alias("_ranks"))
+        .filter(F.size("_ranks") > 0)
+    )
+
+    near = known.join(crossed.select(*keys, "_bucket"), [*keys, "_bucket"], "left_semi")
+    counts = near.groupBy(*keys, "_bucket", value).agg(F.count(F.lit(1)).alias("n_rows"))
+    last = F.col("_offset") + F.sum("n_rows").over(_up_to_here([*keys, "_bucket"], F.asc(value)))
+    ranked = counts.join(crossed, [*keys, "_bucket"]).withColumn("_last", last)
+    is_cut = F.exists(
+        "_ranks",
+        lambda rank: (rank > F.col("_last") - F.col("n_rows")) & (rank <= F.col("_last")),
+    )
+    # at most one value per cut
+    return ranked.filter(is_cut).groupBy(*keys).agg(F.sort_array(F.collect_set(value)).alias("cuts"))
 
 
 def bucket_number(value: Column, cuts: Column, buckets: int) -> Column:

@@ -119,7 +119,7 @@ def assemble(features: DataFrame, targets: DataFrame, workflows: list[Workflow],
         responses.append(
             sinks.response_row(
                 workflow.id, STAGE, status, date,
-                info={"name": workflow.name, "description": workflow.description},
+                info=workflow.label(),
                 stats=stats[workflow.id], error=fault, traceback=trace,
             )
         )

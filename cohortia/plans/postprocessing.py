@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import traceback as tb
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,13 +12,10 @@ from pyspark.sql import functions as F
 from cohortia import schemas
 from cohortia.operators.ranking import percent_ranks
 from cohortia.operators.scores import check_thresholds, threshold_rows
-from cohortia.plans.workflow import Workflow
+from cohortia.plans.workflow import Postprocessor, Thresholds, Workflow
 from cohortia.sources import sinks
 from cohortia.sources.tables import load_partition, require_columns
 
-STAGE = "thresholding"
-
-
 def configurations(spark: SparkSession, workflows: list[Workflow]) -> DataFrame:
     """One row per valid post-processor: ``tid, pid, strategy, thresholds, buckets``."""
     rows = [
@@ -43,44 +41,67 @@ def threshold_tables(scores: DataFrame, configs: DataFrame) -> DataFrame:
     )
 
 
+def normalise_external(spark: SparkSession, uri: str, scores_uri: str) -> None:
+    """Copy scores written elsewhere into the score table, needed columns only."""
+    rows = require_columns(load_partition(spark, uri), schemas.SCORES.names)
+    sinks.write_scores(
+        rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.SCORES]), scores_uri
+    )
+
+
+@dataclass
+class ExternalScores(Postprocessor):
+    """Bring one workflow's externally written scores into the score table.
+
+    ``uri`` may name ``{date}`` and ``{tid}``.
+    """
+
+    pid: str
+    uri: str
+    scores_uri: str
+
+    def process(self, scores, workflow, date):
+        uri = self.uri.format(date=date, tid=workflow.trait_id)
+        normalise_external(scores.sparkSession, uri, self.scores_uri)
+
+
 def postprocess_all(scores: DataFrame, workflows: list[Workflow], date: datetime.date,
                     uri: str) -> list[dict]:
-    """Write the threshold tables of all workflows in one job; one report each."""
+    """Run every post-processor of every workflow; one report each.
+
+    All threshold tables come from one job; other steps run one by one.  A step
+    that fails is reported and the others go on.
+    """
     spark = scores.sparkSession
-    faults, valid = {}, []
-    for workflow in workflows:
-        good = []
-        for p in workflow.postprocessors:
-            try:
-                check_thresholds(p.strategy, p.thresholds, p.buckets)
-                good.append(p)
-            except Exception as fault:
-                faults[workflow.id, p.pid] = fault
-        valid.append(Workflow(workflow.id, workflow.name, workflow.trait_id, postprocessors=good))
-    if any(w.postprocessors for w in valid):
+    steps = [(w, p) for w in workflows for p in w.postprocessors]
+    faults: dict[tuple, Exception] = {}
+
+    together: list[Workflow] = []
+    for workflow, step in steps:
+        try:
+            if isinstance(step, Thresholds):
+                check_thresholds(step.strategy, step.thresholds, step.buckets)
+                together.append(replace(workflow, postprocessors=[step]))
+            else:
+                step.process(scores, workflow, date)
+        except Exception as fault:
+            faults[workflow.id, step.pid] = fault
+    if together:
         try:
             day = scores.filter(F.col("date") == F.lit(date))
-            table = threshold_tables(day, configurations(spark, valid))
+            table = threshold_tables(day, configurations(spark, together))
             sinks.write_thresholds(table.withColumn("date", F.lit(date)), uri)
         except Exception as fault:
-            faults |= {(w.id, p.pid): fault for w in valid for p in w.postprocessors}
+            faults |= {(w.id, w.postprocessors[0].pid): fault for w in together}
+
     responses = []
-    for workflow in workflows:
-        for p in workflow.postprocessors:
-            fault = faults.get((workflow.id, p.pid))
-            responses.append(
-                sinks.response_row(
-                    workflow.id, STAGE, "success" if fault is None else "failed_on_threshold", date,
-                    info={"name": workflow.name, "postprocess_id": str(p.pid)}, error=fault,
-                    traceback=None if fault is None else "".join(tb.format_exception(fault)),
-                )
+    for workflow, step in steps:
+        fault = faults.get((workflow.id, step.pid))
+        responses.append(
+            sinks.response_row(
+                workflow.id, step.stage, "success" if fault is None else step.failed, date,
+                info={**workflow.label(), "postprocess_id": str(step.pid)}, error=fault,
+                traceback=None if fault is None else "".join(tb.format_exception(fault)),
             )
+        )
     return responses
-
-
-def normalise_external(spark: SparkSession, uri: str, scores_uri: str) -> None:
-    """Copy scores written elsewhere into the score table, needed columns only."""
-    rows = require_columns(load_partition(spark, uri), schemas.SCORES.names)
-    sinks.write_scores(
-        rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.SCORES]), scores_uri
-    )

@@ -99,7 +99,7 @@ def passthrough_scores(targets: DataFrame, date: datetime.date, vendor: str, gro
 def _response(workflow, date, status="success", info=None, stats=None, fault=None):
     return sinks.response_row(
         workflow.id, STAGE, status, date,
-        info={"name": workflow.name, "description": workflow.description, **(info or {})},
+        info={**workflow.label(), **(info or {})},
         stats=stats, error=fault,
         traceback=None if fault is None else "".join(tb.format_exception(fault)),
     )

@@ -16,6 +16,11 @@ def load(spark: SparkSession, uri: str, fmt="parquet", schema=None, **options) -
     return (reader.schema(schema) if schema else reader).load(uri)
 
 
+def cached(df: DataFrame) -> DataFrame:
+    """The frame kept in memory, unless it already is; the caller unpersists it."""
+    return df if df.storageLevel.useMemory else df.persist()
+
+
 def load_if_present(spark: SparkSession, uri: str, fmt="parquet", **options) -> DataFrame | None:
     """The table, or None when nothing is stored there.  Other faults surface."""
     return load(spark, uri, fmt, **options) if exists(spark, uri) else None

@@ -61,12 +61,18 @@ def test_threshold_settings_are_checked(strategy, cuts, names, fault):
 
 def test_postprocessing_reports_each_step(spark, folder):
     scores = score_rows(spark, [i / 10 for i in range(10)]).unionByName(score_rows(spark, [0.9, 0.1], 2))
+    score_rows(spark, [0.3], 3).withColumn("decile", F.lit(1)).write.partitionBy("date", "tid").parquet(f"{folder}/in")
     good = Thresholds("p1", "absolute", [0.5], ["low", "high"])
     bad = Thresholds("p2", "decile", [0.5], ["low", "high"])
-    flows = [Workflow("w1", "n1", 1, postprocessors=[good, bad]), Workflow("w2", "n2", 2, postprocessors=[good])]
-    found = postprocessing.postprocess_all(scores, flows, D, folder)
-    assert [r["status"] for r in found] == ["success", "failed_on_threshold", "success"]
-    stored = spark.read.parquet(folder)
+    flows = [Workflow("w1", "n1", 1, postprocessors=[good, bad]), Workflow("w2", "n2", 2, postprocessors=[good]),
+             Workflow("w3", "n 3", 3, postprocessors=[
+                 postprocessing.ExternalScores("p3", folder + "/in/date={date}/tid={tid}", f"{folder}/scores"),
+                 postprocessing.ExternalScores("p4", folder + "/nowhere/date={date}", f"{folder}/scores")])]
+    found = postprocessing.postprocess_all(scores, flows, D, f"{folder}/thresholds")
+    assert [r["status"] for r in found] == ["success", "failed_on_threshold", "success", "success", "failed"]
+    assert json.loads(found[3]["info"]) == {"name": "n3", "description": "", "postprocess_id": "p3"}
+    assert spark.read.parquet(f"{folder}/scores").count() == 1
+    stored = spark.read.parquet(f"{folder}/thresholds")
     assert rows(stored.groupBy("tid", "pid").count()) == {(1, "p1", 2): 1, (2, "p1", 2): 1}
     assert good.to_dict()["buckets"] == ["low", "high"]
 
