@@ -32,12 +32,13 @@ def order_bucket(value: Column) -> Column:
     ).cast("bigint")
 
 
-def _bucket_of(value: str) -> Column:
-    """Order bucket of a column; NULL forms its own bucket below every other."""
-    return F.coalesce(order_bucket(F.col(value)), F.lit(-(2**50)))
+def with_order_bucket(df: DataFrame, value: str) -> DataFrame:
+    """Add ``_bucket``; NULL forms its own bucket below every other."""
+    return df.withColumn("_bucket", F.coalesce(order_bucket(F.col(value)), F.lit(-(2**50))))
 
 
-def _up_to_here(keys: list, order: Column):
+def up_to_here(keys: list, order: Column):
+    """Window over the rows of a group up to the current one."""
     return (
         Window.partitionBy(*keys)
         .orderBy(order)
@@ -45,14 +46,15 @@ def _up_to_here(keys: list, order: Column):
     )
 
 
-def _bucket_offsets(rows: DataFrame, keys: list, size: Column, direction=F.asc) -> DataFrame:
-    """``keys, _bucket, _in_bucket, _offset, n_total``: rows in and before each bucket."""
-    totals = rows.groupBy(*keys, "_bucket").agg(size.alias("_in_bucket"))
-    running = F.sum("_in_bucket").over(_up_to_here(keys, direction("_bucket")))
+def bucket_offsets(rows: DataFrame, keys: list, size: Column, direction=F.asc, measures=()):
+    """``keys, _bucket, _in_bucket, _offset, n_total`` and ``measures`` per bucket.
+
+    ``_offset`` counts the rows in earlier buckets of the group.
+    """
+    totals = rows.groupBy(*keys, "_bucket").agg(size.alias("_in_bucket"), *measures)
+    running = F.sum("_in_bucket").over(up_to_here(keys, direction("_bucket")))
     return totals.select(
-        *keys,
-        "_bucket",
-        "_in_bucket",
+        *totals.columns,
         (running - F.col("_in_bucket")).alias("_offset"),
         F.sum("_in_bucket").over(Window.partitionBy(*keys)).alias("n_total"),
     )
@@ -65,13 +67,10 @@ def value_ranks(df: DataFrame, value: str, by=(), descending=False) -> DataFrame
     first when ascending and last when descending, as Spark sorts it.
     """
     keys, direction = list(by), F.desc if descending else F.asc
-    counts = (
-        df.groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-        .withColumn("_bucket", _bucket_of(value))
-    )
-    offsets = _bucket_offsets(counts, keys, F.sum("n_rows"), direction).drop("_in_bucket")
-    within = F.sum("n_rows").over(_up_to_here([*keys, "_bucket"], direction(value)))
+    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n_rows"))
+    counts = with_order_bucket(counts, value)
+    offsets = bucket_offsets(counts, keys, F.sum("n_rows"), direction).drop("_in_bucket")
+    within = F.sum("n_rows").over(up_to_here([*keys, "_bucket"], direction(value)))
     return counts.join(offsets, [*keys, "_bucket"]).select(
         *keys,
         value,
@@ -107,8 +106,7 @@ def quantile_cuts(df: DataFrame, value: str, buckets: int, by=()) -> DataFrame:
     then counted per value.
     """
     keys = list(by)
-    known = df.filter(F.col(value).isNotNull()).select(*keys, value)
-    known = known.withColumn("_bucket", _bucket_of(value))
+    known = with_order_bucket(df.filter(F.col(value).isNotNull()).select(*keys, value), value)
 
     steps = F.array(*[F.lit(step) for step in range(1, buckets)])
     ranks = F.transform(steps, lambda step: F.ceil(step * F.col("n_total") / buckets))
@@ -117,14 +115,14 @@ def quantile_cuts(df: DataFrame, value: str, buckets: int, by=()) -> DataFrame:
         lambda rank: (rank > F.col("_offset")) & (rank <= F.col("_offset") + F.col("_in_bucket")),
     )
     crossed = (
-        _bucket_offsets(known, keys, F.count(F.lit(1)))
+        bucket_offsets(known, keys, F.count(F.lit(1)))
         .select(*keys, "_bucket", "_offset", in_bucket.alias("_ranks"))
         .filter(F.size("_ranks") > 0)
     )
 
     near = known.join(crossed.select(*keys, "_bucket"), [*keys, "_bucket"], "left_semi")
     counts = near.groupBy(*keys, "_bucket", value).agg(F.count(F.lit(1)).alias("n_rows"))
-    last = F.col("_offset") + F.sum("n_rows").over(_up_to_here([*keys, "_bucket"], F.asc(value)))
+    last = F.col("_offset") + F.sum("n_rows").over(up_to_here([*keys, "_bucket"], F.asc(value)))
     ranked = counts.join(crossed, [*keys, "_bucket"]).withColumn("_last", last)
     is_cut = F.exists(
         "_ranks",
@@ -147,9 +145,9 @@ def boundary_key(df: DataFrame, value: str, tie: str, share: float, from_top: bo
     key whose ratio reaches ``share`` is returned, else the last one that does
     not exceed it; None when there is none.
 
-    Three narrowing jobs, each an aggregate that returns one row: the value,
-    then the md5 prefix among rows with that value (at most 65,536 prefixes),
-    then the key inside that prefix.
+    Four narrowing jobs, each an aggregate that returns one row: the order
+    bucket, the value inside it, the md5 prefix among rows with that value (at
+    most 65,536 prefixes), and the key inside that prefix.
     """
     rows = df.select(
         F.col(value).cast("double").alias("v"), F.col(tie).alias("t"), F.md5(tie).alias("h")
@@ -169,12 +167,18 @@ def boundary_key(df: DataFrame, value: str, tie: str, share: float, from_top: bo
         so_far = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return counted.withColumn("n_before", F.sum("n_rows").over(so_far) - F.col("n_rows"))
 
-    at_value = crossing(value_ranks(rows, "v"), "v", F.col("n_before"), F.col("n_total"))
-    if at_value is None:
+    n_rows = F.count(F.lit(1)).alias("n_rows")
+    rows = with_order_bucket(rows, "v")
+    buckets = bucket_offsets(rows, [], F.count(F.lit(1))).withColumnRenamed("_in_bucket", "n_rows")
+    at_bucket = crossing(buckets, "_bucket", F.col("_offset"), F.col("n_total"))
+    if at_bucket is None:
         return None
-    total = F.lit(at_value["total"])
+    total = F.lit(at_bucket["total"])
+
+    rows = rows.filter(F.col("_bucket") == at_bucket["at"])
+    by_value = running(rows.groupBy("v").agg(n_rows), "v")
+    at_value = crossing(by_value, "v", F.lit(at_bucket["before"]) + F.col("n_before"), total)
     rows = rows.filter(F.col("v").eqNullSafe(F.lit(at_value["at"]).cast("double")))
-    n_rows = F.count(F.lit(1)).alias("n_rows")
 
     prefix = F.substring("h", 1, 4)
     by_prefix = running(rows.groupBy(prefix.alias("p")).agg(n_rows), "p")

@@ -5,7 +5,13 @@ from pyspark.sql import functions as F
 
 from cohortia.errors import InvalidDefinition
 from cohortia.functions.ids import unit_hash
-from cohortia.operators.ranking import bucket_number, percent_ranks, quantile_cuts
+from cohortia.operators.ranking import (
+    bucket_number,
+    bucket_offsets,
+    quantile_cuts,
+    up_to_here,
+    with_order_bucket,
+)
 
 JITTER = 0.0001
 BUCKETS = 10
@@ -70,40 +76,81 @@ def bucket_label(value: Column, thresholds: Column, buckets: Column) -> Column:
     return F.when(value.isNotNull(), F.element_at(buckets, passed + 1))
 
 
-def _literals(values: list, kind: str) -> Column:
-    return F.array(*[F.lit(v) for v in values]).cast(f"array<{kind}>")
+SETTINGS = ["strategy", "thresholds", "buckets"]
+RANGE = ["low", "high", "total", "known"]  # smallest, largest, sum and number of scores
 
 
-def threshold_rows(ranked: DataFrame, keys: list, strategy: Column, thresholds: Column,
-                   buckets: Column) -> DataFrame:
-    """Score range of each bucket from distinct scores and their row counts."""
-    value = F.when(strategy == "absolute", F.col("score").cast("double")).otherwise(
-        F.col("raw_percentile")
+def _label(percentile: Column, score: Column) -> Column:
+    value = F.when(F.col("strategy") == "absolute", score.cast("double")).otherwise(percentile)
+    return bucket_label(F.when(score.isNotNull(), value), F.col("thresholds"), F.col("buckets"))
+
+
+def threshold_ranges(scores: DataFrame, attach, by=(), steps=()) -> DataFrame:
+    """Score range of each named bucket: ``by, steps, strategy, bucket`` and the range.
+
+    ``attach`` adds the columns ``steps, strategy, thresholds, buckets`` to a
+    frame that has ``by``.  Percentiles are the descending ``percent_rank``.
+
+    Rows are aggregated per order bucket first.  Labels only change along the
+    order, so an order bucket whose first and last row carry one label is done;
+    only the few in which a threshold falls are looked at value by value.
+    """
+    keys, ids = list(by), [*by, *steps]
+    rows = with_order_bucket(scores.select(*keys, "score"), "score")
+    measures = [
+        F.min("score").alias("low"),
+        F.max("score").alias("high"),
+        F.sum(F.col("score").cast("double")).alias("total"),
+        F.count("score").alias("known"),
+    ]
+    spans = bucket_offsets(rows, keys, F.count(F.lit(1)), F.desc, measures)
+
+    last_row = F.greatest(F.col("n_total") - 1, F.lit(1))
+    spans = attach(spans).withColumns(
+        {
+            "bucket": _label(F.col("_offset") / last_row, F.col("high")),
+            "_end": _label((F.col("_offset") + F.col("_in_bucket") - 1) / last_row, F.col("low")),
+        }
+    )
+    whole = spans.filter(F.col("bucket").eqNullSafe(F.col("_end"))).select(*ids, "strategy", "bucket", *RANGE)
+
+    split = spans.filter(~F.col("bucket").eqNullSafe(F.col("_end"))).select(
+        *ids, *SETTINGS, "_bucket", "_offset", "n_total"
+    )
+    near = rows.join(split.select(*keys, "_bucket").distinct(), [*keys, "_bucket"], "left_semi")
+    values = near.groupBy(*keys, "_bucket", "score").agg(F.count(F.lit(1)).alias("known"))
+    before = F.sum("known").over(up_to_here([*ids, "_bucket"], F.desc("score"))) - F.col("known")
+    parts = (
+        values.join(split, [*keys, "_bucket"])
+        .withColumn("_before", F.col("_offset") + before)
+        .select(
+            *ids,
+            "strategy",
+            _label(F.col("_before") / last_row, F.col("score")).alias("bucket"),
+            F.col("score").alias("low"),
+            F.col("score").alias("high"),
+            (F.col("score").cast("double") * F.col("known")).alias("total"),
+            "known",
+        )
     )
-    weighted = F.sum(F.col("score").cast("double") * F.col("n_rows"))
-    rows = F.sum(F.when(F.col("score").isNotNull(), F.col("n_rows")))
     return (
-        ranked.withColumn("bucket", bucket_label(value, thresholds, buckets))
-        .groupBy(*keys, strategy.alias("strategy"), "bucket")
+        whole.unionByName(parts)
+        .groupBy(*ids, "strategy", "bucket")
         .agg(
-            F.min("score").alias("min_score"),
-            F.max("score").alias("max_score"),
-            (weighted / rows).alias("avg_score"),
+            F.min("low").alias("min_score"),
+            F.max("high").alias("max_score"),
+            F.try_divide(F.sum("total"), F.sum("known")).alias("avg_score"),
         )
     )
 
 
 def threshold_table(scores: DataFrame, strategy, thresholds, buckets, by=()) -> DataFrame:
-    """``strategy, bucket, min_score, max_score, avg_score``, best bucket first.
-
-    Works on distinct scores with their row counts, so equal scores are handled
-    once and no rank is joined back to the rows.
-    """
+    """``strategy, bucket, min_score, max_score, avg_score``, best bucket first."""
     check_thresholds(strategy, thresholds, buckets)
-    return threshold_rows(
-        percent_ranks(scores, "score", by),
-        list(by),
-        F.lit(strategy),
-        _literals(thresholds, "double"),
-        _literals(buckets, "string"),
-    ).orderBy(*by, F.col("avg_score").desc())
+    chosen = {
+        "strategy": F.lit(strategy),
+        "thresholds": F.array(*[F.lit(float(t)) for t in thresholds]),
+        "buckets": F.array(*[F.lit(b) for b in buckets]),
+    }
+    table = threshold_ranges(scores, lambda spans: spans.withColumns(chosen), by)
+    return table.orderBy(*by, F.col("avg_score").desc())

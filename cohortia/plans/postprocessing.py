@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortia import schemas
-from cohortia.operators.ranking import percent_ranks
-from cohortia.operators.scores import check_thresholds, threshold_rows
+from cohortia.operators.scores import check_thresholds, threshold_ranges
 from cohortia.plans.workflow import Postprocessor, Thresholds, Workflow
 from cohortia.sources import sinks
 from cohortia.sources.tables import load_partition, require_columns
@@ -35,10 +34,7 @@ def threshold_tables(scores: DataFrame, configs: DataFrame) -> DataFrame:
     workflow, whatever the number of its post-processors.
     """
     wanted = scores.join(configs.select("tid").distinct(), "tid", "left_semi")
-    ranked = percent_ranks(wanted, "score", ["tid"]).join(configs, "tid")
-    return threshold_rows(
-        ranked, ["tid", "pid"], F.col("strategy"), F.col("thresholds"), F.col("buckets")
-    )
+    return threshold_ranges(wanted, lambda spans: spans.join(configs, "tid"), ["tid"], ["pid"])
 
 
 def normalise_external(spark: SparkSession, uri: str, scores_uri: str) -> None:

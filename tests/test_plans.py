@@ -4,6 +4,7 @@ import re
 from pathlib import Path
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from tests.conftest import rows
 
@@ -88,11 +89,20 @@ def test_rank_windows_see_values_not_rows(spark):
     assert "HashAggregate" in tree[tree.rindex("Window") :]  # rows are counted before any window
 
 
-def test_threshold_table_never_joins_ranks_back_to_rows(spark):
-    df = spark.range(100).select((F.col("id") / 100).cast("float").alias("score"))
-    text = plan(scores.threshold_table(df, "percentile", [0.5], ["a", "b"]))
-    joins = re.findall(r"(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin)", text.split("\n\n")[0])
-    assert len(joins) == 1  # bucket offsets only
+def test_threshold_tables_equal_the_window_form(spark):
+    """Ties, a hot score and NULLs; thresholds that fall inside and between buckets."""
+    value = F.when(F.col("id") % 3 == 0, 0.5).when(F.col("id") % 11 == 0, None).otherwise(F.rand(5))
+    df = spark.range(4000).select((F.col("id") % 2).alias("tid"), value.cast("float").alias("score")).cache()
+    cuts, names = [0.0, 0.001, 0.25, 0.5, 0.75], ["a", "b", "c", "d", "e", "f"]
+    for strategy in ("percentile", "absolute"):
+        rank = F.percent_rank().over(Window.partitionBy("tid").orderBy(F.col("score").desc()))
+        by = rank if strategy == "percentile" else F.col("score").cast("double")
+        by = F.when(F.col("score").isNotNull(), by)
+        label = scores.bucket_label(F.col("by"), F.array(*map(F.lit, cuts)), F.array(*map(F.lit, names)))
+        expected = df.withColumn("by", by).groupBy("tid", label.alias("bucket")).agg(
+            F.min("score"), F.max("score"), F.round(F.avg("score"), 9))
+        got = scores.threshold_table(df, strategy, cuts, names, ["tid"])
+        assert rows(got.select("tid", "bucket", "min_score", "max_score", F.round("avg_score", 9))) == rows(expected)
 
 
 def test_best_run_is_a_partial_aggregate(spark):
