@@ -285,7 +285,7 @@ def _(spark, sf):
 
 
 @query("f06_global_extremes", """
-SELECT CAST(max(CAST(to_timestamp(timestamp - 5 * 3600) AT TIME ZONE 'UTC' AS DATE)) AS VARCHAR) AS ts_date FROM v_membership""")
+SELECT CAST(CAST(max(make_timestamp(CAST(timestamp - 5 * 3600 AS BIGINT) * 1000000)) AS DATE) AS VARCHAR) AS ts_date FROM v_membership""")
 def _(spark, sf):
     return segments.latest_file_date(v.v_membership(spark, sf))
 

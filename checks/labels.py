@@ -17,6 +17,7 @@ from cohortia.operators.recipes import (
     MatchesAny,
     MatchesPercentage,
     TargetClass,
+    find_keys,
     label_one,
     label_users,
 )
@@ -81,12 +82,6 @@ def _(spark, sf):
     return targets.groupBy("xid").agg(recipe.compile(targets).user.alias("matched"))
 
 
-PERCENT_SQL = """
-WITH ranked AS (SELECT xid, row_number() OVER (ORDER BY value, md5(xid), xid) / CAST(count(*) OVER () AS DOUBLE) AS ratio
-  FROM v_targets WHERE vendor = 'dfp' AND "group" = 'g3')
-SELECT xid, count(*) AS n FROM ranked WHERE ratio >= 0.95 GROUP BY xid"""
-
-
 @query("d05_matches_percentage", """
 WITH ranked AS (SELECT xid, row_number() OVER (ORDER BY value, md5(xid), xid) / CAST(count(*) OVER () AS DOUBLE) AS ratio
   FROM v_targets WHERE vendor = 'dfp' AND "group" = 'g3')
@@ -95,12 +90,16 @@ UNION ALL SELECT DISTINCT xid, 'bottom' FROM ranked WHERE ratio <= 0.1""")
 def _(spark, sf):
     targets = v.v_targets(spark, sf)
     group = Behavior({"vendor": "dfp", "group": "g3"})
-
-    def users(share, direction, side):
-        mask = MatchesPercentage(group, share, direction=direction).mask(targets)
-        return targets.filter(mask).select("xid", F.lit(side).alias("side")).distinct()
-
-    return users(0.95, "greater_than", "top").union(users(0.1, "less_than", "bottom"))
+    sides = {
+        "top": MatchesPercentage(group, 0.95),
+        "bottom": MatchesPercentage(group, 0.1, direction="less_than"),
+    }
+    keys = find_keys(targets, list(sides.values()))
+    top, bottom = (
+        targets.filter(share.compile(targets, keys).row).select("xid", F.lit(side).alias("side")).distinct()
+        for side, share in sides.items()
+    )
+    return top.union(bottom)
 
 
 @query("d06_column_as_target", """

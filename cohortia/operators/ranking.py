@@ -9,6 +9,10 @@ windows below are bounded whatever the number of rows.  Buckets are a function
 of the value alone: nothing is sampled, and a re-run task gives the same answer.
 """
 
+from dataclasses import dataclass
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -138,56 +142,96 @@ def bucket_number(value: Column, cuts: Column, buckets: int) -> Column:
     return sum(passed[1:], passed[0])
 
 
-def boundary_key(df: DataFrame, value: str, tie: str, share: float, from_top: bool) -> dict | None:
-    """The row key at which ``row_number / count`` crosses ``share``.
+@dataclass(frozen=True)
+class Edge:
+    """A top or bottom share of the rows that satisfy a condition, by a value."""
+
+    condition: Column
+    value: str
+    share: float
+    from_top: bool
+
+
+def boundary_keys(df: DataFrame, edges: list[Edge], tie: str) -> list[dict | None]:
+    """For each edge, the row key at which ``row_number / count`` crosses its share.
 
-    Rows are ordered by ``(value, md5(tie), tie)``.  With ``from_top`` the first
-    key whose ratio reaches ``share`` is returned, else the last one that does
-    not exceed it; None when there is none.
+    Rows are ordered by ``(value, md5(tie), tie)``.  From the top that is the
+    first key whose ratio reaches the share, else the last one that does not
+    exceed it; None when there is none.
 
-    Four narrowing jobs, each an aggregate that returns one row: the order
-    bucket, the value inside it, the md5 prefix among rows with that value (at
-    most 65,536 prefixes), and the key inside that prefix.
+    Four narrowing jobs serve all edges together, each an aggregate returning
+    one row per edge: the order bucket, the value inside it, the md5 prefix
+    among rows with that value (at most 65,536 prefixes), and the key inside
+    that prefix.
     """
-    rows = df.select(
-        F.col(value).cast("double").alias("v"), F.col(tie).alias("t"), F.md5(tie).alias("h")
+    entries = [
+        F.when(e.condition, F.struct(F.lit(i).alias("edge"), F.col(e.value).cast("double").alias("v")))
+        for i, e in enumerate(edges)
+    ]
+    rows = (
+        df.filter(reduce(or_, [e.condition for e in edges]))
+        .select(F.col(tie).alias("t"), F.md5(tie).alias("h"), F.explode(F.array(*entries)).alias("e"))
+        .filter("e IS NOT NULL")
+        .select("e.edge", "e.v", "h", "t")
     )
 
+    def per_edge(values, kind):
+        listed = F.array(*[F.lit(value).cast(kind) for value in values])
+        return F.element_at(listed, F.col("edge") + 1)
+
+    share = per_edge([e.share for e in edges], "double")
+    from_top = per_edge([e.from_top for e in edges], "boolean")
+    n_rows = F.count(F.lit(1)).alias("n_rows")
+
+    def running(counted, *order):
+        so_far = Window.partitionBy("edge").orderBy(*order).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow
+        )
+        return counted.withColumn("n_before", F.sum("n_rows").over(so_far) - F.col("n_rows"))
+
     def crossing(counted, order, before, total):
-        """Candidate holding the crossing, as ``(order value, rows before it)``."""
+        """``{edge: (order value, rows before it, all rows)}``."""
         first = (before + 1) / total
         last = (before + F.col("n_rows")) / total
-        inside = counted.filter((last >= share) if from_top else (first <= share))
-        choose = F.min_by if from_top else F.max_by
+        inside = F.when(from_top, last >= share).otherwise(first <= share)
         rank = F.struct(F.col(order).isNotNull().alias("known"), F.col(order).alias("at"))
         found = F.struct(F.col(order).alias("at"), before.alias("before"), total.alias("total"))
-        return inside.agg(choose(found, rank).alias("found")).first()["found"]
+        ends = counted.filter(inside).groupBy("edge").agg(
+            F.min_by(found, rank).alias("lowest"), F.max_by(found, rank).alias("highest")
+        )
+        chosen = F.when(from_top, F.col("lowest")).otherwise(F.col("highest"))
+        return dict(ends.select("edge", chosen).collect())
 
-    def running(counted, *order):
-        so_far = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return counted.withColumn("n_before", F.sum("n_rows").over(so_far) - F.col("n_rows"))
+    def of(found, field, kind):
+        return per_edge([found[i][field] if i in found else None for i in range(len(edges))], kind)
 
-    n_rows = F.count(F.lit(1)).alias("n_rows")
     rows = with_order_bucket(rows, "v")
-    buckets = bucket_offsets(rows, [], F.count(F.lit(1))).withColumnRenamed("_in_bucket", "n_rows")
+    buckets = bucket_offsets(rows, ["edge"], F.count(F.lit(1)))
+    buckets = buckets.withColumnRenamed("_in_bucket", "n_rows")
     at_bucket = crossing(buckets, "_bucket", F.col("_offset"), F.col("n_total"))
-    if at_bucket is None:
-        return None
-    total = F.lit(at_bucket["total"])
+    if not at_bucket:
+        return [None] * len(edges)
+    total = of(at_bucket, "total", "bigint")
 
-    rows = rows.filter(F.col("_bucket") == at_bucket["at"])
-    by_value = running(rows.groupBy("v").agg(n_rows), "v")
-    at_value = crossing(by_value, "v", F.lit(at_bucket["before"]) + F.col("n_before"), total)
-    rows = rows.filter(F.col("v").eqNullSafe(F.lit(at_value["at"]).cast("double")))
+    rows = rows.filter(F.col("_bucket") == of(at_bucket, "at", "bigint"))
+    by_value = running(rows.groupBy("edge", "v").agg(n_rows), "v")
+    before = of(at_bucket, "before", "bigint") + F.col("n_before")
+    at_value = crossing(by_value, "v", before, total)
 
+    rows = rows.filter(F.col("v").eqNullSafe(of(at_value, "at", "double")))
     prefix = F.substring("h", 1, 4)
-    by_prefix = running(rows.groupBy(prefix.alias("p")).agg(n_rows), "p")
-    at_prefix = crossing(by_prefix, "p", F.lit(at_value["before"]) + F.col("n_before"), total)
-
-    inside = rows.filter(prefix == at_prefix["at"])
-    by_key = running(inside.groupBy(F.struct("h", "t").alias("key")).agg(n_rows), "key")
-    at_key = crossing(by_key, "key", F.lit(at_prefix["before"]) + F.col("n_before"), total)
-    return {"v": at_value["at"], "h": at_key["at"]["h"], "t": at_key["at"]["t"]}
+    by_prefix = running(rows.groupBy("edge", prefix.alias("p")).agg(n_rows), "p")
+    before = of(at_value, "before", "bigint") + F.col("n_before")
+    at_prefix = crossing(by_prefix, "p", before, total)
+
+    rows = rows.filter(prefix == of(at_prefix, "at", "string"))
+    by_key = running(rows.groupBy("edge", F.struct("h", "t").alias("key")).agg(n_rows), "key")
+    before = of(at_prefix, "before", "bigint") + F.col("n_before")
+    at_key = crossing(by_key, "key", before, total)
+    return [
+        {"v": at_value[i]["at"], **at_key[i]["at"].asDict()} if i in at_key else None
+        for i in range(len(edges))
+    ]
 
 
 def beyond(value: Column, tie: Column, key: dict | None, from_top: bool) -> Column:

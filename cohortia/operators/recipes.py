@@ -23,7 +23,7 @@ from cohortia import schemas
 from cohortia.errors import InvalidDefinition
 from cohortia.functions.aspects import all_of, any_of, aspect_value
 from cohortia.operators import requirements as req
-from cohortia.operators.ranking import beyond, boundary_key
+from cohortia.operators.ranking import Edge, beyond, boundary_keys
 
 ID = "xid"
 DIRECTIONS = ("greater_than", "less_than")
@@ -143,7 +143,12 @@ class TargetClass:
     def from_args(cls, args: dict) -> TargetClass:
         raise NotImplementedError
 
-    def compile(self, targets: DataFrame) -> Membership:
+    def shares(self) -> list[MatchesPercentage]:
+        """Percentage classes at or below this one."""
+        return []
+
+    def compile(self, targets: DataFrame, keys: dict | None = None) -> Membership:
+        """``keys`` holds boundaries that were found beforehand, see ``find_keys``."""
         raise NotImplementedError
 
     def mask(self, targets: DataFrame) -> Column:
@@ -176,10 +181,14 @@ class MatchesAny(TargetClass):
             args["classes"] = [c.to_dict() for c in self.classes]
         return args
 
-    def compile(self, targets):
+    def shares(self):
+        return [share for c in self.classes for share in c.shares()]
+
+    def compile(self, targets, keys=None):
         rows = [b.condition(targets.schema) for b in self.behaviors]
         users = []
-        for inner in (c.compile(targets) for c in self.classes):
+        keys = find_keys(targets, self.shares()) if keys is None else keys
+        for inner in (c.compile(targets, keys) for c in self.classes):
             if inner.row is not None:
                 rows.append(inner.row)
             if inner.user is not None:
@@ -215,7 +224,7 @@ class MatchesAllExcept(TargetClass):
             "excluded_behaviors": [b.to_dict() for b in self.excluded_behaviors],
         }
 
-    def compile(self, targets):
+    def compile(self, targets, keys=None):
         included = any_of([b.condition(targets.schema) for b in self.behaviors])
         excluded = any_of([b.condition(targets.schema) for b in self.excluded_behaviors])
         return Membership(user=F.min(F.coalesce(excluded, included)))
@@ -252,14 +261,26 @@ class MatchesPercentage(TargetClass):
             "direction": self.direction,
         }
 
-    def compile(self, targets):
-        matched = self.behavior.condition(targets.schema)
-        from_top = self.direction == "greater_than"
-        key = boundary_key(
-            targets.filter(matched), self.value_col, ID, self.percentage, from_top
-        )
-        far_side = beyond(F.col(self.value_col), F.col(ID), key, from_top)
-        return Membership(row=matched & far_side)
+    def shares(self):
+        return [self]
+
+    def edge(self, targets) -> Edge:
+        condition = self.behavior.condition(targets.schema)
+        return Edge(condition, self.value_col, self.percentage, self.direction == "greater_than")
+
+    def compile(self, targets, keys=None):
+        keys = find_keys(targets, [self]) if keys is None else keys
+        edge = self.edge(targets)
+        far_side = beyond(F.col(self.value_col), F.col(ID), keys[id(self)], edge.from_top)
+        return Membership(row=edge.condition & far_side)
+
+
+def find_keys(targets: DataFrame, shares: list[MatchesPercentage]) -> dict[int, dict | None]:
+    """Boundary keys of percentage classes, all found in one set of jobs."""
+    if not shares:
+        return {}
+    found = boundary_keys(targets, [share.edge(targets) for share in shares], ID)
+    return {id(share): key for share, key in zip(shares, found)}
 
 
 @dataclass
@@ -328,11 +349,15 @@ class Dataset:
         labels = [F.when(c.mask(targets), F.lit(value)) for value, c in self._ordered()]
         return F.coalesce(*labels).alias(name)
 
-    def user_label(self, targets: DataFrame) -> tuple[Column, Column | None]:
+    def shares(self) -> list[MatchesPercentage]:
+        return [share for c in self.classes.values() for share in c.shares()]
+
+    def user_label(self, targets: DataFrame, keys=None) -> tuple[Column, Column | None]:
         """Aggregate giving a user's largest row label, and a row pre-filter.
 
         The filter is None when rows outside every class matter too.
         """
+        keys = find_keys(targets, self.shares()) if keys is None else keys
         if self.column:
             value = self.column.value(targets)
             return F.max(value), value.isNotNull()
@@ -341,7 +366,7 @@ class Dataset:
         seen_row, seen_user = false, false
         labels, useful, needs_all = [], [], False
         for value, target_class in self._ordered():
-            member = target_class.compile(targets)
+            member = target_class.compile(targets, keys)
             row = false if member.row is None else F.coalesce(member.row, false)
             user = false if member.user is None else F.coalesce(member.user, false)
             here = F.max(row & ~seen_row)
@@ -372,7 +397,10 @@ def label_users(targets: DataFrame, datasets: dict[str, Dataset]) -> DataFrame:
 
     Users that no data set labels are left out.
     """
-    return compiled_labels(targets, {name: d.user_label(targets) for name, d in datasets.items()})
+    keys = find_keys(targets, [share for d in datasets.values() for share in d.shares()])
+    return compiled_labels(
+        targets, {name: d.user_label(targets, keys) for name, d in datasets.items()}
+    )
 
 
 def label_one(targets: DataFrame, dataset: Dataset, name="target") -> DataFrame:

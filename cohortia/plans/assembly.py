@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortia.functions.ids import unit_hash
-from cohortia.operators.recipes import ID, compiled_labels
+from cohortia.operators.recipes import ID, compiled_labels, find_keys
 from cohortia.plans.workflow import Workflow
 from cohortia.session import staged
 from cohortia.sources import sinks
@@ -71,9 +71,13 @@ def assemble(features: DataFrame, targets: DataFrame, workflows: list[Workflow],
         problems[workflow.id] = (status, fault, trace)
 
     usable, compiled = {}, {}
+    try:
+        keys = find_keys(targets, [s for w in workflows if w.dataset for s in w.dataset.shares()])
+    except Exception:
+        keys = None  # some recipe is faulty: find which one below
     for position, workflow in enumerate(workflows):
         try:
-            compiled[_label(position)] = workflow.dataset.user_label(targets)
+            compiled[_label(position)] = workflow.dataset.user_label(targets, keys)
             usable[_label(position)] = workflow
         except Exception as fault:
             failed(workflow, "failed_on_load_target", fault)

@@ -1,38 +1,22 @@
 """What the plans must and must not contain, and how hot keys are handled."""
 
 import re
-from pathlib import Path
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from tests.conftest import rows
 
-import __spark_entry__ as entry
 from cohortia.operators import latest, ranking, scores
 from cohortia.operators.recipes import Behavior, Dataset, MatchesAllExcept, MatchesAny, label_users
 from cohortia.operators.requirements import Requirements
 
-SF = "/root/testdata/sf0.001"
-needs_tables = pytest.mark.skipif(not Path(SF).exists(), reason="test tables are not here")
-# these write tables or fit models before they return a frame
-EAGER = ("b0", "m03", "m04", "m05", "m14", "m15", "m16", "m17", "m20", "m21", "l03", "l06", "o01")
-FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonMapInArrow",
-             "FlatMapGroupsInPandas", "MapInPandas"]
-
 
 def plan(df):
     mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     return df._jdf.queryExecution().explainString(mode)
 
 
-@needs_tables
-@pytest.mark.parametrize("name", [n for n in sorted(entry.queries()) if not n.startswith(EAGER)])
-def test_plans_stay_in_the_engine_and_never_cross_join(spark, name):
-    text = plan(entry.queries()[name](spark, SF))
-    assert not [word for word in FORBIDDEN if word in text]
-
-
 @pytest.fixture
 def targets(spark, folder):
     data = spark.range(3000).select(

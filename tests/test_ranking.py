@@ -81,13 +81,25 @@ def test_boundary_selects_the_users_of_the_window_form(spark, share, from_top):
     ratio = F.col("ratio") >= share if from_top else F.col("ratio") <= share
     pairs = [F.col("v").cast("double"), "u"]
     expected = set(map(tuple, ratio_rows(df).filter(ratio).select(*pairs).distinct().collect()))
-    key = ranking.boundary_key(df, "v", "u", share, from_top)
+    edges = [ranking.Edge(F.lit(True), "v", share, from_top), ranking.Edge(F.lit(False), "v", share, from_top)]
+    key, none = ranking.boundary_keys(df, edges, "u")
+    assert none is None
     chosen = df.filter(ranking.beyond(F.col("v"), F.col("u"), key, from_top))
     assert set(map(tuple, chosen.select(*pairs).distinct().collect())) == expected
 
 
+def test_edges_are_found_together(spark):
+    df = frame(spark, awkward(300)).cache()
+    parts = [F.col("i") % 3 == 0, F.col("v") > 0, F.col("u").isin("u1", "u2"), F.col("v").isNull()]
+    edges = [ranking.Edge(c, "v", share, top) for c in parts for share in (0.2, 0.9) for top in (True, False)]
+    together = ranking.boundary_keys(df, edges, "u")
+    for edge, key in zip(edges, together):
+        assert ranking.boundary_keys(df, [edge], "u") == [key]
+
+
 def test_boundary_of_no_rows(spark):
-    assert ranking.boundary_key(frame(spark, [1.0]).filter("false"), "v", "u", 0.5, True) is None
+    edge = ranking.Edge(F.lit(True), "v", 0.5, True)
+    assert ranking.boundary_keys(frame(spark, [1.0]).filter("false"), [edge], "u") == [None]
     nothing = frame(spark, [1.0, 2.0]).filter(ranking.beyond(F.col("v"), F.col("u"), None, True))
     assert nothing.isEmpty()
 
