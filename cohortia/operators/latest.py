@@ -35,6 +35,11 @@ def last_date(df: DataFrame, keys: list[str], column="arg_date", name="last_date
 
 
 def recent_activity(rows: DataFrame, user: str, day="dt", days=30) -> DataFrame:
-    """Rows within ``days`` of the user's last day, with that day as ``last_seen``."""
-    last = rows.groupBy(user).agg(F.max(day).alias("last_seen"))
+    """Rows within ``days`` of the user's last day, with that day as ``last_seen``.
+
+    The one-row-per-user side is moved off the user's own partitioning first:
+    adaptive execution splits a hot user only when both join inputs come
+    straight from a shuffle, not from an aggregate that already sits on the key.
+    """
+    last = rows.groupBy(user).agg(F.max(day).alias("last_seen")).repartition(F.xxhash64(user))
     return rows.join(last, user).filter(F.col(day) >= F.date_sub("last_seen", days))

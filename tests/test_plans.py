@@ -101,3 +101,29 @@ def test_hot_users_give_the_same_result_on_any_layout(targets):
     one = label_users(targets.repartition(1), {"g1": recipe("g1")})
     many = label_users(targets.repartition(11), {"g1": recipe("g1")})
     assert rows(one) == rows(many)
+
+
+def test_a_hot_user_is_split_in_the_recent_activity_join(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        user = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.md5((F.col("id") % 30000).cast("string")))
+        clicks = spark.range(0, 300_000, 1, 16).select(
+            user.alias("xid"),
+            F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 30).cast("int")).alias("dt"),
+            F.md5(F.col("id").cast("string")).alias("page"),
+        )
+        recent = latest.recent_activity(clicks, "xid", "dt", 10)
+        found = recent.groupBy("xid", "last_seen").agg(F.max("page").alias("page")).agg(F.count("page"))
+        found.collect()
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
