@@ -5,11 +5,12 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
-from checks import compare
+from checks import compare, registry
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables are not here")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES = {name: run for name, (run, _) in registry().items()}
+SQL = {name: sql for name, (_, sql) in registry().items() if sql is not None}
 
 # No exact SQL twin: learned models, and a manifest of names that SQL cannot write.
 ROWS_ONLY = {"a06_manifest_names", "l03_tuned_model", "l06_predictions", "m16_train_workflows"}
