@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortia.llm import html_text, mixing, packing, quality, topk
+from cohortia.llm import html_text, mixing, packing, quality, seed_extend, suffix_dedup, topk
 
 # Fixed value of the word definition, as SQL's regular expressions write it.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -48,6 +48,30 @@ FROM f
 """
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeated_bytes(_table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+OP3_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(doc_id, 9223372036854775807) AS o, doc_id,
+                  hex(encode(coalesce(text, ''))) AS t FROM documents),
+w AS (SELECT r, o, t, unnest(range(0, length(t) // 2 - 49)) AS i FROM d WHERE length(t) >= 100),
+f AS (SELECT r, i, o > min(o) OVER (PARTITION BY substr(t, 2 * i + 1, 100)) AS again FROM w),
+c AS (SELECT DISTINCT r, i + j AS p FROM f, range(50) AS s(j) WHERE again),
+n AS (SELECT r, count(*) AS n, count(*) FILTER (WHERE NOT joined) AS spans
+      FROM (SELECT r, p, coalesce(lag(p) OVER (PARTITION BY r ORDER BY p) = p - 1, false) AS joined FROM c) GROUP BY r),
+b AS (SELECT r, t, unnest(range(0, length(t) // 2)) AS p FROM d),
+k AS (SELECT r, string_agg(substr(t, 2 * p + 1, 2), '' ORDER BY p) AS kept FROM b ANTI JOIN c USING (r, p) GROUP BY r)
+SELECT doc_id, CAST(length(t) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN n USING (r) LEFT JOIN k USING (r)
+"""
+
+
 def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -82,10 +106,33 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(sizes).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = seed_extend.remove_repeats(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+OP10_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(doc_id, 9223372036854775807) AS o, doc_id,
+                  regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws FROM documents),
+w AS (SELECT r, o, ws, unnest(range(1, len(ws) - 18)) AS i FROM d WHERE len(ws) >= 20),
+h AS (SELECT r, o, i, array_to_string(ws[i:i + 19], ' ') AS h FROM w),
+f AS (SELECT r, i, o > min(o) OVER (PARTITION BY h) OR i > min(i) OVER (PARTITION BY h, r) AS again FROM h),
+c AS (SELECT DISTINCT r, i + j AS p FROM f, range(20) AS s(j) WHERE again),
+n AS (SELECT r, count(*) AS n FROM c GROUP BY r),
+b AS (SELECT r, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS p FROM d),
+k AS (SELECT r, string_agg(w, ' ' ORDER BY p) AS kept FROM b ANTI JOIN c USING (r, p) GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN n USING (r) LEFT JOIN k USING (r)
+"""
+
+
 REGISTRY = {
     "op1_quality_rules": (op1_quality_rules, OP1_SQL),
+    "op3_suffix_dedup": (op3_suffix_dedup, OP3_SQL),
     "op6_top_k": (op6_top_k, OP6_SQL),
     "op7_html_extraction": (op7_html_extraction, None),
     "op8_packing": (op8_packing, None),
     "op9_mixing": (op9_mixing, None),
+    "op10_substring_dedup": (op10_substring_dedup, OP10_SQL),
 }
