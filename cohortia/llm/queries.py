@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortia.llm import html_text, mixing, packing, quality, seed_extend, suffix_dedup, topk
+from cohortia.llm import html_text, minhash, mixing, packing, quality, seed_extend, suffix_dedup, topk
 
 # Fixed value of the word definition, as SQL's regular expressions write it.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -72,6 +72,27 @@ FROM d LEFT JOIN n USING (r) LEFT JOIN k USING (r)
 """
 
 
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, percent=85, tuples=8)
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+OP5_SQL = rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS ws
+  FROM documents),
+s AS (SELECT DISTINCT r, array_to_string(ws[i:i + 2], ' ') AS g
+      FROM (SELECT r, ws, unnest(range(1, greatest(len(ws) - 2, 1) + 1)) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+p AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.r <> b.r GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+t AS (SELECT r AS a, r AS b FROM d UNION SELECT t.a, l.b FROM t JOIN l ON l.a = t.b),
+m AS (SELECT t.a AS r, min(d.doc_id) AS component_id FROM t JOIN d ON d.r = t.b GROUP BY t.a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM d JOIN m USING (r) LEFT JOIN n USING (r)
+"""
+
+
 def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -130,6 +151,7 @@ FROM d LEFT JOIN n USING (r) LEFT JOIN k USING (r)
 REGISTRY = {
     "op1_quality_rules": (op1_quality_rules, OP1_SQL),
     "op3_suffix_dedup": (op3_suffix_dedup, OP3_SQL),
+    "op5_minhash_dedup": (op5_minhash_dedup, OP5_SQL),
     "op6_top_k": (op6_top_k, OP6_SQL),
     "op7_html_extraction": (op7_html_extraction, None),
     "op8_packing": (op8_packing, None),
