@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortia.llm import html_text, minhash, mixing, packing, quality, seed_extend, suffix_dedup, topk
+from cohortia.llm import chat, html_text, licenses, minhash, mixing, packing, quality, seed_extend, suffix_dedup, topk
 
 # Fixed value of the word definition, as SQL's regular expressions write it.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -48,6 +48,11 @@ FROM f
 """
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return licenses.train(docs).scan(docs)
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffix_dedup.remove_repeated_bytes(_table(spark, sf_dir, "documents"))
     return kept.select(
@@ -72,6 +77,26 @@ FROM d LEFT JOIN n USING (r) LEFT JOIN k USING (r)
 """
 
 
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = chat.format_chats(_table(spark, sf_dir, "conversations"))
+    trained = F.aggregate("loss_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return chats.select("conv_id", "n_turns", "n_copies", "text", trained.alias("loss_chars"))
+
+
+OP4_SQL = """
+WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS l
+      FROM t GROUP BY conv_id),
+u AS (SELECT min(conv_id) AS conv_id, count(*) AS n_copies, l FROM c GROUP BY l)
+SELECT conv_id, CAST(len(l) AS BIGINT) AS n_turns, n_copies,
+       array_to_string(list_transform(l, lambda x:
+         '<|' || coalesce(x.role, '') || '|>' || chr(10) || coalesce(x.text, '') || chr(10)), '') AS text,
+       CAST(coalesce(list_sum(list_transform(l, lambda x:
+         CASE WHEN x.role = 'assistant' THEN length(coalesce(x.text, '')) ELSE 0 END)), 0) AS BIGINT) AS loss_chars
+FROM u WHERE NOT EXISTS (SELECT 1 FROM u AS b WHERE len(b.l) > len(u.l) AND b.l[1:len(u.l)] = u.l)
+"""
+
+
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, percent=85, tuples=8)
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -150,7 +175,9 @@ FROM d LEFT JOIN n USING (r) LEFT JOIN k USING (r)
 
 REGISTRY = {
     "op1_quality_rules": (op1_quality_rules, OP1_SQL),
+    "op2_license_scan": (op2_license_scan, None),
     "op3_suffix_dedup": (op3_suffix_dedup, OP3_SQL),
+    "op4_chat_formatting": (op4_chat_formatting, OP4_SQL),
     "op5_minhash_dedup": (op5_minhash_dedup, OP5_SQL),
     "op6_top_k": (op6_top_k, OP6_SQL),
     "op7_html_extraction": (op7_html_extraction, None),

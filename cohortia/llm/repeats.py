@@ -23,7 +23,7 @@ the same messages.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -297,17 +297,24 @@ def _finish(finder: Finder, output: Callable):
         gather = lambda name: np.concatenate(
             [np.zeros(0, np.uint64), *[unpacked(x.as_py()) for x in spans[name]]]
         ).astype(np.int64)
-        return output(block, covered(len(block.codes), gather("begins"), gather("ends")))
+        kept = output(block, covered(len(block.codes), gather("begins"), gather("ends")))
+        return kept.append_column("carried", block.table["carried"]) if "carried" in texts.schema.names else kept
 
     return run
 
 
-def without_repeats(docs: DataFrame, finder: Finder, output: Callable, schema: str) -> DataFrame:
-    """output(block, removed symbols) of every block. docs: doc_id (long) and text."""
+def without_repeats(
+    docs: DataFrame, id_col: str, text_col: str, finder: Finder, output: Callable, schema: str, carry: Sequence[str] = ()
+) -> DataFrame:
+    """output(block, removed symbols) of every block, with the columns of docs named by carry in a struct ``carried``."""
+    rest = [F.struct(*[docs[f"`{c}`"] for c in carry]).alias("carried")] if carry else []
+    docs = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"), *rest)
+    if carry:
+        schema += f", carried {docs.schema['carried'].dataType.simpleString()}"
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks, buckets = (max(1, -(-size // unit)) for unit in (BLOCK_BYTES, BUCKET_BYTES))
     # by id alone: rows that repeat an id are compared inside their block
-    blocked = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block"), "doc_id", "text")
+    blocked = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block"), *docs.columns)
     seeds = blocked.groupBy("block").applyInArrow(_send_seeds(finder, buckets), SEEDS)
     codes = seeds.groupBy("bucket").applyInArrow(_judge_seeds, CODES_SENT)
     asked = blocked.groupBy("block").cogroup(codes.groupBy("block")).applyInArrow(_send_contexts(finder, buckets), ASKED)

@@ -9,12 +9,14 @@ the length threshold. ``repeats`` has the exchange that brings seeds together.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from cohortia.llm.repeats import Asked, Block, Finder, Seeds, span_lists, spans_by_text, without_repeats
-from cohortia.llm.sequences import joined_words
+from cohortia.llm.sequences import cut_words, joined_words
 
 SCHEMA = "doc_id long, n_words long, n_removed long, spans array<struct<begin:long,end:long>>, kept_text string"
 
@@ -49,35 +51,45 @@ def _earlier(asked: Asked) -> tuple[np.ndarray, np.ndarray]:
     return entry[order][earlier], shift[order][earlier]
 
 
-def _kept_words(block: Block, removed: np.ndarray) -> pa.Table:
-    counts = np.concatenate([[0], np.cumsum(removed)])
-    begins, ends = spans_by_text(removed, block.offsets)
-    return pa.table(
-        {
-            "doc_id": block.table["doc_id"],
-            "n_words": pa.array(np.diff(block.offsets)),
-            "n_removed": pa.array(np.diff(counts[block.offsets])),
-            "spans": span_lists(begins, ends, block.offsets),
-            "kept_text": joined_words(block.texts, block.words, ~removed).cast(pa.string()),
-        }
-    )
+def _kept_words(layout: bool):
+    def run(block: Block, removed: np.ndarray) -> pa.Table:
+        counts = np.concatenate([[0], np.cumsum(removed)])
+        begins, ends = spans_by_text(removed, block.offsets)
+        texts = (cut_words if layout else joined_words)(block.texts, block.words, ~removed)
+        return pa.table(
+            {
+                "doc_id": block.table["doc_id"],
+                "n_words": pa.array(np.diff(block.offsets)),
+                "n_removed": pa.array(np.diff(counts[block.offsets])),
+                "spans": span_lists(begins, ends, block.offsets),
+                "kept_text": texts.cast(pa.string()),
+            }
+        )
+
+    return run
 
 
 def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, seed: int = 6
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    window: int = 20,
+    seed: int = 6,
+    layout: bool = False,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Each document without the words of windows that start earlier too.
 
     A word is removed if a window of ``window`` words that covers it has the
     words of one that starts in a document of smaller id, or earlier in the same
     document. Windows are judged on the texts as given. Returns doc_id, n_words,
-    n_removed, spans (removed runs of words, from 0) and kept_text (the other
-    words, joined by one space).
+    n_removed, spans (removed runs of words, from 0), kept_text and, if ``carry``
+    names columns, these in a struct ``carried``. kept_text has the other words
+    joined by one space or, with ``layout``, the text as it was but for the runs.
 
     A null text has no words. A null id comes after all others. Rows that repeat
     an id are documents of their own, neither before the other. Other columns
     are ignored, whatever their names; no rows give no rows.
     """
-    narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
     finder = Finder(window, seed, True, True, _extended(window, seed), _earlier)
-    return without_repeats(narrow, finder, _kept_words, SCHEMA)
+    return without_repeats(docs, id_col, text_col, finder, _kept_words(layout), SCHEMA, carry)

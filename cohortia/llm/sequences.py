@@ -123,6 +123,21 @@ def joined_words(texts: Texts, words: Words, kept: np.ndarray) -> pa.Array:
     )
 
 
+def cut_words(texts: Texts, words: Words, kept: np.ndarray) -> pa.Array:
+    """Each text without its other words; a run of them goes with the white space up to the next word."""
+    change = np.zeros(len(texts.data) + 1, np.int32)
+    following = np.append(words.begin[1:], len(texts.data))  # or the text's end
+    of_text = np.searchsorted(words.offsets, np.arange(len(kept)), side="right") - 1
+    following = np.minimum(following, texts.offsets[1:][of_text]) if len(kept) else following[:0]
+    change[words.begin[~kept]] += 1
+    np.add.at(change, following[~kept], -1)
+    inside = np.cumsum(change[:-1]) == 0
+    offsets = np.concatenate([[0], np.cumsum(inside)])[texts.offsets].astype(np.int64)
+    return pa.Array.from_buffers(
+        pa.large_string(), len(texts), [None, pa.py_buffer(offsets), pa.py_buffer(texts.data[inside])]
+    )
+
+
 def sliding(op, values: np.ndarray, span: int) -> np.ndarray:
     """op over each stretch of span values; op is np.minimum or np.maximum."""
     size = 1

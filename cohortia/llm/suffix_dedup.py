@@ -177,6 +177,5 @@ def remove_repeated_bytes(
     id are documents of their own, neither smaller than the other. Other columns
     are ignored, whatever their names; no rows give no rows.
     """
-    narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
     finder = Finder(window, seed, False, False, _contexts(window, seed), _in_smaller(window))
-    return without_repeats(narrow, finder, _kept_bytes, SCHEMA)
+    return without_repeats(docs, id_col, text_col, finder, _kept_bytes, SCHEMA)
