@@ -14,6 +14,7 @@ whose number is bounded by ``training_rows`` and the templates.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -134,24 +135,28 @@ class Scanner:
         """
         scored = self.model.transform(_featured(paragraphs(docs, id_col, text_col), "text"))
         chances = vector_to_array("probability")
-        named = scored.select("doc_id", "paragraph", "text", "_words", "prediction", F.array_max(chances).alias("probability"))
         family = F.array(*map(F.lit, self.families))[F.col("prediction").cast("int")]
-        found = named.withColumn("family", family).where(F.col("family") != NONE)
+        top = F.struct(family.alias("family"), F.array_max(vector_to_array("probability")).alias("probability"))
+        # a generator, as a filter would be evaluated with all it depends on before the columns it depends on
+        notice = F.explode(F.filter(F.array(top), lambda x: x["family"] != NONE)).alias("top")
+        found = scored.select("doc_id", "paragraph", "text", "_words", notice).select("doc_id", "paragraph", "text", "_words", "top.*")
         known = F.col("probability") >= self.cut
         best = F.lit(0.0)
         for name, notices in TEMPLATES.items():
-            of_family = F.greatest(F.lit(0.0), *[self._similarity(notice) for notice in notices])
+            of_family = F.greatest(F.lit(0.0), *[_similarity(notice) for notice in notices])
             best = F.when(F.col("family") == name, of_family).otherwise(best)
         return found.select(
             "doc_id", "paragraph", "text", F.when(known, F.col("family")).otherwise(UNKNOWN).alias("family"), "probability",
             F.when(known, best).otherwise(0.0).alias("similarity"),
         ).withColumn("confirmed", F.col("similarity") >= self.overlap)
 
-    def _similarity(self, notice: str) -> Column:
-        """Share of a template's distinct three-word runs that the paragraph has."""
-        runs = F.array_distinct(ngrams(words(F.lit(notice)), 3))
-        own = ngrams(F.col("_words"), 3)
-        return F.size(F.array_intersect(own, runs)) / F.greatest(F.size(runs), F.lit(1))
+
+def _similarity(notice: str) -> Column:
+    """Share of a template's distinct three-word runs that the paragraph has."""
+    plain = re.findall(r"[^\W_]+", re.sub(r"\d+(\.\d+)*", "0", notice.lower()))
+    runs = sorted({" ".join(plain[i : i + 3]) for i in range(len(plain) - 2)})
+    own = F.array_distinct(ngrams(F.col("_words"), 3))
+    return F.size(F.array_intersect(own, F.array(*map(F.lit, runs)).cast("array<string>"))) / F.lit(max(len(runs), 1))
 
 
 def _variants(notices: DataFrame, fillers: DataFrame, count: int) -> DataFrame:
