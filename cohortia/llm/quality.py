@@ -177,5 +177,7 @@ def keep(docs: DataFrame, text_col: str = "text", rules=RULES) -> DataFrame:
     """
     ordered = order_rules(docs, text_col, rules)
     verdict = cascade(ordered, measures(F.col(TEXT), F.col(WORDS)))
-    judged = _with_words(docs, text_col).withColumn(VERDICT, verdict)
-    return judged.where(F.col(VERDICT).isNull()).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # a generator, as a filter on the verdict would be evaluated with the words it depends on, once for every word
+    passed = F.explode(F.when(verdict.isNull(), F.array(F.lit(1))).otherwise(F.array().cast("array<int>")))
+    judged = _with_words(docs, text_col).select("*", passed.alias(VERDICT))
+    return judged.select(*[F.col(f"`{c}`") for c in docs.columns])
