@@ -23,6 +23,8 @@ from cohortia.llm.repeats import Asked, Block, Finder, Seeds, span_lists, spans_
 SCHEMA = "doc_id long, n_bytes long, n_removed long, spans array<struct<begin:long,end:long>>, kept binary"
 #: Ends a context; no byte of UTF-8.
 END = 0xFF
+#: Contexts that one array takes, and all others of its last seed.
+CONTEXTS = 1 << 13
 
 
 def smaller_than_successor(text: np.ndarray) -> np.ndarray:
@@ -126,22 +128,33 @@ def _contexts(window: int, seed: int):
 def _in_smaller(window: int):
     """Windows that a suffix array finds in a smaller document too."""
 
-    def run(asked: Asked) -> tuple[np.ndarray, np.ndarray]:
-        width = asked.payload.shape[1]
-        text = asked.payload.reshape(-1)
+    def decide(text: np.ndarray, lengths: np.ndarray, docs: np.ndarray, width: int) -> np.ndarray:
         order = suffix_order(text, window)
         # a window ends before its context does
-        length = (asked.payload != END).sum(1)
-        fits = order % width + window <= length[order // width]
-        order = order[fits]
+        order = order[order % width + window <= lengths[order // width]]
         if not len(order):
-            return order, order
-        doc = asked.doc[order // width]
+            return order
+        doc = docs[order // width]
         new = common_prefixes(text, order, window) < window
         new[0] = True
         smallest = np.minimum.reduceat(doc, np.flatnonzero(new))[np.cumsum(new) - 1]
-        order = order[doc > smallest]
-        return order // width, order % width
+        return order[doc > smallest]
+
+    def run(asked: Asked) -> tuple[np.ndarray, np.ndarray]:
+        width = asked.payload.shape[1]
+        by_seed = np.argsort(asked.seed, kind="stable")
+        seed = asked.seed[by_seed]
+        starts = np.flatnonzero(np.concatenate([[True], seed[1:] != seed[:-1]]))
+        # equal windows share a seed, so arrays over whole seeds find them all
+        cuts = np.unique(np.concatenate([starts[np.searchsorted(starts, np.arange(0, starts[-1] + 1, CONTEXTS))], [len(seed)]]))
+        found = [np.zeros(0, np.int64)]
+        for begin, end in zip(np.r_[0, cuts[cuts > 0]][:-1], cuts[cuts > 0], strict=True):
+            some = by_seed[begin:end]
+            contexts = asked.payload[some]
+            repeated = decide(contexts.reshape(-1), (contexts != END).sum(1), asked.doc[some], width)
+            found.append(some[repeated // width] * width + repeated % width)
+        places = np.concatenate(found)
+        return places // width, places % width
 
     return run
 
