@@ -177,7 +177,7 @@ def parse(page: str) -> Tree:
             tree.text(html.unescape(page[at:begin]))
             at = page.find(">", begin) + 1 or size
             continue
-        if not (following[:1].isascii() and following[:1].isalpha() or following[:1] == "/"):
+        if following and not (following[:1].isascii() and following[:1].isalpha() or following[:1] == "/"):
             tree.text(html.unescape(page[at : begin + 1]))
             at = begin + 1
             continue
