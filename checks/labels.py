@@ -15,6 +15,7 @@ from cohortia.operators.recipes import (
     Dataset,
     MatchesAllExcept,
     MatchesAny,
+    MatchesAnyWithout,
     MatchesPercentage,
     TargetClass,
     find_keys,
@@ -71,6 +72,27 @@ def _(spark, sf):
     return targets.filter(TargetClass.from_dict(NESTED).mask(targets)).select(*ROW_COLUMNS)
 
 
+@query("d03_wide_recipe", f"""SELECT {ROW} FROM v_targets
+WHERE (vendor = 'dfp' AND CAST(substr("group", 2) AS INTEGER) % 3 = 0) OR {NESTED_SQL}""")
+def _(spark, sf):
+    """Thousands of behaviours next to nested classes."""
+    many = [Behavior({"vendor": "dfp", "group": f"g{3 * k}"}) for k in range(5000)]
+    targets = v.v_targets(spark, sf)
+    recipe = MatchesAny(many, [TargetClass.from_dict(NESTED)])
+    return targets.filter(recipe.mask(targets)).select(*ROW_COLUMNS)
+
+
+@query("d04_matches_any_without", """
+SELECT xid, CAST(bool_or(vendor = 'ncs') AND NOT bool_or("group" = 'g3' AND coalesce(value > 900, false)) AS INTEGER) AS matched
+FROM v_targets GROUP BY xid""")
+def _(spark, sf):
+    """Users with a purchase and without a large value in one group."""
+    large = {"logic": "general_behavior", "group": "g3", "value": {"value": 900.0000001, "direction": "greater_than"}}
+    recipe = MatchesAnyWithout([Behavior({"vendor": "ncs"})], [Behavior.from_dict(large)])
+    targets = v.v_targets(spark, sf)
+    return targets.groupBy("xid").agg(recipe.compile(targets).user.alias("matched"))
+
+
 @query("d04_matches_all_except", """
 SELECT DISTINCT xid, CAST(min(coalesce(value <= 400, vendor = 'dfp')) OVER (PARTITION BY xid) AS INTEGER) AS matched
 FROM v_targets""")

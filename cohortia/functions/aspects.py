@@ -1,7 +1,5 @@
 """JSON aspect columns."""
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,9 +30,17 @@ def aspect_value(name: str, column="aspect") -> Column:
     return F.get_json_object(column, f"$.{name}")
 
 
+def balanced(join, conditions: list[Column]) -> Column:
+    """One condition whose depth grows with the logarithm of their number."""
+    while len(conditions) > 1:
+        pairs = zip(conditions[::2], conditions[1::2])
+        conditions = [join(left, right) for left, right in pairs] + conditions[len(conditions) // 2 * 2 :]
+    return conditions[0]
+
+
 def all_of(conditions: list[Column]) -> Column:
-    return reduce(lambda left, right: left & right, conditions)
+    return balanced(lambda left, right: left & right, conditions)
 
 
 def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda left, right: left | right, conditions)
+    return balanced(lambda left, right: left | right, conditions)

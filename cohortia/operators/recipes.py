@@ -56,6 +56,14 @@ def _literal(name: str, value, schema: T.StructType) -> Column:
     return F.lit(value)
 
 
+def _is_one_of(name: str, values: list, schema: T.StructType) -> Column:
+    """Texts go over as one expression: a call for each of thousands of literals takes seconds."""
+    if name in schema.names and isinstance(schema[name].dataType, T.StringType):
+        texts = (str(value).replace("\\", "\\\\").replace("'", "\\'") for value in values)
+        return F.expr(f"`{name}` IN ({', '.join(f"'{text}'" for text in texts)})")
+    return F.col(name).isin([_literal(name, value, schema) for value in values])
+
+
 def _aspect_equals(name: str, value) -> Column:
     text = aspect_value(name)
     if isinstance(value, (int, float)) and not isinstance(value, bool):
@@ -108,6 +116,52 @@ class Behavior:
         return all_of(tests)
 
 
+def any_behavior(behaviors: list[Behavior], schema=schemas.TARGETS) -> Column:
+    """Whether any behaviour holds.
+
+    Behaviours that differ in one value alone become one ``IN``, whose cost does
+    not grow with the number of values: real recipes list thousands of groups.
+    """
+
+    def parts(behavior: Behavior) -> dict:
+        found = {("attribute", name): value for name, value in behavior.attributes.items()}
+        return found | {("aspect", name): value for name, value in behavior.aspects.items()}
+
+    def listable(key, value) -> bool:
+        number = isinstance(value, (int, float)) and not isinstance(value, bool)
+        return not (value is None or isinstance(value, (dict, list)) or key[0] == "aspect" and number)
+
+    def apart(key) -> dict:
+        """Behaviours by all but their value for key."""
+        groups: dict = {}
+        for behavior in behaviors:
+            values = parts(behavior)
+            one = key in values and listable(key, values[key])
+            rest = {k: repr(v) for k, v in values.items() if not (one and k == key)}
+            groups.setdefault((one, behavior.general, frozenset(rest.items())), []).append(behavior)
+        return groups
+
+    keys = dict.fromkeys(key for behavior in behaviors for key in parts(behavior))
+    if len(behaviors) < 2 or not keys:
+        return any_of([behavior.condition(schema) for behavior in behaviors])
+    kind, name = key = min(keys, key=lambda key: len(apart(key)))
+    conditions = []
+    for (one, general, _), alike in apart(key).items():
+        if not one or len(alike) == 1:
+            conditions += [behavior.condition(schema) for behavior in alike]
+            continue
+        rest = Behavior(dict(alike[0].attributes), dict(alike[0].aspects), general)
+        values = [(b.attributes if kind == "attribute" else b.aspects)[name] for b in alike]
+        if kind == "attribute":
+            del rest.attributes[name]
+            member = _is_one_of(name, values, schema)
+        else:
+            del rest.aspects[name]
+            member = aspect_value(name).isin([str(v).lower() if isinstance(v, bool) else v for v in values])
+        conditions.append(rest.condition(schema) & member if rest.attributes or rest.aspects else member)
+    return any_of(conditions)
+
+
 @dataclass
 class Membership:
     """Compiled class: a row is a member when ``row`` or ``user`` holds."""
@@ -185,7 +239,7 @@ class MatchesAny(TargetClass):
         return [share for c in self.classes for share in c.shares()]
 
     def compile(self, targets, keys=None):
-        rows = [b.condition(targets.schema) for b in self.behaviors]
+        rows = [any_behavior(self.behaviors, targets.schema)] if self.behaviors else []
         users = []
         keys = find_keys(targets, self.shares()) if keys is None else keys
         for inner in (c.compile(targets, keys) for c in self.classes):
@@ -225,11 +279,39 @@ class MatchesAllExcept(TargetClass):
         }
 
     def compile(self, targets, keys=None):
-        included = any_of([b.condition(targets.schema) for b in self.behaviors])
-        excluded = any_of([b.condition(targets.schema) for b in self.excluded_behaviors])
+        included = any_behavior(self.behaviors, targets.schema)
+        excluded = any_behavior(self.excluded_behaviors, targets.schema)
         return Membership(user=F.min(F.coalesce(excluded, included)))
 
 
+@dataclass
+class MatchesAnyWithout(TargetClass):
+    """Any behaviour matches, on rows of users none of whose rows is excluded."""
+
+    logic = "matches_any_without"
+    behaviors: list[Behavior]
+    excluded_behaviors: list[Behavior]
+
+    @classmethod
+    def from_args(cls, args):
+        behaviors, excluded = _need(args, "behaviors", "excluded_behaviors")
+        return cls(
+            [Behavior.from_dict(b) for b in behaviors],
+            [Behavior.from_dict(b) for b in excluded],
+        )
+
+    def args(self):
+        return {
+            "behaviors": [b.to_dict() for b in self.behaviors],
+            "excluded_behaviors": [b.to_dict() for b in self.excluded_behaviors],
+        }
+
+    def compile(self, targets, keys=None):
+        included = F.max(F.coalesce(any_behavior(self.behaviors, targets.schema), F.lit(False)))
+        excluded = F.max(F.coalesce(any_behavior(self.excluded_behaviors, targets.schema), F.lit(False)))
+        return Membership(user=included & ~excluded)
+
+
 @dataclass
 class MatchesPercentage(TargetClass):
     """Rows in the top or bottom share of a behaviour's rows, by a value column.

@@ -68,6 +68,8 @@ def check_thresholds(strategy: str, thresholds: list[float], buckets: list[str])
         raise InvalidDefinition("decile thresholds need nine values for ten buckets")
     if len(buckets) != len(thresholds) + 1:
         raise InvalidDefinition("there must be one more bucket than thresholds")
+    if any(high <= low for low, high in zip(thresholds, thresholds[1:])):
+        raise InvalidDefinition("thresholds must increase")
 
 
 def bucket_label(value: Column, thresholds: Column, buckets: Column) -> Column:
