@@ -11,7 +11,7 @@ from cohortia.errors import EmptyInput
 from cohortia.functions.aspects import aspect
 from cohortia.operators import segments as seg
 from cohortia.operators.identity import bridge_segments
-from cohortia.plans.targets import PRESENT, REGISTRY, VendorTargets
+from cohortia.plans.targets import PRESENT, VendorTargets
 from cohortia.sources import sinks
 from cohortia.sources.identity import id_maps, require_some_day
 from cohortia.sources.tables import require_rows
@@ -51,5 +51,3 @@ class SegmentTargets(VendorTargets):
     def write(self, targets, uri):
         return sinks.replace_targets(targets, uri, seg.replaced_partitions(self.days))
 
-
-REGISTRY["adobe", "mcid"] = SegmentTargets

@@ -107,10 +107,13 @@ def assemble(features: DataFrame, targets: DataFrame, workflows: list[Workflow],
 
     if usable:
         try:
-            sinks.write_training_sets(training_rows(features, labels, kept), uri)
-            written = spark.read.parquet(uri).filter(F.col("workflow_id").isin(list(kept)))
+            rows = training_rows(features, labels, kept)
+            sinks.write_training_sets(rows, uri)
+            # with the schema given, an id like 0012 stays a text
+            written = spark.read.schema(rows.schema).parquet(uri).filter(F.col("workflow_id").isin(list(kept)))
+            by_id = {w.id: w for w in usable.values()}
             for row in written.groupBy("workflow_id", "target").count().collect():
-                workflow = next(w for w in usable.values() if w.id == str(row["workflow_id"]))
+                workflow = by_id[row["workflow_id"]]
                 name = workflow.dataset.requirements.name(row["target"])
                 stats[workflow.id][f"final_{name}s"] = row["count"]
         except Exception as fault:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortia import schemas
+from cohortia.errors import EmptyInput
 from cohortia.operators.scores import check_thresholds, threshold_ranges
 from cohortia.plans.workflow import Postprocessor, Thresholds, Workflow
 from cohortia.sources import sinks
@@ -65,14 +66,16 @@ def postprocess_all(scores: DataFrame, workflows: list[Workflow], date: datetime
                     uri: str) -> list[dict]:
     """Run every post-processor of every workflow; one report each.
 
-    All threshold tables come from one job; other steps run one by one.  A step
-    that fails is reported and the others go on.
+    All threshold tables come from one job; other steps run one by one, before
+    it, and scores that they write are read again for it.  A step that fails is
+    reported and the others go on; thresholds of a workflow without scores fail.
     """
     spark = scores.sparkSession
     steps = [(w, p) for w in workflows for p in w.postprocessors]
     faults: dict[tuple, Exception] = {}
 
     together: list[Workflow] = []
+    refreshed: list[str] = []
     for workflow, step in steps:
         try:
             if isinstance(step, Thresholds):
@@ -80,11 +83,22 @@ def postprocess_all(scores: DataFrame, workflows: list[Workflow], date: datetime
                 together.append(replace(workflow, postprocessors=[step]))
             else:
                 step.process(scores, workflow, date)
+                if isinstance(step, ExternalScores):
+                    refreshed.append(step.scores_uri)
         except Exception as fault:
             faults[workflow.id, step.pid] = fault
     if together:
         try:
+            for written in dict.fromkeys(refreshed):
+                now = spark.read.schema(schemas.SCORES).parquet(written).select("xid", "score", "date", "tid")
+                scores = scores.select(*now.columns).unionByName(now).distinct()
             day = scores.filter(F.col("date") == F.lit(date))
+            wanted = [w.trait_id for w in together]
+            found = {r["tid"] for r in day.filter(F.col("tid").isin(wanted)).select("tid").distinct().collect()}
+            for workflow in [w for w in together if w.trait_id not in found]:
+                fault = EmptyInput(f"no scores of trait {workflow.trait_id} on {date}")
+                faults[workflow.id, workflow.postprocessors[0].pid] = fault
+                together.remove(workflow)
             table = threshold_tables(day, configurations(spark, together))
             sinks.write_thresholds(table.withColumn("date", F.lit(date)), uri)
         except Exception as fault:

@@ -345,7 +345,10 @@ REGISTRY: dict[tuple[str, str | None], type[VendorTargets]] = {
 
 def vendor_for(vendor: str, source: str | None, execution_date, **inputs) -> VendorTargets:
     """Configured vendor for an execution date; ``inputs`` are its extra frames."""
-    kind = REGISTRY.get((vendor, source)) or (ClickLogGroups if source == "ga" else None)
+    from cohortia.plans.adobe import SegmentTargets  # extends VendorTargets, so it comes after this module
+
+    known = REGISTRY | {("adobe", "mcid"): SegmentTargets}
+    kind = known.get((vendor, source)) or (ClickLogGroups if source == "ga" else None)
     if kind is None:
         raise KeyError(f"unknown vendor and source {vendor}/{source}")
     if kind is ClickLogGroups:

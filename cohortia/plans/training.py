@@ -59,7 +59,8 @@ def trial_params(lr: LogisticRegression, seed=SEED, trials=TRIALS) -> list[dict]
 
 def roc_auc(predicted: DataFrame, label="target") -> float:
     return BinaryClassificationEvaluator(
-        labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC"
+        labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC",
+        numBins=0,  # every distinct score is a point of the curve, however many there are
     ).evaluate(predicted)
 
 
