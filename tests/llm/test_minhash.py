@@ -81,7 +81,7 @@ def test_one_of_each_keeps_columns_and_every_group(awkward):
     kept = minhash.one_of_each(awkward)
     assert kept.columns == awkward.columns
     ids = [r.doc_id for r in kept.collect()]
-    assert sorted(i for i in ids if i is not None) == [-3, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12]
+    assert sorted(i for i in ids if i is not None) == [-3, 1, 4, 5, 6, 7, 8, 10, 12]  # 2, 3 and -3 share a passage that is nearly all of them
 
 
 def test_components_of_a_path_and_a_star(spark):
