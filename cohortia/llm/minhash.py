@@ -130,9 +130,10 @@ def _clusters(nodes: DataFrame) -> DataFrame:
     )
     near = F.bit_count(F.col("bits").bitwiseXOR(F.col("centre_bits"))) <= FAR_BITS
     edges = tables.join(centres, "key").where(near & (F.col("member") != F.col("centre")))
-    return components(edges.select(F.col("centre").alias("a"), F.col("member").alias("b")).distinct()).withColumnRenamed(
-        "node", "member"
-    )
+    # a member's centres, one a table at most, are tied to the least of them, so that many members share these edges
+    tied = edges.groupBy("member").agg(F.collect_set("centre").alias("all")).withColumn("a", F.array_min("all"))
+    between = tied.select("a", F.explode("all").alias("b")).where("a <> b").distinct()
+    return components(tied.select("a", F.col("member").alias("b")).unionByName(between)).withColumnRenamed("node", "member")
 
 
 def _forest(sets: list[np.ndarray], left: int, percent: int) -> list[tuple[int, int]]:
