@@ -64,16 +64,17 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP3_SQL = """
 WITH d AS (SELECT row_number() OVER () AS r, coalesce(doc_id, 9223372036854775807) AS o, doc_id,
                   hex(encode(coalesce(text, ''))) AS t FROM documents),
-w AS (SELECT r, o, t, unnest(range(0, length(t) // 2 - 49)) AS i FROM d WHERE length(t) >= 100),
-f AS (SELECT r, i, o > min(o) OVER (PARTITION BY substr(t, 2 * i + 1, 100)) AS again FROM w),
-c AS (SELECT DISTINCT r, i + j AS p FROM f, range(50) AS s(j) WHERE again),
-n AS (SELECT r, count(*) AS n, count(*) FILTER (WHERE NOT joined) AS spans
-      FROM (SELECT r, p, coalesce(lag(p) OVER (PARTITION BY r ORDER BY p) = p - 1, false) AS joined FROM c) GROUP BY r),
-b AS (SELECT r, t, unnest(range(0, length(t) // 2)) AS p FROM d),
-k AS (SELECT r, string_agg(substr(t, 2 * p + 1, 2), '' ORDER BY p) AS kept FROM b ANTI JOIN c USING (r, p) GROUP BY r)
+b AS (SELECT r, o, t, unnest(range(0, length(t) // 2)) AS p FROM d),
+w AS (SELECT r, o, p, substr(t, 2 * p + 1, 2) AS x,
+             CASE WHEN 2 * p + 100 <= length(t) THEN substr(t, 2 * p + 1, 100) END AS h FROM b),
+f AS (SELECT r, p, x, h IS NOT NULL AND o > min(o) OVER (PARTITION BY h) AS again FROM w),
+g AS (SELECT r, p, x, coalesce(max(CASE WHEN again THEN p END) OVER (PARTITION BY r ORDER BY p) > p - 50, false) AS gone FROM f),
+e AS (SELECT *, coalesce(lag(gone) OVER (PARTITION BY r ORDER BY p), false) AS was FROM g),
+k AS (SELECT r, count_if(gone) AS n, count_if(gone AND NOT was) AS spans,
+             string_agg(CASE WHEN NOT gone THEN x END, '' ORDER BY p) AS kept FROM e GROUP BY r)
 SELECT doc_id, CAST(length(t) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
        CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
-FROM d LEFT JOIN n USING (r) LEFT JOIN k USING (r)
+FROM d LEFT JOIN k USING (r)
 """
 
 
