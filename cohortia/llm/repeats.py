@@ -312,7 +312,9 @@ def without_repeats(
     if carry:
         schema += f", carried {docs.schema['carried'].dataType.simpleString()}"
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks, buckets = (max(1, -(-size // unit)) for unit in (BLOCK_BYTES, BUCKET_BYTES))
+    # a byte is a symbol of its own, a word is several
+    parts = 1 if finder.by_word else 2
+    blocks, buckets = (max(1, -(-size * parts // unit)) for unit in (BLOCK_BYTES, BUCKET_BYTES))
     # by id alone: rows that repeat an id are compared inside their block
     blocked = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block"), *docs.columns)
     seeds = blocked.groupBy("block").applyInArrow(_send_seeds(finder, buckets), SEEDS)

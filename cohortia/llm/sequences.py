@@ -161,10 +161,11 @@ def winnowed(stretches: Stretches, ends: np.ndarray, window: int, seed: int) ->
     if n < window:
         return np.zeros(0, np.int64)
     order = (stretches.all_of(seed) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-    room = ends - np.arange(n)
+    room = (ends - np.arange(n)).astype(np.int32)
     order[room[: len(order)] < seed] = np.uint32(0xFFFFFFFF)
     least = sliding(np.minimum, order, span)  # by the window's first place
     least[room[: len(least)] < window] = 0
+    del room
     padded = np.zeros(len(order) + span - 1, np.uint32)
     padded[span - 1 : span - 1 + len(least)] = least
     return np.flatnonzero(sliding(np.maximum, padded, span) == order)
