@@ -267,3 +267,25 @@ def test_lookups(spark):
     assert rows(reports.missing_ids(w, asked)) == {("zz",): 1}
     assert rows(reports.counts_by_vendor(w)) == {("x", 2): 1, ("y", 1): 1}
     assert reports.text_like(w, "name", "_x_").count() == 2 and reports.text_is(w, "description", "b").count() == 1
+
+
+def test_thresholds_see_external_scores_of_the_same_run_and_fail_without_any(spark, folder):
+    external = score_rows(spark, [0.2, 0.8], tid=2).withColumn("decile", F.lit(3))
+    external.write.partitionBy("date", "tid").parquet(f"{folder}/external")
+    bring = postprocessing.ExternalScores("x", f"{folder}/external/date={{date}}/tid={{tid}}", f"{folder}/scores")
+
+    def flow(tid, *steps):
+        cut = Thresholds(f"p{tid}", "absolute", [0.5], ["low", "high"])
+        return Workflow(f"w{tid}", f"wf_x_{tid}", tid, postprocessors=[cut, *steps])
+
+    flows = [flow(1), flow(2, bring), flow(3)]
+    reports_ = postprocessing.postprocess_all(score_rows(spark, [0.1, 0.9]), flows, D, f"{folder}/thresholds")
+    failed = [r["workflow_id"] for r in reports_ if r["status"] != "success"]
+    assert failed == ["w3"]
+    table = spark.read.parquet(f"{folder}/thresholds")
+    assert {r.tid for r in table.select("tid").distinct().collect()} == {1, 2}
+
+
+def test_thresholds_must_increase():
+    with pytest.raises(InvalidDefinition):
+        sc.check_thresholds("absolute", [0.8, 0.2], ["a", "b", "c"])
