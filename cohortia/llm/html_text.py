@@ -1,9 +1,10 @@
 """Main text of web pages by composite text density.
 
 A page becomes a tree of elements. Elements that are never part of an article
-(menus, headers, footers, side bars, forms, adverts, notices, reader comments,
-scripts) are cut off first. For every node that is left, with its characters C,
-tags T, link characters L and link tags K:
+(menus, headers, footers, side bars, forms, scripts) are cut off first, and so
+are those whose whole class names say advert, side bar or reader comments. For
+every node that is left, with its characters C, tags T (formulas count as one),
+link characters L and link tags K:
 
     density = C / T * log_b(C / L * T / K),  b = ln(C / (C - L) * L + page's L / C * C + e)
 
@@ -14,6 +15,10 @@ belongs to the article: below an ``article`` or ``main`` element that encloses
 the node all of it, elsewhere the largest-sum subtrees of the nodes that reach
 the threshold.
 
+Class names that are everyday words too (share, notice, header), and ids, cut an
+element off only if its density stays below that threshold as well. Ids below
+an article or main element are anchors and say nothing, nor do names of headings.
+
 Each page is read on its own in one pass over its characters; there is no
 shuffle, and memory is bounded by the longest page.
 """
@@ -29,7 +34,7 @@ from pyspark.sql import DataFrame
 
 # Names of elements, roles and classes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title iframe noembed noframes noscript xmp template svg math".split())
+RAW = frozenset("script style textarea title iframe noembed noframes noscript xmp template svg".split())
 HEAD = frozenset("base basefont bgsound link meta title style script noscript template".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption "
@@ -52,17 +57,30 @@ CLOSES = {
 }
 OFF_TAGS = frozenset(
     "head nav header footer aside form script style textarea title iframe noembed noframes noscript xmp template svg "
-    "math button select option input dialog menu search object canvas audio video map datalist".split()
+    "annotation annotation-xml button select option input dialog menu search object canvas audio video map datalist".split()
 )
 OFF_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form toolbar tooltip".split()
 )
+#: Class names that no part of an article has.
 OFF_CLASSES = frozenset(
-    "ad ads adv advert adverts advertisement adsense sponsor sponsored promo promotion nav navbar navigation menu "
-    "breadcrumb breadcrumbs header masthead topbar footer sidebar aside cookie cookies consent gdpr notice notices "
-    "notification popup modal overlay newsletter subscribe subscription signup login comment comments disqus respond "
-    "replies social share sharing related recommended pagination pager toolbar widget skip".split()
+    "ad ads adv advert adverts advertisement adsense adsbygoogle sponsor sponsored nav navbar breadcrumb breadcrumbs "
+    "topbar footer sidebar cookie cookies gdpr newsletter comments disqus".split()
+)
+#: Names that parts of an article may have too: these count only on thin elements.
+DOUBTFUL = frozenset(
+    "promo promotion navigation menu header masthead aside consent notice notices notification popup modal overlay "
+    "subscribe subscription signup login comment respond replies social share sharing related recommended pagination "
+    "pager toolbar widget skip".split()
+)
+#: What longer names, such as cookie-banner or related-posts, consist of besides.
+BESIDES = frozenset(
+    "site main page top bottom left right primary secondary global list area box bar banner container wrapper wrap "
+    "slot block links link buttons icons posts articles thread google".split()
 )
+#: Times that a threshold is taken anew after thick elements of doubtful names have come back; the last settles all.
+ROUNDS = 8
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that hold an article; no class name cuts them off, or what contains them.
 HOLDERS = frozenset({"html", "body", "main", "article"})
 
@@ -72,11 +90,21 @@ ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'
 WORDS = re.compile(r"[a-z0-9]+")
 
 
+def _hint(name: str) -> int:
+    """Of a name whose words are all known: 2 if one is of a part that is off, else 1 if one is doubtful; else 0."""
+    words = WORDS.findall(name)
+    if not all(w in OFF_CLASSES or w in DOUBTFUL or w in BESIDES for w in words):
+        return 0
+    return 2 if any(w in OFF_CLASSES for w in words) else int(any(w in DOUBTFUL for w in words))
+
+
 class Tree:
     """Elements and texts of a page, numbered in page order; 0 is the root."""
 
     def __init__(self):
-        self.tag, self.parent, self.off, self.by_class = ["#root"], [-1], [False], [False]
+        self.tag, self.parent, self.off = ["#root"], [-1], [False]
+        self.hint = [0]  # by its names: 0 says nothing, 1 may be off, 2 is off
+        self.within = [False]  # below article or main
         self.parts: list[tuple[int, str]] = []  # (element, text), or (element, "") where a block begins or ends
         self.open = [0]
 
@@ -94,11 +122,13 @@ class Tree:
         node = len(self.tag)
         self.tag.append(name)
         self.parent.append(self.open[-1])
-        off, by_class = name in OFF_TAGS, False
+        up = self.open[-1]
+        self.within.append(self.within[up] or self.tag[up] in ("article", "main"))
+        off, hint = name in OFF_TAGS, 0
         if attributes and not off:
-            off, by_class = self._told(name, attributes)
+            off, hint = self._told(name, attributes, self.within[node])
         self.off.append(off)
-        self.by_class.append(by_class)
+        self.hint.append(hint)
         if name in BLOCK:
             self.parts.append((node, ""))
         elif name == "br":
@@ -123,18 +153,19 @@ class Tree:
     def _open_tags(self) -> set[str]:
         return {self.tag[node] for node in self.open[:4]}
 
-    def _told(self, name: str, attributes: str) -> tuple[bool, bool]:
-        """Whether attributes hide the element or give it another part, and whether a class name alone says so."""
+    def _told(self, name: str, attributes: str, within: bool) -> tuple[bool, int]:
+        """Whether attributes hide the element or give it another part, and what its names hint."""
         given = {m[0].lower(): m[1] or m[2] or m[3] for m in ATTRIBUTE.findall(attributes)}
         if "hidden" in given or given.get("aria-hidden", "").lower() == "true":
-            return True, False
+            return True, 0
         if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", given.get("style", ""), re.I):
-            return True, False
+            return True, 0
         if given.get("role", "").lower() in OFF_ROLES:
-            return True, False
-        names = WORDS.findall(f"{given.get('class', '')} {given.get('id', '')}".lower())
-        named = name not in HOLDERS and not OFF_CLASSES.isdisjoint(names)
-        return named, named
+            return True, 0
+        if name in HOLDERS or name in HEADINGS:
+            return False, 0
+        hint = max(map(_hint, given.get("class", "").lower().split()), default=0)
+        return False, hint or int(not within and _hint(given.get("id", "").lower()) > 0)
 
     def _close(self, name: str, limit) -> None:
         for node in reversed(self.open):
@@ -198,25 +229,56 @@ def parse(page: str) -> Tree:
     return tree
 
 
-def _cut_off(tree: Tree) -> list[bool]:
-    """Elements in a part that is off; class names do not cut off what holds an article."""
+def _cut_off(tree: Tree, cuts: list[bool]) -> list[bool]:
+    """Elements in a part that is off, or that a name cuts off; names do not cut off what holds an article."""
     holds = [tag in ("main", "article") for tag in tree.tag]
     for node in range(len(tree.tag) - 1, 0, -1):
         holds[tree.parent[node]] |= holds[node]
     off = [False] * len(tree.tag)
     for node in range(1, len(tree.tag)):
-        own = tree.off[node] and not (tree.by_class[node] and holds[node])
+        own = tree.off[node] or cuts[node] and not holds[node]
         off[node] = own or off[tree.parent[node]]
     return off
 
 
-def article_nodes(tree: Tree, off: list[bool]) -> list[bool]:
-    """Elements that belong to the article."""
+def parts_off(tree: Tree) -> list[bool]:
+    """Elements that do not belong to the article, whatever their density, and thin ones of doubtful names.
+
+    Where a page has an article or main element, names alone decide outside of it. Elsewhere,
+    where names would cut off all text, they do not cut off what the largest sum lies in.
+    """
+    marked = any(tag in ("article", "main") and not tree.off[v] for v, tag in enumerate(tree.tag))
+    cuts = [hint > 0 for hint in tree.hint]
+    off = _cut_off(tree, cuts)
+    if not any(cuts):
+        return off
+    bare = _cut_off(tree, [False] * len(cuts))
+    whole, _, _ = densities(tree, _cut_off(tree, [hint == 2 for hint in tree.hint]))
+    for turn in range(ROUNDS):
+        dense, total, chars = densities(tree, off)
+        if chars[0] or marked:
+            threshold = min(dense[v] for v in _path(tree, off, total))
+            kept = [v for v, cut in enumerate(cuts) if cut and tree.hint[v] == 1 and whole[v] and whole[v] >= threshold and (tree.within[v] or not marked)]
+            if turn < ROUNDS - 1:  # what lies in them meets the threshold of the next turn
+                kept = [v for v in kept if not off[tree.parent[v]]]
+        else:
+            kept = [v for v in _path(tree, bare, densities(tree, bare)[1]) if cuts[v]]
+        if not kept:
+            break
+        for v in kept:
+            cuts[v] = False
+        off = _cut_off(tree, cuts)
+    return off
+
+
+def densities(tree: Tree, off: list[bool]) -> tuple[list[float], list[float], list[int]]:
+    """Density of each node, the sum of its children's, and its characters."""
     n = len(tree.tag)
     chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
-    linked = [False] * n
+    linked, formula = [False] * n, [False] * n
     for node in range(1, n):
         linked[node] = tree.tag[node] == "a" or linked[tree.parent[node]]
+        formula[node] = tree.tag[tree.parent[node]] == "math" or formula[tree.parent[node]]
     for node, text in tree.parts:
         if not off[node]:
             length = len(text.strip())
@@ -227,7 +289,7 @@ def article_nodes(tree: Tree, off: list[bool]) -> list[bool]:
             up = tree.parent[node]
             chars[up] += chars[node]
             link_chars[up] += link_chars[node]
-            tags[up] += tags[node] + 1
+            tags[up] += tags[node] + (not formula[node])
             link_tags[up] += link_tags[node] + (tree.tag[node] == "a")
     page_links = link_chars[0] / max(chars[0], 1)
 
@@ -244,12 +306,28 @@ def article_nodes(tree: Tree, off: list[bool]) -> list[bool]:
             dense[node] = density(node)
             total[tree.parent[node]] += dense[node]
     dense[0] = density(0)
-    candidates = [v for v in range(n) if not off[v] and (v == 0 or tree.tag[v] in BLOCK)]
-    best = max(candidates, key=lambda v: (total[v], -v))
-    path, node = [], best
-    while node >= 0:
-        path.append(node)
-        node = tree.parent[node]
+    return dense, total, chars
+
+
+def _path(tree: Tree, off: list[bool], total: list[float]) -> list[int]:
+    """The node of the largest sum and what it lies in, up to the root."""
+    best = max(_candidates(tree, off), key=lambda v: (total[v], -v))
+    path = []
+    while best >= 0:
+        path.append(best)
+        best = tree.parent[best]
+    return path
+
+
+def _candidates(tree: Tree, off: list[bool]) -> list[int]:
+    return [v for v in range(len(tree.tag)) if not off[v] and (v == 0 or tree.tag[v] in BLOCK)]
+
+
+def article_nodes(tree: Tree, off: list[bool]) -> list[bool]:
+    """Elements that belong to the article."""
+    n = len(tree.tag)
+    dense, total, chars = densities(tree, off)
+    path = _path(tree, off, total)
     holder = next((v for v in path if tree.tag[v] in ("article", "main")), None)
     chosen = [False] * n
     if holder is not None:
@@ -261,7 +339,7 @@ def article_nodes(tree: Tree, off: list[bool]) -> list[bool]:
             up = tree.parent[v]
             if not off[v] and tree.tag[v] in BLOCK and total[largest[v]] > total[largest[up]]:
                 largest[up] = largest[v]
-        for v in candidates:
+        for v in _candidates(tree, off):
             if dense[v] >= threshold and chars[v]:
                 chosen[largest[v]] = True
     for v in range(1, n):
@@ -274,7 +352,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     tree = parse(page)
-    chosen = article_nodes(tree, _cut_off(tree))
+    chosen = article_nodes(tree, parts_off(tree))
     blocks: list[list[str]] = [[]]
     for node, text in tree.parts:
         if not text:

@@ -52,6 +52,36 @@ def test_article_of_a_page(article, text):
     assert html_text.main_text(page(article)) == text
 
 
+LONG = ("Plain sentences of an article that says a good deal in one long paragraph. " * 4).strip()
+NAMED = [
+    ("<section id='related-work'><h2 id='sharing'>Sharing</h2><p>a</p></section>", "Sharing\n\na"),
+    ("<h2 id='share-prices'>Prices</h2><p>a</p>", "Prices\n\na"),
+    ("<h2 class='notice'>Take notice</h2><p>a</p>", "Take notice\n\na"),
+    ("<div id='ad-hoc-methods'><p>a</p></div><section id='menu-design'><p>b</p></section>", "a\n\nb"),
+    ("<section id='comments'><p>a</p></section>", "a"),
+    (f"<section class='notice'><p>{LONG}</p></section>", LONG),
+    ("<p>a</p><div class='share-buttons'><a href='/x'>Post</a> <a href='/y'>Mail</a></div><div class='ad-banner'>buy</div>", "a"),
+    ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding='application/x-tex'>x=2</annotation></math> holds</p>", "so x=2 holds"),
+]
+
+
+@pytest.mark.parametrize("body, text", NAMED)
+def test_names_that_are_everyday_words(body, text):
+    assert html_text.main_text(page(f"<article>{body}</article>")) == text
+
+
+@pytest.mark.parametrize("wrapper", ["class='content no-sidebar'", "id='page' class='has-header'", "class='header'", "id='menu'", "class='sidebar'"])
+def test_names_of_wrappers_do_not_empty_a_page(wrapper):
+    whole = f"<body><nav>Home</nav><div {wrapper}><p>{LONG}</p><div class='share'><a href='/x'>Post</a></div><p>{LONG}</p></div></body>"
+    assert html_text.main_text(whole) == f"{LONG}\n\n{LONG}"
+
+
+def test_formulas_do_not_thin_out_an_article():
+    formula = "<math>" + "<mi>x</mi><mo>+</mo>" * 40 + "</math>"
+    whole = f"<body><div><p>{LONG}</p><p>{LONG} {formula} {LONG}</p><p>{LONG}</p></div></body>"
+    assert html_text.main_text(whole) == f"{LONG}\n\n{LONG} {'x+' * 40} {LONG}\n\n{LONG}"
+
+
 @pytest.mark.parametrize("cut", range(1, 60, 7))
 def test_cut_off_page(cut):
     whole = page("<article><p>All of this is text.</p></article>", after=())
