@@ -1,10 +1,11 @@
 """Licence notices in texts, paragraph by paragraph.
 
 A multinomial logistic regression over hashed word n-grams gives each paragraph
-a family of licences, or none. It is trained on variants of the templates below
-and, for no licence, on paragraphs of the corpus. Its top probability decides
-only above a cut that is calibrated on notices of other licences: what stays
-below is ``unknown``. A prediction is confirmed where the paragraph has enough of
+a family of licences, unknown, or none. It is trained on variants of the
+templates below, for unknown on variants of other notices and, for no licence, on
+paragraphs of the corpus. What is more likely a notice than not is one; the top
+probability tells its family only above a cut that is calibrated on notices that
+were not trained on: what stays below is ``unknown``. A prediction is confirmed where the paragraph has enough of
 the three-word sequences of one of the family's templates.
 
 All of it is expressions and Spark's own estimators over DataFrames. Paragraphs
@@ -77,7 +78,7 @@ TEMPLATES = {
         "SPDX-License-Identifier: MPL-2.0",
     ],
 }
-#: Notices of no family above, for calibration.
+#: Notices of no family above, for training.
 OTHERS = [
     "All rights reserved.",
     "Copyright held by the authors. All rights reserved.",
@@ -88,6 +89,17 @@ OTHERS = [
     "Redistribution of this report is not permitted without written consent.",
     "See the file named license for the terms of use.",
 ]
+#: More of them, for calibration.
+HELD_BACK = [
+    "All rights are reserved by the publisher.",
+    "Copyright of the contributors, no rights granted.",
+    "Licensed under the Sample Community Agreement, version 2.",
+    "This project is released under a proprietary licence.",
+    "This software is distributed under the terms of a contract with its owner.",
+    "Permission to copy this text is granted to subscribers only.",
+    "Released under the Example Public Terms.",
+    "Subject to the conditions of the vendor, who owns this file.",
+]
 NONE, UNKNOWN = "none", "unknown"
 FEATURES, VARIANTS = 1 << 14, 24
 HINT = "licen|copyright|rights reserved|spdx|redistribut|creative commons|permission"
@@ -128,19 +140,23 @@ class Scanner:
     def scan(self, docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
         """doc_id, paragraph, text, family, probability, similarity and confirmed of all notices found.
 
-        family is unknown where no family is probable enough; such rows are
-        never confirmed. A null text has no paragraphs, nor has one without
+        family is unknown where a notice is likely, but no family probable
+        enough; such rows are never confirmed. probability is that of the family
+        that comes first, or of unknown. A notice whose words are in none of the
+        lists above is taken for no notice. A null text has no paragraphs, nor has one without
         letters. Null ids stay null, rows that repeat are scanned each for
         itself, and other columns are ignored, whatever their names.
         """
         scored = self.model.transform(_featured(paragraphs(docs, id_col, text_col), "text"))
-        chances = vector_to_array("probability")
-        family = F.array(*map(F.lit, self.families))[F.col("prediction").cast("int")]
-        top = F.struct(family.alias("family"), F.array_max(vector_to_array("probability")).alias("probability"))
+        scored = scored.withColumn("_chances", vector_to_array("probability"))
+        some = F.slice("_chances", 2, len(self.families) - 1)  # without none
+        at = F.array_position(some, F.array_max(some)).cast("int")
+        family = F.get(F.array(*map(F.lit, self.families)), at)
+        top = F.struct(family.alias("family"), F.array_max(some).alias("probability"), F.get("_chances", F.lit(0)).alias("none"))
         # a generator, as a filter would be evaluated with all it depends on before the columns it depends on
-        notice = F.explode(F.filter(F.array(top), lambda x: x["family"] != NONE)).alias("top")
+        notice = F.explode(F.filter(F.array(top), lambda x: x["none"] < 0.5)).alias("top")
         found = scored.select("doc_id", "paragraph", "text", "_words", notice).select("doc_id", "paragraph", "text", "_words", "top.*")
-        known = F.col("probability") >= self.cut
+        known = (F.col("family") != UNKNOWN) & (F.col("probability") >= self.cut)
         best = F.lit(0.0)
         for name, notices in TEMPLATES.items():
             of_family = F.greatest(F.lit(0.0), *[_similarity(notice) for notice in notices])
@@ -178,7 +194,8 @@ def train(docs: DataFrame, id_col="doc_id", text_col="text", training_rows: int
 
     A corpus paragraph stands for no licence unless it has a word that licences
     use. The cut is the probability that all but one in a hundred variants of
-    other notices stay below, but at least a half.
+    notices held back stay below, of those that are given a family, but at least
+    a half.
     """
     spark: SparkSession = docs.sparkSession
     some = paragraphs(docs, id_col, text_col).where(~F.lower("text").rlike(HINT)).select("text").limit(training_rows)
@@ -188,15 +205,16 @@ def train(docs: DataFrame, id_col="doc_id", text_col="text", training_rows: int
     ).groupBy("at").agg(F.min("filler").alias("filler"))
     notices = spark.createDataFrame([(f, t) for f, ts in TEMPLATES.items() for t in ts], "family string, text string")
     other = spark.createDataFrame([(UNKNOWN, t) for t in OTHERS], "family string, text string")
-    families = [NONE, *sorted(TEMPLATES)]
-    rows = _variants(notices, fillers, VARIANTS).select("family", "text").unionByName(
+    held = spark.createDataFrame([(UNKNOWN, t) for t in HELD_BACK], "family string, text string")
+    families = [NONE, *sorted(TEMPLATES), UNKNOWN]
+    rows = _variants(notices.unionByName(other), fillers, VARIANTS).select("family", "text").unionByName(
         plain.select(F.lit(NONE).alias("family"), "text")
     ).unionByName(spark.createDataFrame([(NONE, "a"), (NONE, "the of and to in")], "family string, text string"))
     label = (F.array_position(F.array(*map(F.lit, families)), F.col("family")) - 1).cast("double")
     ready = staged(rows.withColumn("label", label).coalesce(1), "licence-training")
     regression = LogisticRegression(featuresCol="_features", labelCol="label", maxIter=40, regParam=1e-3, family="multinomial")
     model = regression.fit(_featured(ready, "text"))
-    foreign = model.transform(_featured(_variants(other, fillers, VARIANTS), "text"))
-    tops = foreign.where("prediction <> 0").select(F.array_max(vector_to_array("probability")).alias("p"))
+    foreign = model.transform(_featured(_variants(held, fillers, VARIANTS), "text"))
+    tops = foreign.where(~F.col("prediction").isin(0, len(families) - 1)).select(F.array_max(vector_to_array("probability")).alias("p"))
     cut = tops.agg(F.percentile("p", F.lit(0.99))).first()[0]
     return Scanner(model, families, max(cut or 0.5, 0.5), overlap)

@@ -99,6 +99,13 @@ def test_held_out_notices(spark, scanner):
     assert not [k for k in got if k >= len(HELD_OUT) + len(NOT_KNOWN) and got[k].confirmed]
 
 
+def test_notices_of_no_family_are_unknown(spark, scanner):
+    others = ["All rights reserved.", "Copyright 2019 the authors. All rights reserved.", *NOT_KNOWN, "alpha beta gamma: all rights reserved."]
+    docs = spark.createDataFrame([(1, "\n".join(others + PLAIN))], "doc_id long, text string")
+    got = {r.paragraph: (r.family, r.confirmed) for r in scanner.scan(docs).collect()}
+    assert got == {k: ("unknown", False) for k in range(len(others))}
+
+
 def test_awkward_texts(spark, scanner):
     long = "word " * 50_000 + "\n" + licenses.TEMPLATES["mit"][0]
     rows = [(1, None, "x"), (2, "", "x"), (None, licenses.TEMPLATES["mit"][0], "x"), (3, "\n\n...\n1 2 3\n", "x"), (4, long, "x"), (4, long, "x")]
