@@ -238,6 +238,11 @@ def near_duplicates(
     component_id. Rows that repeat an id are documents of their own. Other
     columns are ignored, whatever their names; no rows give no rows.
     """
+    return _grouped(docs, id_col, text_col, shingle, percent, tuples, seed).select("doc_id", "n_shingles", "component_id")
+
+
+def _grouped(docs: DataFrame, id_col, text_col, shingle=5, percent=80, tuples=10, seed=1) -> DataFrame:
+    """doc_id, text_key, n_shingles, component_id and root, a node of the component; root is null for empty sets."""
     text = docs[text_col].cast("string")
     narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
     signed = staged(narrow.mapInArrow(_signed(shingle, tuples, seed), SIGNED), "minhash")
@@ -270,18 +275,32 @@ def near_duplicates(
     root = F.coalesce("root", "node")
     of_node = nodes.select("node", "least_id").join(linked, "node", "left").select("node", "least_id", root.alias("root"))
     least = of_node.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    by_node = of_node.join(least, "root").select("node", "component_id")
-    found = filled.join(by_node, "node").select("doc_id", "n_shingles", "component_id")
-    alone = signed.where("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    by_node = of_node.join(least, "root").select("node", "component_id", "root")
+    found = filled.join(by_node, "node").select("doc_id", "text_key", "n_shingles", "component_id", "root")
+    alone = signed.where("node is null").select(
+        "doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(None).cast("binary").alias("root")
+    )
     return found.unionByName(alone)
 
 
 def one_of_each(docs: DataFrame, id_col="doc_id", text_col="text", **how) -> DataFrame:
-    """The documents that are the smallest of their component, with their columns as they were.
+    """One row of each component, with its columns as they were.
 
-    Rows without an id are kept, as they cannot be told apart; rows that repeat
-    a kept id are kept too.
+    It is that of the smallest id, null ids last, and of these that of the
+    smallest text hash; of rows equal in both that of the smallest hash of all its
+    columns. Each row without words is a component and stays.
     """
-    found = near_duplicates(docs, id_col, text_col, **how)
-    gone = found.where("doc_id is not null and doc_id <> component_id").select(F.col("doc_id").alias("_gone_id")).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == gone["_gone_id"], "left_anti")
+    found = _grouped(docs, id_col, text_col, **how).where("root is not null")
+    texts = found.groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("n"))
+    key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
+    first = texts.groupBy(F.col("root").alias("first_root")).agg(F.min(key).alias("first"))
+    marks = texts.join(first, F.col("root") == F.col("first_root")).select(
+        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), (key != F.col("first")).alias("_gone"), "n"
+    ).where("_gone or n > 1")
+    text_key = F.xxhash64(docs[text_col].cast("string"))
+    same = docs[id_col].cast("long").eqNullSafe(marks["_id"]) & (text_key == marks["_key"])
+    whole = F.struct(*[docs[f"`{c}`"] for c in docs.columns])
+    repeated = docs.join(marks.where("not _gone"), same, "left_semi").groupBy(docs[id_col].cast("long"), text_key).agg(
+        F.min_by(whole, F.xxhash64(F.to_json(whole))).alias("row")
+    )
+    return docs.join(marks, same, "left_anti").unionByName(repeated.select("row.*"))

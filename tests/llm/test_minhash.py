@@ -84,6 +84,16 @@ def test_one_of_each_keeps_columns_and_every_group(awkward):
     assert sorted(i for i in ids if i is not None) == [-3, 1, 4, 5, 6, 7, 8, 10, 12]  # 2, 3 and -3 share a passage that is nearly all of them
 
 
+def test_one_of_each_decides_by_row(spark):
+    t, u, v = ("one two three four five six seven", "a text of its own that no other row has", "copies of rows that have no id at all")
+    rows = [(3, t, "x"), (5, t, "x"), (5, u, "x"), (6, u, "x"), (None, v, "x"), (None, v, "y"), (None, t, "x"), (7, None, "x"), (7, "", "x"),
+            (8, v + " but longer by far than that one was", "z"), (8, v + " but longer by far than that one was", "z")]
+    kept = minhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=repr) == sorted(
+        [(3, t), (5, u), (None, v), (7, None), (7, ""), (8, rows[-1][1])], key=repr
+    )
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(50)] + [(1000, k) for k in range(1001, 1100)]
     labels = graphs.components(spark.createDataFrame(edges, "a long, b long")).collect()
