@@ -112,7 +112,11 @@ def _failure(workflow, date, fault):
 
 def score_all(features: DataFrame, targets: DataFrame, history: DataFrame,
               workflows: list[Workflow], date: datetime.date, scores_uri: str) -> list[dict]:
-    """Score and write every workflow; returns one report per workflow."""
+    """Score and write every workflow; returns one report per workflow.
+
+    A batch that fails is tried again by halves, so that a fault is reported
+    for the workflow that has it alone.
+    """
     responses = {}
     for w in (w for w in workflows if w.passthrough_group is not None):
         try:
@@ -137,13 +141,16 @@ def score_all(features: DataFrame, targets: DataFrame, history: DataFrame,
         try:
             if isinstance(located[w.id], Exception):
                 raise located[w.id]
-            ready[w.id] = (w, PipelineModel.load(located[w.id]))
+            model = PipelineModel.load(located[w.id])
+            predicted(snapshot, model, f"score_{w.trait_id}")  # fails where the snapshot lacks its columns
+            ready[w.id] = (w, model)
         except Exception as fault:
             responses[w.id] = _failure(w, date, fault)
 
-    batches = list(ready.values())
-    for start in range(0, len(batches), BATCH):
-        batch = batches[start : start + BATCH]
+    sound = list(ready.values())
+    batches = [sound[start : start + BATCH] for start in range(0, len(sound), BATCH)]
+    while batches:
+        batch = batches.pop(0)
         try:
             # probabilities are computed once; ranks and writes re-read them
             rows = staged(score_rows(snapshot, {w.trait_id: m for w, m in batch}), "scores")
@@ -162,5 +169,9 @@ def score_all(features: DataFrame, targets: DataFrame, history: DataFrame,
                     stats={"decile_stats": stats.get(w.trait_id, [])},
                 )
         except Exception as fault:
-            responses |= {w.id: _failure(w, date, fault) for w, _ in batch}
+            half = len(batch) // 2
+            if half:
+                batches[:0] = [batch[:half], batch[half:]]
+            else:
+                responses |= {w.id: _failure(w, date, fault) for w, _ in batch}
     return [responses[w.id] for w in workflows]

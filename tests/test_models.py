@@ -191,6 +191,32 @@ def test_assemble_train_score_and_report(spark, folder):
         ("w1", "success", "success"): 1, ("w2", "failed_on_load_target", "failed_on_train"): 1}
 
 
+def test_a_model_that_fails_leaves_its_batch_alone(spark, folder):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+
+    wide = spark.createDataFrame([(f"u{i}", D, float(i), float(i), float(i % 2)) for i in range(20)],
+                                 "infinity_id string, last_seen_date date, a double, b double, label double")
+    uris = {}
+    for name in ("a", "b"):  # b has a value when it is scored that it had not in training
+        first = [StringIndexer(inputCol="b", outputCol="index")] if name == "b" else []
+        stages = [*first, VectorAssembler(inputCols=["index" if first else name], outputCol="features"), LogisticRegression(maxIter=2)]
+        uris[name] = f"{folder}/model_{name}"
+        Pipeline(stages=stages).fit(wide).write().overwrite().save(uris[name])
+    snapshot = wide.drop("label").withColumn("b", F.col("b") + 100)
+    flows = [Workflow(f"w{k}", f"wf_v_{k}", k, dataset=None) for k in (1, 2, 3)]
+    done = [sinks.response_row(w.id, "training", "success", D, info={**w.label(), "model_uri": uris[x]})
+            for w, x in zip(flows, "aba", strict=True)]
+    past = sinks.history_frame(spark, done)
+    got = scoring.score_all(snapshot, None, past, flows, D, f"{folder}/isolated")
+    assert [r["status"] for r in got] == ["success", "failed", "success"]
+    stored = spark.read.schema(schemas.SCORES).parquet(f"{folder}/isolated")
+    assert rows(stored.groupBy("tid").count()) == {(1, 20): 1, (3, 20): 1}
+    lacks = scoring.score_all(snapshot.drop("b"), None, past, flows, D, f"{folder}/lacks")
+    assert [r["status"] for r in lacks] == ["success", "failed", "success"]
+
+
 def test_quality_warnings_are_one_sided():
     def names(train, test):
         return set(training.quality_warnings({"train_roc_auc": train, "test_roc_auc": test}))
