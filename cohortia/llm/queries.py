@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortia.llm import chat, html_text, licenses, minhash, mixing, packing, quality, seed_extend, suffix_dedup, topk
+from cohortia.llm import (
+    chat, html_text, licenses, minhash, mixing, packing, quality, seed_extend, spelling, suffix_dedup, topk,
+)
 
 # Fixed value of the word definition, as SQL's regular expressions write it.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -174,6 +176,50 @@ FROM d LEFT JOIN n USING (r) LEFT JOIN k USING (r)
 """
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+# CRC-32 is linear: a text's code is the exclusive or of what each byte adds at its distance from the end,
+# and of what the start value becomes after as many bytes.
+CRC_SQL = """
+crc_byte AS (SELECT b, list_reduce(list_prepend(b, CAST(range(8) AS BIGINT[])),
+                 lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)) AS t
+             FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS b)),
+crc_part AS (SELECT b, CAST(0 AS BIGINT) AS far, t AS part FROM crc_byte
+             UNION ALL SELECT c.b, far + 1, xor(x.t, part >> 8) FROM crc_part c JOIN crc_byte x ON x.b = (part & 255)
+             WHERE far < {longest}),
+crc_start AS (SELECT CAST(0 AS BIGINT) AS size, CAST(4294967295 AS BIGINT) AS code
+              UNION ALL SELECT size + 1, xor(x.t, code >> 8) FROM crc_start JOIN crc_byte x ON x.b = (code & 255)
+              WHERE size < {longest} + 1)"""
+
+OP11_SQL = rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+r AS (SELECT doc_id, w, count(*) AS c FROM (SELECT doc_id, unnest(regexp_extract_all(t, '[a-zÀ-ÿ]+')) AS w FROM d) GROUP BY ALL),
+k AS (SELECT row_number() OVER () AS k, doc_id, w, c, hex(encode(doc_id || ':' || w)) AS h FROM r),
+{CRC_SQL.format(longest="(SELECT max(length(h)) // 2 FROM k)")},
+b AS (SELECT k, CAST('0x' || substr(h, 2 * p + 1, 2) AS BIGINT) AS b, length(h) // 2 - 1 - p AS far
+      FROM (SELECT k, h, unnest(range(length(h) // 2)) AS p FROM k)),
+x AS (SELECT k, bit_xor(part) AS x FROM b JOIN crc_part USING (b, far) GROUP BY k),
+v AS (SELECT w, c, xor(xor(x, code), 4294967295) AS h FROM k LEFT JOIN x USING (k) LEFT JOIN crc_start ON size = length(k.h) // 2),
+w AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM
+       (SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, c FROM v)
+      WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+e AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut
+      FROM (SELECT word, n, CAST(unnest(range(1, length(word) + 1)) AS BIGINT) AS i FROM w)),
+p AS (SELECT a.word, b.word AS near, b.n FROM e a JOIN e b USING (cut, i) WHERE a.word <> b.word
+      UNION SELECT a.word, b.word, b.n FROM e a JOIN w b ON b.word = a.cut
+      UNION SELECT b.word, a.word, a.n FROM e a JOIN w b ON b.word = a.cut),
+g AS (SELECT word, count(*) AS n_near, arg_min(near, (-n, near)) AS near, max(n) AS near_n FROM p GROUP BY word),
+f AS (SELECT word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * w.n THEN near END AS form,
+             CASE WHEN near_n >= 2 * w.n THEN near_n END AS form_n FROM w LEFT JOIN g USING (word)),
+c AS (SELECT word, word AS reached, 0 AS steps FROM f UNION ALL
+      SELECT c.word, f.form, steps + 1 FROM c JOIN f ON f.word = c.reached WHERE f.form IS NOT NULL)
+SELECT word, form, (SELECT arg_max(reached, steps) FROM c WHERE c.word = f.word) AS root, n, n_near, form_n FROM f
+"""
+
+
 REGISTRY = {
     "op1_quality_rules": (op1_quality_rules, OP1_SQL),
     "op2_license_scan": (op2_license_scan, None),
@@ -185,4 +231,5 @@ REGISTRY = {
     "op8_packing": (op8_packing, None),
     "op9_mixing": (op9_mixing, None),
     "op10_substring_dedup": (op10_substring_dedup, OP10_SQL),
+    "op11_spelling_variants": (op11_spelling_variants, OP11_SQL),
 }
