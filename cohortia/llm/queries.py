@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortia.llm import (
-    chat, html_text, licenses, minhash, mixing, packing, quality, seed_extend, spelling, suffix_dedup, topk,
+    chat, html_text, licenses, minhash, mixing, packing, personal, quality, resampling, seed_extend, spelling, suffix_dedup, topk,
 )
 
 # Fixed value of the word definition, as SQL's regular expressions write it.
 WORD = r"[^\x20\x09-\x0D]+"
+FEATURE_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -220,6 +221,53 @@ SELECT word, form, (SELECT arg_max(reached, steps) FROM c WHERE c.word = f.word)
 """
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal.find_personal_data(_table(spark, sf_dir, "documents"))
+    fixed = F.filter("spans", lambda s: s["fixed"])
+    counts = [F.size(F.filter(fixed["kind"], lambda k: k == kind)).cast("long").alias(f"n_{kind}") for kind in personal.KINDS[:4]]  # noqa: B023
+    return found.select(
+        "doc_id", *counts, F.sha2(personal.span_list(fixed), 256).alias("base_sha256"),
+        personal.span_list(F.col("spans")).alias("spans"),
+    )
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return drawn.drop("n_words")
+
+
+OP13_SQL = rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{FEATURE_WORD}') AS ws FROM documents),
+b AS (SELECT row_number() OVER () AS r, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{FEATURE_WORD}') AS ws FROM benchmark),
+f AS (SELECT r, array_to_string(ws[i:i + k], ' ') AS f, count(*) AS c
+      FROM (SELECT r, ws, unnest(range(1, len(ws) + 1)) AS i FROM d), range(3) AS s(k) WHERE i + k <= len(ws) GROUP BY ALL),
+g AS (SELECT array_to_string(ws[i:i + k], ' ') AS f, count(*) AS c
+      FROM (SELECT ws, unnest(range(1, len(ws) + 1)) AS i FROM b), range(3) AS s(k) WHERE i + k <= len(ws) GROUP BY ALL),
+k AS (SELECT f, hex(encode(f)) AS h, row_number() OVER () AS k FROM (SELECT f FROM f UNION SELECT f FROM g)),
+{CRC_SQL.format(longest="(SELECT max(length(h)) // 2 FROM k)")},
+p AS (SELECT k, CAST('0x' || substr(h, 2 * p + 1, 2) AS BIGINT) AS b, length(h) // 2 - 1 - p AS far
+      FROM (SELECT k, h, unnest(range(length(h) // 2)) AS p FROM k)),
+x AS (SELECT k, bit_xor(part) AS x FROM p JOIN crc_part USING (b, far) GROUP BY k),
+v AS (SELECT f, xor(xor(x, code), 4294967295) % 10000 AS bucket FROM k JOIN x USING (k) JOIN crc_start ON size = length(k.h) // 2),
+s AS (SELECT bucket, sum(c) AS s FROM f JOIN v USING (f) GROUP BY bucket),
+t AS (SELECT bucket, sum(c) AS t FROM g JOIN v USING (f) GROUP BY bucket),
+a AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1) * CAST((SELECT coalesce(sum(s), 0) FROM s) + 10000 AS DOUBLE)
+                 / ((s + 1) * CAST((SELECT coalesce(sum(t), 0) FROM t) + 10000 AS DOUBLE)))) AS gain
+      FROM s LEFT JOIN t USING (bucket)),
+w AS (SELECT r, sum(c) AS n, sum(c * gain) AS weight FROM f JOIN v USING (f) JOIN a USING (bucket) GROUP BY r),
+e AS (SELECT r, doc_id, len(ws) >= 20 AS able, CAST(coalesce(n, 0) AS BIGINT) AS n_features,
+             CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+             CAST('0x' || substr(sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+      FROM d LEFT JOIN w USING (r)),
+o AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) AS BIGINT) AS score FROM e),
+q AS (SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id NULLS LAST) AS place FROM o)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= 5 * (SELECT count_if(able) FROM o) // 100 THEN place END AS rank
+FROM q
+"""
+
+
 REGISTRY = {
     "op1_quality_rules": (op1_quality_rules, OP1_SQL),
     "op2_license_scan": (op2_license_scan, None),
@@ -232,4 +280,6 @@ REGISTRY = {
     "op9_mixing": (op9_mixing, None),
     "op10_substring_dedup": (op10_substring_dedup, OP10_SQL),
     "op11_spelling_variants": (op11_spelling_variants, OP11_SQL),
+    "op12_personal_data": (op12_personal_data, None),
+    "op13_importance_resampling": (op13_importance_resampling, OP13_SQL),
 }

@@ -79,12 +79,12 @@ class Texts:
 
 
 class Words:
-    """Words of texts: first byte and end of each, and which words each text has."""
+    """Words of texts: first byte and end of each, and which words each text has. outer marks the bytes between them."""
 
-    def __init__(self, texts: Texts):
+    def __init__(self, texts: Texts, outer: np.ndarray = SPACE):
         n = len(texts.data)
         inner = np.zeros(n + 1, bool)
-        inner[:n] = ~SPACE[texts.data]
+        inner[:n] = ~outer[texts.data]
         begins = inner.copy()
         begins[1:] &= ~inner[:-1]
         starts = texts.offsets[:-1]
