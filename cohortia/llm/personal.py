@@ -570,7 +570,10 @@ def sample_windows(docs: DataFrame, seed: int, sample_docs: int = SAMPLE_DOCS) -
                         out.append(part)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["part"])
 
-    chosen = docs.where(F.length("text") > 0).orderBy(F.xxhash64(F.lit(seed), "text"), "text").limit(sample_docs)
+    # the hashes alone tell which texts are least, so that no other text is moved
+    hashed = docs.where(F.length("text") > 0).select(F.xxhash64(F.lit(seed), "text").alias("hash"), "text")
+    least = [r.hash for r in hashed.select("hash").orderBy("hash").limit(sample_docs).collect()]
+    chosen = hashed.where(F.col("hash") <= F.lit(least[-1] if least else 0)).orderBy("hash", "text").limit(sample_docs)
     parts = chosen.select("text").mapInArrow(run, "part string").collect()
     return sorted(r.part for r in parts)
 
