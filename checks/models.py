@@ -262,3 +262,27 @@ def _(spark, sf):
     )
     assert {r["status"] for r in responses} == {"success"}, responses
     return plain(spark.read.parquet(path))
+
+
+@query("m21_rerun_with_new_external_scores", f"""
+SELECT '2024-02-01' AS date, tid, 'p' || tid AS pid, 'absolute' AS strategy,
+  CASE WHEN score < 0.5 THEN 'low' WHEN score >= 0.5 THEN 'high' ELSE 'none' END AS bucket, {RANGES}
+FROM (SELECT tid, CASE WHEN tid = 1 THEN CAST(1 - score AS FLOAT) ELSE score END AS score FROM v_scores WHERE tid IN (0, 1, 2))
+GROUP BY tid, bucket""")
+def _(spark, sf):
+    """Trait 1 is scored elsewhere, and once more before the second run; its first scores leave no trace."""
+    scores = v.v_scores(spark, sf).withColumn("decile", F.lit(1))
+    table, path = sinks.score_table(spark, scratch(spark, "score-table")), scratch(spark, "thresholds")
+    table.replace(scores)
+    outside = scratch(spark, "external")
+    bring = postprocessing.ExternalScores("x", outside + "/date={date}/tid={tid}", table)
+
+    def workflow(tid):
+        steps = [Thresholds(f"p{tid}", "absolute", [0.5], ["low", "high"]), *([bring] if tid == 1 else [])]
+        return Workflow(f"w{tid}", f"wf_x_{tid}", tid, postprocessors=steps)
+
+    for changed in (F.col("score") / 2, 1 - F.col("score")):
+        sinks.write_scores(scores.filter("tid = 1").withColumn("score", changed.cast("float")), outside)
+        responses = postprocessing.postprocess_all(table, [workflow(t) for t in (0, 1, 2)], DAY, path)
+        assert {r["status"] for r in responses} == {"success"}, responses
+    return plain(spark.read.parquet(path))

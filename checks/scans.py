@@ -419,6 +419,39 @@ def _(spark, sf):
     return table.read()
 
 
+@query("b09_interleaved_writers", f"""
+WITH {LISTED_SQL}, marked AS (SELECT * REPLACE (CASE WHEN end_date IS NULL THEN DATE '2024-02-03' ELSE last_processed_date END
+  AS last_processed_date) FROM v_active_segments)
+SELECT segment_id, segment_name, {TEXT_DATES} FROM (
+SELECT t.segment_id, coalesce(l.segment_name, t.segment_name) AS segment_name, t.start_date,
+       CASE WHEN l.segment_id IS NULL AND t.end_date IS NULL THEN DATE '2024-01-31' ELSE t.end_date END AS end_date,
+       t.last_processed_date
+FROM marked t LEFT JOIN listed l ON t.segment_id = l.segment_id AND t.end_date IS NULL
+UNION ALL SELECT l.segment_id, l.segment_name, l.start_date, NULL, NULL FROM listed l
+WHERE NOT EXISTS (SELECT 1 FROM marked t WHERE t.segment_id = l.segment_id AND t.end_date IS NULL))""")
+def _(spark, sf):
+    """A new listing is merged while another writer marks open segments as processed: both stay."""
+    path = scratch(spark, "segments")
+    table, other = segment_tables.segment_table(spark, path), segment_tables.segment_table(spark, path)
+    table.create(v.v_active_segments(spark, sf))
+    listed, day = listed_segments(spark, sf), datetime.date(2024, 2, 3)
+    tries = []
+
+    def mark(stored):
+        changes = stored.filter("end_date IS NULL").withColumn("last_processed_date", F.lit(day))
+        return sinks.mark_processed(stored, changes)
+
+    def merge(stored):
+        if not tries:
+            other.update(mark)
+        tries.append(stored)
+        return sinks.upsert_segments(stored, segments.segment_changes(stored, listed, datetime.date(2024, 2, 1)))
+
+    table.update(merge)
+    assert len(tries) == 2
+    return table.read()
+
+
 @query("b10_mark_processed", """
 SELECT segment_id, CAST(start_date AS VARCHAR) AS start_date,
        CASE WHEN end_date IS NULL THEN '2024-02-03' ELSE CAST(last_processed_date AS VARCHAR) END AS last_processed_date

@@ -13,10 +13,12 @@ from checks.joins import (
 )
 from checks.scans import LISTED_SQL, TARGET_COUNTS, TEXT_DATES, listed_segments, scratch, target_counts
 from checks.views import query
+from cohortia.errors import EmptyInput
 from cohortia.operators import segments
 from cohortia.plans import adobe, reports, segment_tables
 from cohortia.plans import targets as vendors
 from cohortia.sources import sinks, tables
+from cohortia.sources.ledger import Ledger
 from cohortia.streaming.segment_ingest import ingest_stream
 
 DAY = datetime.date(2024, 1, 3)
@@ -99,6 +101,56 @@ def _(spark, sf):
     return segment_tables.read_membership(spark, path)
 
 
+@query("o01_replayed_ingest", DROPS_SQL)
+def _(spark, sf):
+    """A run is lost after its write, an old file comes late, and another checkpoint delivers all files once more."""
+    folder, path, state = deliver(spark, sf), scratch(spark, "membership"), scratch(spark, "state")
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    oldest = sorted(status.getPath().toString() for status in fs.globStatus(fs_path(f"{folder}/*.info")))[0]
+    fs.rename(fs_path(oldest), fs_path(oldest + "-held"))  # before the newest full file
+    finish, lost = Ledger.mark_done, []
+
+    def lose(self, number):
+        if not lost:
+            lost.append(number)
+            raise RuntimeError("the driver is lost")
+        finish(self, number)
+
+    Ledger.mark_done = lose
+    try:
+        ingest_stream(spark, folder, path, state)
+    except Exception as fault:
+        assert "driver is lost" in str(fault), fault
+    finally:
+        Ledger.mark_done = finish
+    assert lost
+    fs.rename(fs_path(oldest + "-held"), fs_path(oldest))
+    for checkpoint in (state, state, scratch(spark, "state")):
+        ingest_stream(spark, folder, path, checkpoint)
+    return segment_tables.read_membership(spark, path)
+
+
+@query("o02_targets_written_after_stream", f"""
+SELECT segment_id, segment_name, CAST(start_date AS VARCHAR) AS start_date, CAST(end_date AS VARCHAR) AS end_date,
+  (SELECT CAST(max(CAST(to_timestamp(timestamp - 18000) AS DATE)) AS VARCHAR) FROM ({DROPS_SQL})) AS last_processed_date
+FROM v_active_segments""")
+def _(spark, sf):
+    """Segments advance once targets exist, to the newest file that the stream has stored; files are named by folders."""
+    path, table = scratch(spark, "membership"), segment_tables.segment_table(spark, scratch(spark, "segments"))
+    ingest_stream(spark, deliver(spark, sf), path, scratch(spark, "state"))
+    known = segment_tables.membership_partitions(spark, path)
+    assert "FileScan" not in segments.latest_file_date(known)._jdf.queryExecution().toString()
+    table.create(v.v_active_segments(spark, sf))
+    targets = segment_targets(spark, sf).select("*", F.lit("adobe").alias("vendor"), F.lit("mcid").alias("source"))
+    try:
+        segment_tables.advance_processed(table, known, targets.filter("false"), RUN)
+    except EmptyInput:
+        segment_tables.advance_processed(table, known, targets, RUN)
+    assert len(table.versions()) == 2
+    return table.read()
+
+
 @query("m04_segment_list_upkeep", f"""
 WITH {LISTED_SQL}, {SEGMENT_TARGETS},
 made AS (SELECT l.segment_id, l.segment_name, least(l.start_date, t.latest_date) AS start_date, l.end_date, t.latest_date AS last_processed_date

@@ -13,6 +13,10 @@ class EmptyInput(ValueError):
     """An input that must hold rows holds none."""
 
 
+class Conflict(RuntimeError):
+    """Another writer changed a table in the meantime."""
+
+
 class ScoringError(Exception):
     """Base of the typed scoring failures; ``status`` is what history records."""
 

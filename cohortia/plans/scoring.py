@@ -18,6 +18,7 @@ from cohortia.plans.workflow import Workflow
 from cohortia.session import staged
 from cohortia.sources import sinks
 from cohortia.sources.tables import feature_snapshot, require_rows
+from cohortia.sources.versioned import VersionedTable
 
 STAGE = "scoring"
 PASSTHROUGH_LAG = 2  # days
@@ -111,9 +112,11 @@ def _failure(workflow, date, fault):
 
 
 def score_all(features: DataFrame, targets: DataFrame, history: DataFrame,
-              workflows: list[Workflow], date: datetime.date, scores_uri: str) -> list[dict]:
+              workflows: list[Workflow], date: datetime.date, scores_uri: str | VersionedTable) -> list[dict]:
     """Score and write every workflow; returns one report per workflow.
 
+    ``scores_uri`` is a folder, or a ``sinks.score_table``.
+
     A batch that fails is tried again by halves, so that a fault is reported
     for the workflow that has it alone.
     """
@@ -156,7 +159,7 @@ def score_all(features: DataFrame, targets: DataFrame, history: DataFrame,
             rows = staged(score_rows(snapshot, {w.trait_id: m for w, m in batch}), "scores")
             scores = finish_scores(rows, date)
             sinks.write_scores(scores, scores_uri)
-            stored = features.sparkSession.read.parquet(scores_uri).filter(
+            stored = sinks.read_scores(features.sparkSession, scores_uri).filter(
                 (F.col("date") == F.lit(date)) & F.col("tid").isin([w.trait_id for w, _ in batch])
             )
             stats: dict[int, list] = {}

@@ -6,15 +6,20 @@ tasks and merge tiny ones, so one group holding a third of the rows is written
 in parallel.
 """
 
+from __future__ import annotations
+
 import datetime
 import json
+import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cohortia import schemas
-from cohortia.errors import InvalidDefinition
+from cohortia.errors import Conflict, InvalidDefinition
 from cohortia.sources import files
+from cohortia.sources.versioned import VersionedTable
 
 TARGET_KEYS = ["vendor", "source", "date", "group"]
 MEMBERSHIP_KEYS = ["ref_date", "type", "timestamp"]
@@ -33,44 +38,38 @@ def overwrite_partitions(df: DataFrame, uri: str, keys: list[str]) -> None:
     )
 
 
+def overwrite_and_list(df: DataFrame, uri: str, keys: list[str]) -> set[tuple]:
+    """Replace the partitions that occur in ``df``; their keys as text, noted while they are written."""
+    noted = Observation()
+    each = F.array(*[F.col(k).cast("string") for k in keys])
+    overwrite_partitions(df.observe(noted, F.collect_set(each).alias("written")), uri, keys)
+    return {tuple(v or None for v in row) for row in noted.get["written"]}
+
+
 def replace_targets(targets: DataFrame, uri: str, replaced: DataFrame) -> bool:
     """Write targets, replacing whole partitions listed in ``replaced``.
 
-    ``replaced`` holds partition keys, a subset of ``TARGET_KEYS``.  Covered
-    partitions that got no new rows still hold their old files after the write
-    and are then dropped; False, and nothing dropped, when there were no rows.
+    ``replaced`` holds partition keys, a subset of ``TARGET_KEYS``.  What is
+    written is noted during the write itself; covered partitions that are not
+    among it vanish.  They are found by folder name, so neither the files nor the
+    rows of other partitions are listed.  False, and nothing dropped, when there
+    were no rows.
     """
     spark = targets.sparkSession
-    # partition keys and file names only: table metadata, not rows
-    keys = [row.asDict() for row in replaced.distinct().collect()]
-    days = {
-        files.partition_pattern(uri, {k: row.get(k, files.ANY) for k in TARGET_KEYS[:-1]})
-        for row in keys
-    }
-    groups = {
-        (files.partition_pattern(uri, {k: row.get(k, files.ANY) for k in TARGET_KEYS[:-1]}),
-         files.partition_folder("group", row["group"]))
-        for row in keys
-        if "group" in row
-    }
-
-    def held() -> dict[str, list[str]]:
-        """File names of each covered partition, from one listing per day."""
-        return {
-            folder: names
-            for day in days
-            for folder, names in files.files_by_folder(spark, f"{day}/group=*/*").items()
-            if "group" not in replaced.columns or (day, folder.rsplit("/", 1)[1]) in groups
-        }
-
-    before = held()
-    overwrite_partitions(targets.select(*schemas.TARGETS.names), uri, TARGET_KEYS)
-    after = held()
-    if before == after:
+    written = overwrite_and_list(targets.select(*schemas.TARGETS.names), uri, TARGET_KEYS)
+    if not written:
         return False
-    for path, names in before.items():
-        if after.get(path) == names:
-            files.delete(spark, path)
+    rows = [row.asDict() for row in replaced.distinct().collect()]  # the caller's list of partitions
+    wanted: dict[tuple, set] = {}  # groups by the rest of the key: one listing for all groups of a day
+    for row in rows:
+        day = tuple(row.get(k, files.ANY) for k in TARGET_KEYS[:-1])
+        wanted.setdefault(day, set()).add(row.get("group", files.ANY))
+    for day, groups in wanted.items():
+        narrowed = dict(zip(TARGET_KEYS, day))
+        texts = {None if g in (None, "") else g if g is files.ANY else str(g) for g in groups}
+        for found in files.partition_values(spark, uri, TARGET_KEYS, **narrowed):
+            if (files.ANY in texts or found[-1] in texts) and found not in written:
+                files.delete(spark, files.partition_pattern(uri, dict(zip(TARGET_KEYS, found))))
     return True
 
 
@@ -86,8 +85,22 @@ def replace_day(targets: DataFrame, uri: str, vendor: str, source: str | None, d
     return replace_targets(targets, uri, keys)
 
 
-def write_scores(scores: DataFrame, uri: str) -> None:
-    overwrite_partitions(scores.select(*schemas.SCORES.names), uri, SCORE_KEYS)
+def score_table(spark: SparkSession, uri: str) -> VersionedTable:
+    """Scores of every date and trait, each replaced as a whole; readers pin a version."""
+    return VersionedTable(spark, uri, schemas.SCORES, SCORE_KEYS)
+
+
+def write_scores(scores: DataFrame, to: str | VersionedTable) -> None:
+    """Replace the scores of each date and trait that occurs, in a folder or a versioned table."""
+    rows = scores.select(*schemas.SCORES.names)
+    if isinstance(to, VersionedTable):
+        to.replace(rows)
+    else:
+        overwrite_partitions(rows, to, SCORE_KEYS)
+
+
+def read_scores(spark: SparkSession, to: str | VersionedTable) -> DataFrame:
+    return to.read() if isinstance(to, VersionedTable) else spark.read.schema(schemas.SCORES).parquet(to)
 
 
 def write_training_sets(rows: DataFrame, uri: str) -> None:
@@ -136,12 +149,17 @@ class SnapshotTable:
 
     Readers use the newest finished folder, so a failed or repeated write never
     shows a half-written table.  This serves the upserts of the segment list.
+
+    Rows are written aside; a number is then claimed by a file that only one
+    writer can create, and the folder gets its name.  ``update`` starts again from
+    the other's rows where a second writer was faster, so no change is lost.
     """
 
     def __init__(self, spark, uri: str, schema):
         self.spark, self.uri, self.schema = spark, uri.rstrip("/"), schema
 
     def versions(self) -> list[int]:
+        self._name_claimed()
         names = files.list_names(self.spark, self.uri)
         found = [int(n.split("=", 1)[1]) for n in names if n.startswith("snapshot=")]
         return sorted(v for v in found if files.exists(self.spark, f"{self._folder(v)}/_SUCCESS"))
@@ -149,20 +167,58 @@ class SnapshotTable:
     def _folder(self, version: int) -> str:
         return f"{self.uri}/snapshot={version}"
 
+    def _claims(self) -> list[int]:
+        return sorted(int(n) for n in files.list_names(self.spark, f"{self.uri}/_claims") if n.isdigit())
+
+    def _last(self) -> int:
+        """The highest number taken, by a finished folder or a claim."""
+        return max([*self.versions(), *self._claims(), 0])
+
+    def _name_claimed(self) -> None:
+        """Finish what a writer that broke off after its claim has left: only the newest can be open."""
+        for number in self._claims()[-1:]:
+            if not files.exists(self.spark, self._folder(number)):
+                aside = files.read_text(self.spark, f"{self.uri}/_claims/{number}")
+                files.move(self.spark, f"{self.uri}/{aside}", self._folder(number))
+
     def read(self) -> DataFrame | None:
         versions = self.versions()
         if not versions:
             return None
         return self.spark.read.schema(self.schema).parquet(self._folder(versions[-1]))
 
+    def _write(self, df: DataFrame, base: int) -> bool:
+        """Write the version after base, unless another writer has taken that number."""
+        aside = f"_writing-{uuid.uuid4().hex}"
+        df.select(*self.schema.names).write.parquet(f"{self.uri}/{aside}")
+        if not files.claim(self.spark, f"{self.uri}/_claims/{base + 1}", aside):
+            files.delete(self.spark, f"{self.uri}/{aside}")
+            return False
+        files.move(self.spark, f"{self.uri}/{aside}", self._folder(base + 1))
+        return True
+
     def create(self, df: DataFrame) -> None:
-        if self.versions():
+        base = self._last()
+        if self.versions() or not self._write(df, base):
             raise InvalidDefinition(f"a table already exists at {self.uri}")
-        self.write(df)
 
     def write(self, df: DataFrame) -> None:
-        version = max(self.versions() + [0]) + 1
-        df.select(*self.schema.names).write.mode("overwrite").parquet(self._folder(version))
+        """Write a version that does not depend on the one before."""
+        while not self._write(df, self._last()):
+            pass
+
+    def update(self, change: Callable[[DataFrame | None], DataFrame], tries: int = 10) -> None:
+        """Write what ``change`` makes of the newest rows (None before the first write)."""
+        for _ in range(tries):
+            base = self._last()
+            if self._write(change(self.read()), base):
+                return
+        raise Conflict(f"other writers changed {self.uri} during each of {tries} tries")
+
+    def expire(self, keep: int = 10) -> None:
+        """Drop all but the newest finished versions; readers of older ones must have ended."""
+        for version in self.versions()[:-keep]:
+            files.delete(self.spark, self._folder(version))
 
 
 def upsert_segments(stored: DataFrame, changes: DataFrame) -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortia import schemas
-from cohortia.errors import EmptyInput
-from cohortia.operators import segments as seg
-from cohortia.plans.segment_tables import read_membership, store_manifests
+from cohortia.plans.segment_tables import SegmentIngest
+from cohortia.sources import files
 from cohortia.sources import segment_files as sf
 
 
@@ -31,22 +32,18 @@ def ingest_stream(spark: SparkSession, folder: str, membership_uri: str, checkpo
     """Store every manifest that arrived since the last run, then stop.
 
     The manifest is the unit of work: all data files it lists are written as
-    one ``(ref_date, type, timestamp)`` partition, so a replayed batch rewrites
-    the same partitions.
+    one ``(ref_date, type, timestamp)`` partition.  What is done with each manifest
+    is recorded in a ledger beside the table before anything is written, so the
+    table ends up the same if a batch is replayed, at whatever point the run
+    before broke off.  Files older than the newest one stored are left out, as a
+    batch over the folder does; files that come before the first full one wait.
     """
+    ingest = SegmentIngest(spark, folder, membership_uri, tries, wait_seconds)
 
-    def store(batch: DataFrame, _batch_id: int) -> None:
-        session = batch.sparkSession
-        stored = read_membership(session, membership_uri)
-        # the stream itself remembers what was done; only the first run skips
-        # files from before the newest full one
-        files = sf.unprocessed(batch, None) if stored is None else batch
-        rows = seg.reference_dates(files, stored)
-        rows = rows.orderBy("timestamp").collect()  # one row per manifest
-        if any(row.ref_date is None for row in rows):
-            raise EmptyInput("no full segment file yet: try again when one is available")
-        if rows:
-            store_manifests(session, folder, rows, membership_uri, tries, wait_seconds)
+    def store(batch: DataFrame, batch_id: int) -> None:
+        # the id of this checkpoint: another stream over the folder counts its batches anew
+        stream = json.loads(files.read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+        ingest.take(batch, stream, batch_id)
 
     (
         manifest_stream(spark, folder)

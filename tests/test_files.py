@@ -11,6 +11,7 @@ from cohortia.errors import EmptyInput
 from cohortia.operators import segments as seg
 from cohortia.plans import segment_tables
 from cohortia.sources import segment_files as sf
+from cohortia.sources.ledger import Ledger
 from cohortia.streaming.segment_ingest import ingest_stream
 
 M1, M2, M3 = "1" * 38, "2" * 38, "3" * 38
@@ -126,6 +127,98 @@ def test_stream_equals_batch_over_several_runs(spark, folder):
         ("2021-02-10", "full", NOON + 9 * DAY, M1): [5], ("2021-02-10", "iter", NOON + 10 * DAY, M2): [6]}
 
 
+def breaking_off(monkeypatch, target, name):
+    """Let the target do its work once and then fail, as a driver that is lost."""
+    work, calls = getattr(target, name), []
+
+    def once(*args, **kwargs):
+        result = work(*args, **kwargs)
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("lost")
+        return result
+
+    monkeypatch.setattr(target, name, once)
+
+
+@pytest.mark.parametrize("where", ["before the write", "after the write", "after the mark"])
+def test_a_replayed_batch_leaves_the_same_table(spark, folder, monkeypatch, where):
+    source, table, state = Path(folder, "in"), f"{folder}/out", f"{folder}/state"
+    source.mkdir()
+    drop(source, "iter", NOON - 3 * DAY, [[f"{M1} 99"]])
+    drop(source, "full", NOON, [[f"{M1} 1 2"]])
+    drop(source, "iter", NOON + DAY, [[f"{M1} 4"]])
+    with monkeypatch.context() as patched:
+        target, name = {
+            "before the write": (Ledger, "add"), "after the write": (segment_tables, "store_manifests"),
+            "after the mark": (Ledger, "mark_done"),
+        }[where]
+        breaking_off(patched, target, name)
+        with pytest.raises(Exception):  # noqa: B017
+            ingest_stream(spark, str(source), table, state, 1, 0)
+        drop(source, "iter", NOON + 2 * DAY, [[f"{M2} 5"]])
+        ingest_stream(spark, str(source), table, state, 1, 0)
+    ingest_stream(spark, str(source), table, state, 1, 0)
+    expected = {("2021-02-01", "full", NOON, M1): [1, 2], ("2021-02-01", "iter", NOON + DAY, M1): [4],
+                ("2021-02-01", "iter", NOON + 2 * DAY, M2): [5]}
+    assert stored(spark, table) == expected
+    assert Ledger(spark, f"{table}_ledger").open_entries() == []
+
+
+def test_an_old_file_that_comes_late_is_left_out(spark, folder):
+    source, table, state = Path(folder, "in"), f"{folder}/out", f"{folder}/state"
+    source.mkdir()
+    drop(source, "full", NOON, [[f"{M1} 1 2"]])
+    ingest_stream(spark, str(source), table, state, 1, 0)
+    before = stored(spark, table)
+    drop(source, "iter", NOON - 5 * DAY, [[f"{M1} 99"]])
+    drop(source, "full", NOON - 2 * DAY, [[f"{M1} 98"]])
+    ingest_stream(spark, str(source), table, state, 1, 0)
+    assert stored(spark, table) == before
+    ingest_stream(spark, str(source), table, f"{folder}/another-state", 1, 0)  # delivers all of them again
+    assert stored(spark, table) == before
+    assert segment_tables.ingest_files(spark, str(source), table, 1, 0) == 0
+
+
+def test_files_before_the_first_full_one_wait(spark, folder):
+    source, table, state = Path(folder, "in"), f"{folder}/out", f"{folder}/state"
+    source.mkdir()
+    drop(source, "iter", NOON + DAY, [[f"{M1} 4"]])
+    drop(source, "iter", NOON - 3 * DAY, [[f"{M1} 99"]])
+    for _ in range(2):
+        ingest_stream(spark, str(source), table, state, 1, 0)
+    assert segment_tables.read_membership(spark, table) is None
+    drop(source, "full", NOON, [[f"{M1} 1 2"]])
+    ingest_stream(spark, str(source), table, state, 1, 0)
+    assert stored(spark, table) == {
+        ("2021-02-01", "full", NOON, M1): [1, 2], ("2021-02-01", "iter", NOON + DAY, M1): [4]}
+
+
+def test_a_batch_run_finishes_what_a_lost_one_has_decided(spark, folder, monkeypatch):
+    source, table = Path(folder, "in"), f"{folder}/out"
+    source.mkdir()
+    drop(source, "full", NOON, [[f"{M1} 1 2"]])
+    with monkeypatch.context() as patched:
+        breaking_off(patched, Ledger, "add")
+        with pytest.raises(RuntimeError):
+            segment_tables.ingest_files(spark, str(source), table, 1, 0)
+    assert segment_tables.read_membership(spark, table) is None
+    assert segment_tables.ingest_files(spark, str(source), table, 1, 0) == 0  # stored by finishing the open entry
+    assert stored(spark, table) == {("2021-02-01", "full", NOON, M1): [1, 2]}
+
+
+def test_newest_file_and_full_dates_come_from_folder_names(spark, folder):
+    source, table = Path(folder, "in"), f"{folder}/out"
+    assert segment_tables.membership_partitions(spark, table) is None
+    source.mkdir()
+    drop(source, "full", NOON, [[f"{M1} 1 2"]])
+    drop(source, "iter", NOON + DAY, [[f"{M1} 4"]])
+    segment_tables.ingest_files(spark, str(source), table, 1, 0)
+    known = segment_tables.membership_partitions(spark, table)
+    assert seg.latest_full_date(known) == day("2021-02-01") and seg.latest_file_date(known).first()[0] == day("2021-02-02")
+    assert "FileScan" not in seg.latest_file_date(known)._jdf.queryExecution().toString()
+
+
 def test_manifest_names_ignore_key_case(spark, folder):
     path = Path(folder, "m.info")
     path.write_text('{"Files": [\n {"Filename": "a.sync"}, {"Filename": "b.sync"}]}')
