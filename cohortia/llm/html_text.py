@@ -107,6 +107,8 @@ class Tree:
         self.within = [False]  # below article or main
         self.parts: list[tuple[int, str]] = []  # (element, text), or (element, "") where a block begins or ends
         self.open = [0]
+        self.places: dict[str, list[int]] = {"#root": [0]}  # where in open each tag stands
+        self.blocks: list[int] = []  # and all block elements
 
     def start(self, name: str, attributes: str) -> None:
         if "head" in self._open_tags() and name not in HEAD and name not in ("html", "head"):
@@ -134,17 +136,22 @@ class Tree:
         elif name == "br":
             self.parts.append((self.open[-1], " "))
         if name not in VOID:
+            self.places.setdefault(name, []).append(len(self.open))
+            if name in BLOCK:
+                self.blocks.append(len(self.open))
             self.open.append(node)
 
+    def _last(self, name: str) -> int:
+        """Where the newest open element of this tag stands; -1 if there is none."""
+        places = self.places.get(name)
+        return places[-1] if places else -1
+
     def end(self, name: str) -> None:
         if name in ("html", "body"):
             return
-        for node in reversed(self.open):
-            if self.tag[node] == name:
-                return self._pop_to(node)
-            if name not in BLOCK and self.tag[node] in BLOCK:
-                return None
-        return None
+        place = self._last(name)
+        if place >= 0 and (name in BLOCK or not self.blocks or self.blocks[-1] < place):
+            self._pop_to(self.open[place])
 
     def text(self, data: str) -> None:
         if data:
@@ -168,12 +175,10 @@ class Tree:
         return False, hint or int(not within and _hint(given.get("id", "").lower()) > 0)
 
     def _close(self, name: str, limit) -> None:
-        for node in reversed(self.open):
-            if self.tag[node] == name:
-                return self._pop_to(node)
-            if self.tag[node] in limit:
-                return None
-        return None
+        """Close the newest element of this tag, if no element of the limit was opened in it."""
+        place = self._last(name)
+        if place >= 0 and all(self._last(tag) <= place for tag in limit):
+            self._pop_to(self.open[place])
 
     def _close_to(self, name: str) -> None:
         for node in self.open:
@@ -184,7 +189,9 @@ class Tree:
     def _pop_to(self, node: int) -> None:
         while True:
             closed = self.open.pop()
+            self.places[self.tag[closed]].pop()
             if self.tag[closed] in BLOCK:
+                self.blocks.pop()
                 self.parts.append((closed, ""))
             if closed == node:
                 return

@@ -34,6 +34,11 @@ LOOKAHEAD = 1 << 18
 #: Windows that one split can hold; a window's id is the split's number times this plus its rank.
 WINDOWS_PER_SPLIT = 1 << 40
 
+#: Runs of white space from this length on are encoded by themselves, as the word pattern needs stack for each character.
+LONG_BLANK = 4096
+# Fixed value: the characters that the word pattern takes as white space.
+BLANK = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
@@ -44,6 +49,7 @@ def load_encoder(ranks_path: str, end_of_text: int):
     times faster; tests compare the two over every code point.
     """
     import base64
+    import re
 
     import tiktoken
     from public_tokenizers import PATTERN
@@ -53,10 +59,23 @@ def load_encoder(ranks_path: str, end_of_text: int):
     closing = np.zeros(max(max(ranks.values()), end_of_text) + 1, bool)
     for word, rank in ranks.items():
         closing[rank] = word[-1:] in (b".", b"!", b"?", b"\n")
-    encoder = tiktoken.Encoding(
-        "byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={"<|endoftext|>": end_of_text}
-    )
-    return (lambda text: encoder.encode_to_numpy(text, allowed_special="all")), closing
+    special = "<|endoftext|>"
+    encoder = tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={special: end_of_text})
+    long_run = re.compile(f"[{BLANK}]{{{LONG_BLANK},}}")
+
+    def encode(text: str) -> np.ndarray:
+        """Ids of a text; the pattern takes a run of white space as one word, but for its last character before another."""
+        parts, at = [], 0
+        for run in long_run.finditer(text):
+            last = run.end()
+            end = last if last == len(text) or text.startswith(special, last) else last - 1
+            parts.append(encoder.encode_to_numpy(text[at : run.start()], allowed_special="all"))
+            parts.append(np.array(encoder._encode_single_piece(text[run.start() : end]), np.uint32))
+            at = end
+        rest = encoder.encode_to_numpy(text[at:], allowed_special="all")
+        return np.concatenate([*parts, rest]) if parts else rest
+
+    return encode, closing
 
 
 def sentence_ends(ids: np.ndarray, closing: np.ndarray) -> np.ndarray:

@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -96,6 +97,13 @@ def test_odd_pages():
     assert html_text.main_text("<p title='a > b'>x</p><p class=>y") == "x\n\ny"
 
 
+@pytest.mark.parametrize("unit", ["<div>", "<font><p>x", "<b>", "<ul><li>x", "</i><p><span>"])
+def test_pages_of_200_000_open_tags_take_seconds(unit):
+    start = time.time()
+    html_text.main_text(unit * 200_000 + "deep")
+    assert time.time() - start < 60
+
+
 def test_extract_keeps_rows(spark):
     rows = [(1, "u", page("<article><p>t</p></article>"), "x"), (1, "u", page("<article><p>t</p></article>"), "x"), (None, None, None, None)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

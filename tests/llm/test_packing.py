@@ -72,6 +72,26 @@ def test_ids_equal_those_of_tokenizers_over_all_code_points(reference):
         assert encode(text).tolist() == ids.ids
 
 
+N = 5_000_000
+
+
+@pytest.mark.parametrize("text", [" " * N, "\n" * N, " \n\t" * (N // 3), "\r\n" * (N // 2) + "end"])
+def test_long_runs_of_white_space_have_the_ids_of_tokenizers(reference, text):
+    encode, _ = packing.load_encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), 50256)
+    assert encode(text).tolist() == reference.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_runs_of_white_space_among_words(reference, monkeypatch, seed):
+    monkeypatch.setattr(packing, "LONG_BLANK", 2)
+    encode, _ = packing.load_encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), 50256)
+    draw = random.Random(seed)
+    for _ in range(500):
+        parts = [" ", "  ", "\n", "\t", "\x85", "\u3000", "\x1c", "a", "Bc", "1", ".", "<|endoftext|>", "'s"]
+        text = "".join(draw.choices(parts, k=draw.randint(0, 30)))
+        assert encode(text).tolist() == reference.encode(text, add_special_tokens=False).ids
+
+
 def test_no_rows_give_no_pieces(nothing):
     assert packing.pack(nothing, RANKS).count() == 0
 
