@@ -362,6 +362,17 @@ def _(spark, sf):
     return with_percent_rank(nulled_scores(spark, sf), "score").select("xid", "raw_percentile")
 
 
+@query("g05_crowded_doubles", """
+SELECT k, round(percent_rank() OVER (ORDER BY x DESC), 6) AS raw_percentile FROM (
+  SELECT l_orderkey * 8 + l_linenumber AS k, 0.5 + (l_orderkey * 8 + l_linenumber) * 1e-12 AS x FROM lineitem)""")
+def _(spark, sf):
+    """Distinct doubles between 0.5 and 0.5001: few order buckets, yet ranges share them out."""
+    key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    rows = v.table(spark, sf, "lineitem").select(key.cast("bigint").alias("k"))
+    ranked = with_percent_rank(rows.withColumn("x", F.lit(0.5) + F.col("k") * F.lit(1e-12)), "x")
+    return ranked.select("k", "raw_percentile")
+
+
 @query("g06_latest_per_stage", """
 SELECT workflow_id, stage, CAST(arg_date AS VARCHAR) AS arg_date FROM (SELECT *, row_number() OVER (
   PARTITION BY workflow_id, stage ORDER BY execution_date DESC) AS rn FROM v_history WHERE status = 'success') WHERE rn = 1""")

@@ -124,6 +124,41 @@ def _(spark, sf):
     return top.union(bottom)
 
 
+def shares_of(targets, column, group):
+    """Users in the top twentieth and the bottom tenth of a group's rows by a column."""
+    sides = {
+        "top": MatchesPercentage(group, 0.95, column),
+        "bottom": MatchesPercentage(group, 0.1, column, direction="less_than"),
+    }
+    keys = find_keys(targets, list(sides.values()))
+    top, bottom = (
+        targets.filter(share.compile(targets, keys).row).select("xid", F.lit(side).alias("side")).distinct()
+        for side, share in sides.items()
+    )
+    return top.union(bottom)
+
+
+SHARES_SQL = """
+WITH ranked AS (SELECT xid, row_number() OVER (ORDER BY {value} NULLS FIRST, md5(xid), xid) / CAST(count(*) OVER () AS DOUBLE) AS ratio
+  FROM v_targets WHERE vendor = 'dfp')
+SELECT DISTINCT xid, 'top' AS side FROM ranked WHERE ratio >= 0.95
+UNION ALL SELECT DISTINCT xid, 'bottom' FROM ranked WHERE ratio <= 0.1"""
+
+
+@query("d05_percentage_of_text", SHARES_SQL.format(value="aspect"))
+def _(spark, sf):
+    return shares_of(v.v_targets(spark, sf), "aspect", Behavior({"vendor": "dfp"}))
+
+
+@query("d05_percentage_of_long", SHARES_SQL.format(
+    value="9007199254740992 + CAST(floor(value) AS BIGINT) * CASE WHEN xid < 'u5' THEN 1 ELSE -1 END"))
+def _(spark, sf):
+    """Longs above 2^53, of which doubles could not tell neighbours apart."""
+    sign = F.when(F.col("xid") < "u5", 1).otherwise(-1)
+    big = F.lit(2**53) + F.floor("value").cast("bigint") * sign
+    return shares_of(v.v_targets(spark, sf).withColumn("big", big), "big", Behavior({"vendor": "dfp"}))
+
+
 @query("d06_column_as_target", """
 SELECT xid, CASE WHEN vendor = 'dfp' AND "group" = 'g3' THEN source END AS target, count(*) AS n
 FROM v_targets GROUP BY 1, 2""")

@@ -1,12 +1,14 @@
 """Exact ranks, quantile cuts and order statistics without a single-task sort.
 
 A plain ``row_number().over(orderBy(x))`` moves every row into one task.  Here
-rows are first counted per distinct value (partial aggregation absorbs ties,
-however hot), values are grouped into buckets that preserve their order, and
-only the bucket totals are accumulated globally.  For 4-byte floats there are
-at most about 284,000 buckets of at most about 16,400 values each, so both
-windows below are bounded whatever the number of rows.  Buckets are a function
-of the value alone: nothing is sampled, and a re-run task gives the same answer.
+rows are first counted per distinct value, so that partial aggregation absorbs
+ties, however hot.  ``counted_before`` then deals the distinct values out by range,
+writes them once, and adds up the ranges before a value's own and what lies before
+it inside.  Ranges follow the values that are there, so values of any orderable
+type may crowd anywhere without one task getting more than a range.
+
+Cuts and threshold tables need few ranks.  They first count rows per order bucket, a
+function of the value alone, and look at single values only where a cut falls.
 """
 
 from dataclasses import dataclass
@@ -16,6 +18,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortia.session import staged
+
 _STEPS = 512  # buckets per power of two
 
 
@@ -64,24 +68,39 @@ def bucket_offsets(rows: DataFrame, keys: list, size: Column, direction=F.asc, m
     )
 
 
+def counted_before(counts: DataFrame, keys: list, order: list, n: str = "n_rows", descending=False) -> DataFrame:
+    """Add ``n_before`` and ``n_total``: the ``n`` of rows sorted before a row, and of all, within its keys.
+
+    ``counts`` holds each combination of keys and order columns once.  NULL sorts
+    first when ascending and last when descending, as Spark sorts it.
+    """
+    direction = [(F.desc if descending else F.asc)(c) for c in order]
+    ranges = [*[F.col(k) for k in keys], *direction]
+    placed = counts.repartitionByRange(*ranges).sortWithinPartitions(*ranges)
+    placed = staged(placed.withColumn("_part", F.spark_partition_id()), "ranges")  # the write fixes the ranges
+    parts = placed.groupBy(*keys, "_part").agg(F.sum(n).alias("_in_part"))
+    earlier = F.sum("_in_part").over(up_to_here(keys, F.asc("_part"))) - F.col("_in_part")
+    parts = parts.select(
+        *keys, "_part", earlier.alias("_earlier"), F.sum("_in_part").over(Window.partitionBy(*keys)).alias("n_total")
+    )
+    inside = Window.partitionBy(*keys, "_part").orderBy(*direction)
+    inside = F.sum(n).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col(n)
+    return (
+        placed.withColumn("_inside", inside)
+        .join(parts, [*keys, "_part"])
+        .withColumn("n_before", F.col("_earlier") + F.col("_inside"))
+        .select(*counts.columns, "n_before", "n_total")
+    )
+
+
 def value_ranks(df: DataFrame, value: str, by=(), descending=False) -> DataFrame:
     """One row per distinct value: ``by, value, n_rows, n_before, n_total``.
 
     ``n_before`` counts the rows sorted strictly before the value.  NULL sorts
     first when ascending and last when descending, as Spark sorts it.
     """
-    keys, direction = list(by), F.desc if descending else F.asc
-    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n_rows"))
-    counts = with_order_bucket(counts, value)
-    offsets = bucket_offsets(counts, keys, F.sum("n_rows"), direction).drop("_in_bucket")
-    within = F.sum("n_rows").over(up_to_here([*keys, "_bucket"], direction(value)))
-    return counts.join(offsets, [*keys, "_bucket"]).select(
-        *keys,
-        value,
-        "n_rows",
-        (F.col("_offset") + within - F.col("n_rows")).alias("n_before"),
-        "n_total",
-    )
+    counts = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n_rows"))
+    return counted_before(counts, list(by), [value], descending=descending)
 
 
 def percent_ranks(df: DataFrame, value: str, by=()) -> DataFrame:
@@ -126,7 +145,8 @@ def quantile_cuts(df: DataFrame, value: str, buckets: int, by=()) -> DataFrame:
 
     near = known.join(crossed.select(*keys, "_bucket"), [*keys, "_bucket"], "left_semi")
     counts = near.groupBy(*keys, "_bucket", value).agg(F.count(F.lit(1)).alias("n_rows"))
-    last = F.col("_offset") + F.sum("n_rows").over(up_to_here([*keys, "_bucket"], F.asc(value)))
+    counts = counted_before(counts, [*keys, "_bucket"], [value]).drop("n_total")
+    last = F.col("_offset") + F.col("n_before") + F.col("n_rows")
     ranked = counts.join(crossed, [*keys, "_bucket"]).withColumn("_last", last)
     is_cut = F.exists(
         "_ranks",
@@ -155,133 +175,69 @@ class Edge:
 def boundary_keys(df: DataFrame, edges: list[Edge], tie: str) -> list[dict | None]:
     """For each edge, the row key at which ``row_number / count`` crosses its share.
 
-    Rows are ordered by ``(value, md5(tie), tie)``.  From the top that is the
-    first key whose ratio reaches the share, else the last one that does not
-    exceed it; None when there is none.
+    Rows are ordered by ``(value, md5(tie), tie)``; the value may be of any orderable
+    type.  From the top that is the first key whose ratio reaches the share, else the
+    last one that does not exceed it; None when there is none.
 
-    Four narrowing jobs serve all edges together, each an aggregate returning
-    one row per edge: the order bucket, the value inside it, the md5 prefix
-    among rows with that value (at most 65,536 prefixes), and the key inside
-    that prefix.
+    Edges on one column are found together: their rows are counted per distinct
+    key in one scan, the keys written once in order, and one row per edge read back.
     """
-    entries = [
-        F.when(e.condition, F.struct(F.lit(i).alias("edge"), F.col(e.value).cast("double").alias("v")))
-        for i, e in enumerate(edges)
-    ]
-    rows = (
-        df.filter(reduce(or_, [e.condition for e in edges]))
-        .select(F.col(tie).alias("t"), F.md5(tie).alias("h"), F.explode(F.array(*entries)).alias("e"))
-        .filter("e IS NOT NULL")
-        .select("e.edge", "e.v", "h", "t")
-    )
-
-    def per_edge(values, kind):
-        listed = F.array(*[F.lit(value).cast(kind) for value in values])
-        return F.element_at(listed, F.col("edge") + 1)
-
-    share = per_edge([e.share for e in edges], "double")
-    from_top = per_edge([e.from_top for e in edges], "boolean")
-    n_rows = F.count(F.lit(1)).alias("n_rows")
-
-    def running(counted, *order):
-        so_far = Window.partitionBy("edge").orderBy(*order).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow
+    found: list[dict | None] = [None] * len(edges)
+    for name in dict.fromkeys(e.value for e in edges):
+        mine = [(i, e) for i, e in enumerate(edges) if e.value == name]
+        marks = F.array_compact(F.array(*[F.when(e.condition, F.lit(i)) for i, e in mine]))
+        rows = df.filter(reduce(or_, [e.condition for _, e in mine])).select(
+            F.col(name).alias("v"), F.col(tie).alias("t"), F.explode(marks).alias("edge")
         )
-        return counted.withColumn("n_before", F.sum("n_rows").over(so_far) - F.col("n_rows"))
-
-    def crossing(counted, order, before, total):
-        """``{edge: (order value, rows before it, all rows)}``."""
-        first = (before + 1) / total
-        last = (before + F.col("n_rows")) / total
-        inside = F.when(from_top, last >= share).otherwise(first <= share)
-        rank = F.struct(F.col(order).isNotNull().alias("known"), F.col(order).alias("at"))
-        found = F.struct(F.col(order).alias("at"), before.alias("before"), total.alias("total"))
-        ends = counted.filter(inside).groupBy("edge").agg(
-            F.min_by(found, rank).alias("lowest"), F.max_by(found, rank).alias("highest")
+        counts = rows.groupBy("edge", "v", "t").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("h", F.md5("t"))
+        ranked = counted_before(counts, ["edge"], ["v", "h", "t"])
+
+        def per_edge(values, kind):
+            listed = F.create_map(*[F.lit(x) for i, e in mine for x in (i, values(e))])
+            return listed[F.col("edge")].cast(kind)
+
+        share, from_top = per_edge(lambda e: float(e.share), "double"), per_edge(lambda e: e.from_top, "boolean")
+        first = (F.col("n_before") + 1) / F.col("n_total")
+        last = (F.col("n_before") + F.col("n_rows")) / F.col("n_total")
+        key = F.struct("v", "h", "t")
+        ends = ranked.filter(F.when(from_top, last >= share).otherwise(first <= share)).groupBy("edge").agg(
+            F.min_by(key, "n_before").alias("lowest"), F.max_by(key, "n_before").alias("highest")
         )
-        chosen = F.when(from_top, F.col("lowest")).otherwise(F.col("highest"))
-        return dict(ends.select("edge", chosen).collect())
-
-    def of(found, field, kind):
-        return per_edge([found[i][field] if i in found else None for i in range(len(edges))], kind)
-
-    rows = with_order_bucket(rows, "v")
-    buckets = bucket_offsets(rows, ["edge"], F.count(F.lit(1)))
-    buckets = buckets.withColumnRenamed("_in_bucket", "n_rows")
-    at_bucket = crossing(buckets, "_bucket", F.col("_offset"), F.col("n_total"))
-    if not at_bucket:
-        return [None] * len(edges)
-    total = of(at_bucket, "total", "bigint")
-
-    rows = rows.filter(F.col("_bucket") == of(at_bucket, "at", "bigint"))
-    by_value = running(rows.groupBy("edge", "v").agg(n_rows), "v")
-    before = of(at_bucket, "before", "bigint") + F.col("n_before")
-    at_value = crossing(by_value, "v", before, total)
-
-    rows = rows.filter(F.col("v").eqNullSafe(of(at_value, "at", "double")))
-    prefix = F.substring("h", 1, 4)
-    by_prefix = running(rows.groupBy("edge", prefix.alias("p")).agg(n_rows), "p")
-    before = of(at_value, "before", "bigint") + F.col("n_before")
-    at_prefix = crossing(by_prefix, "p", before, total)
-
-    rows = rows.filter(prefix == of(at_prefix, "at", "string"))
-    by_key = running(rows.groupBy("edge", F.struct("h", "t").alias("key")).agg(n_rows), "key")
-    before = of(at_prefix, "before", "bigint") + F.col("n_before")
-    at_key = crossing(by_key, "key", before, total)
-    return [
-        {"v": at_value[i]["at"], **at_key[i]["at"].asDict()} if i in at_key else None
-        for i in range(len(edges))
-    ]
+        kind = df.schema[name].dataType.simpleString()
+        for row in ends.collect():  # one per edge
+            end = row.lowest if edges[row.edge].from_top else row.highest
+            found[row.edge] = {**end.asDict(), "kind": kind}
+    return found
 
 
 def beyond(value: Column, tie: Column, key: dict | None, from_top: bool) -> Column:
-    """Does the row's ``(value, md5(tie), tie)`` lie at the key or on its far side?"""
+    """Does the row's ``(value, md5(tie), tie)`` lie at the key or on its far side?
+
+    A NULL value lies below all others; ties are hashed only where values are equal.
+    """
     if key is None:
         return F.lit(False)
-
-    def sortable(v, h, t):
-        # plain tuples of non-null parts, NULL value first
-        return F.struct(
-            v.isNotNull().alias("known"), F.coalesce(v, F.lit(0.0)).alias("v"), h.alias("h"), t.alias("t")
-        )
-
-    row = sortable(value.cast("double"), F.md5(tie), tie)
-    edge = sortable(F.lit(key["v"]).cast("double"), F.lit(key["h"]), F.lit(key["t"]))
-    return (row >= edge) if from_top else (row <= edge)
+    row, edge = F.struct(F.md5(tie).alias("h"), tie.alias("t")), F.struct(F.lit(key["h"]).alias("h"), F.lit(key["t"]).alias("t"))
+    level = (row >= edge) if from_top else (row <= edge)
+    if key["v"] is None:
+        return value.isNotNull() | level if from_top else value.isNull() & level
+    at = F.lit(key["v"]).cast(key["kind"])
+    far = (value > at) if from_top else (value < at)
+    return F.coalesce(far | ((value == at) & level), F.lit(not from_top))
 
 
 def row_shares(df: DataFrame, value: str, tie: str) -> DataFrame:
-    """``row_number / count`` of rows ordered by ``(value, md5(tie), tie)``.
+    """``row_number / count`` of rows ordered by ``(value, md5(tie), tie)``, the value of any orderable type.
 
     One row per distinct ``(value, tie)`` with the shares of its first and last
-    copy.  Ties on the value are spread over md5 prefixes, so neither a hot
+    copy.  Ties on the value are dealt out by md5 like all else, so neither a hot
     value nor a hot user is ranked in a single task.
     """
-    keys = [F.col(value).cast("double").alias("v"), F.col(tie).alias("t")]
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-    counts = counts.withColumns({"h": F.md5("t"), "p": F.substring(F.md5("t"), 1, 4)})
-    values = value_ranks(df.select(keys[0]), "v").select(
-        F.col("v").alias("w"), F.col("n_before").alias("_below"), "n_total"
-    )
-
-    so_far = (Window.unboundedPreceding, Window.currentRow)
-    prefixes = counts.groupBy("v", "p").agg(F.sum("n_rows").alias("_in_prefix"))
-    by_prefix = Window.partitionBy("v").orderBy("p").rowsBetween(*so_far)  # at most 65,536 rows
-    prefixes = prefixes.select(
-        F.col("v").alias("w2"),
-        F.col("p").alias("p2"),
-        (F.sum("_in_prefix").over(by_prefix) - F.col("_in_prefix")).alias("_earlier"),
-    )
-    within = Window.partitionBy("v", "p").orderBy("h", "t").rowsBetween(*so_far)
-    last = F.col("_below") + F.col("_earlier") + F.sum("n_rows").over(within)
-    return (
-        counts.join(prefixes, F.col("v").eqNullSafe(F.col("w2")) & (F.col("p") == F.col("p2")))
-        .join(values, F.col("v").eqNullSafe(F.col("w")))
-        .select(
-            F.col("v").alias(value),
-            F.col("t").alias(tie),
-            "n_rows",
-            ((last - F.col("n_rows") + 1) / F.col("n_total")).alias("first_share"),
-            (last / F.col("n_total")).alias("last_share"),
-        )
+    counts = df.groupBy(value, tie).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("_hash", F.md5(tie))
+    return counted_before(counts, [], [value, "_hash", tie]).select(
+        value,
+        tie,
+        "n_rows",
+        ((F.col("n_before") + 1) / F.col("n_total")).alias("first_share"),
+        ((F.col("n_before") + F.col("n_rows")) / F.col("n_total")).alias("last_share"),
     )

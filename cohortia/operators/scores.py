@@ -8,8 +8,8 @@ from cohortia.functions.ids import unit_hash
 from cohortia.operators.ranking import (
     bucket_number,
     bucket_offsets,
+    counted_before,
     quantile_cuts,
-    up_to_here,
     with_order_bucket,
 )
 
@@ -121,10 +121,10 @@ def threshold_ranges(scores: DataFrame, attach, by=(), steps=()) -> DataFrame:
     )
     near = rows.join(split.select(*keys, "_bucket").distinct(), [*keys, "_bucket"], "left_semi")
     values = near.groupBy(*keys, "_bucket", "score").agg(F.count(F.lit(1)).alias("known"))
-    before = F.sum("known").over(up_to_here([*ids, "_bucket"], F.desc("score"))) - F.col("known")
+    values = counted_before(values, [*keys, "_bucket"], ["score"], n="known", descending=True).drop("n_total")
     parts = (
         values.join(split, [*keys, "_bucket"])
-        .withColumn("_before", F.col("_offset") + before)
+        .withColumn("_before", F.col("_offset") + F.col("n_before"))
         .select(
             *ids,
             "strategy",

@@ -88,6 +88,56 @@ def test_boundary_selects_the_users_of_the_window_form(spark, share, from_top):
     assert set(map(tuple, chosen.select(*pairs).distinct().collect())) == expected
 
 
+WIDE = 2**53
+KINDS = {
+    "string": ["https://www.example.com/a", "https://www.example.com/b", "", "é", "zz", "https://www.example.com/", None],
+    "bigint": [WIDE, WIDE + 1, WIDE + 2, -WIDE - 1, -WIDE, 0, None],
+    "decimal(38,10)": ["12345678901234567890.0000000001", "12345678901234567890.0000000002", "-1.5", "0", None],
+    "date": ["2021-01-01", "2021-01-02", "1900-01-01", None],
+    "timestamp": ["2021-01-01 00:00:00.000001", "2021-01-01 00:00:00.000002", "1969-12-31 23:59:59", None],
+    "boolean": ["true", "false", None],
+}
+
+
+@pytest.mark.parametrize("kind", sorted(KINDS))
+@pytest.mark.parametrize("from_top", [True, False])
+def test_boundaries_of_any_orderable_type(spark, kind, from_top):
+    draw = random.Random(kind)
+    data = [(None if (x := draw.choice(KINDS[kind])) is None else str(x), f"u{draw.randrange(9)}") for _ in range(150)]
+    df = spark.createDataFrame(data, "v string, u string").withColumn("v", F.col("v").cast(kind)).cache()
+    edges = [ranking.Edge(F.lit(True), "v", share, from_top) for share in (0.05, 0.3, 0.5, 0.9)]
+    ranked = ratio_rows(df)
+    for edge, key in zip(edges, ranking.boundary_keys(df, edges, "u")):
+        ratio = F.col("ratio") >= edge.share if from_top else F.col("ratio") <= edge.share
+        expected = set(map(tuple, ranked.filter(ratio).select("v", "u").distinct().collect()))
+        chosen = df.filter(ranking.beyond(F.col("v"), F.col("u"), key, from_top))
+        assert set(map(tuple, chosen.select("v", "u").distinct().collect())) == expected
+
+
+def test_crowded_doubles_are_ranked_by_range(spark):
+    """Distinct doubles that all fall into a handful of order buckets are spread over all tasks."""
+    n = 200_000
+    df = spark.range(n, numPartitions=4).select((0.5 + F.col("id") * 5e-10).alias("v"))
+    ranks = ranking.value_ranks(df, "v", descending=True)
+    assert ranks.filter(F.col("n_before") != F.lit(n - 1) - F.round((F.col("v") - 0.5) / 5e-10)).isEmpty()
+    counts = df.groupBy("v").agg(F.count(F.lit(1)).alias("n_rows"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # they are tiny here
+    try:
+        parts = counts.repartitionByRange("v").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert parts < 0.4 * n  # four shuffle partitions
+    cuts = ranking.quantile_cuts(df, "v", 4).first()["cuts"]
+    assert [round((c - 0.5) / 5e-10) for c in cuts] == [n // 4 - 1, n // 2 - 1, 3 * n // 4 - 1]
+
+
+def test_edges_on_several_columns(spark):
+    df = spark.createDataFrame([(i, f"t{i:03}", f"u{i}") for i in range(100)], "v int, w string, u string")
+    edges = [ranking.Edge(F.lit(True), "v", 0.9, True), ranking.Edge(F.col("v") < 50, "w", 0.1, False)]
+    top, low = ranking.boundary_keys(df, edges, "u")
+    assert (top["v"], low["v"]) == (89, "t004")
+
+
 def test_edges_are_found_together(spark):
     df = frame(spark, awkward(300)).cache()
     parts = [F.col("i") % 3 == 0, F.col("v") > 0, F.col("u").isin("u1", "u2"), F.col("v").isNull()]
