@@ -16,6 +16,7 @@ from cohortia.operators.recipes import Behavior
 from cohortia.plans import reports, targets as vendors
 from cohortia.plans.scoring import last_trainings
 from cohortia.sources import identity as id_scans
+from cohortia.session import staged
 from cohortia.sources import segment_files
 
 FULL = v.FIRST_DAY
@@ -186,6 +187,27 @@ def _(spark, sf):
     return features.join_frames(frames, "xid")
 
 
+FAMILIES_SQL = ", ".join(
+    f"coalesce(max(n) FILTER (event_type = '{e}'), 0) AS feature_brands_{e}, max(n) FILTER (event_type = '{e}') AS feature_admantx_topics_shop_{e}x"
+    for e in v.EVENT_TYPES
+)
+
+
+@query("e14_families_of_one_table", f"""
+SELECT xid AS infinity_id, max(last_day) - min(first_day) AS feature_duration_lifespan,
+  DATE '2024-01-31' - max(last_day) AS feature_duration_days_since_last_seen, {FAMILIES_SQL} FROM v_kinds GROUP BY xid""")
+def _(spark, sf):
+    """Three families of the nested table as columns of one projection."""
+    nested = staged(v.v_nested(spark, sf), "nested")
+    topics = [f"feature_admantx_topics_shop_{e}x" for e in v.EVENT_TYPES]
+    wide = features.nested_features(
+        nested, ["feature_duration", "feature_brands", "feature_admantx"], topics, {"feature_brands": v.EVENT_TYPES}
+    )
+    plan = wide._jdf.queryExecution().toString()
+    assert not any(word in plan for word in ("Exchange", "Join", "Generate")), plan
+    return wide
+
+
 REPORT = """
 SELECT h.*, w.enabled, w.trait_id, w.name, w.description FROM ({}) h JOIN v_workflow w ON h.workflow_id = w.id"""
 

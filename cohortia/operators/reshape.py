@@ -23,8 +23,11 @@ def pivot_first(df: DataFrame, by: str, name: str, value: str, values=None, fill
     """One column per name with its first value; missing numbers as 0.
 
     Give ``values`` whenever the names are known: it saves a pass over the data
-    and fixes the column order.
+    and fixes the column order.  Otherwise all distinct names are looked up, sorted,
+    however many there are.
     """
+    if values is None:
+        values = [r[0] for r in df.select(name).distinct().sort(name).collect()]  # the columns of the result
     pivoted = df.groupBy(by).pivot(name, values).agg(F.first(value, ignorenulls=True))
     return pivoted.fillna(0) if fill else pivoted
 

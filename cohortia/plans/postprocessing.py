@@ -6,7 +6,7 @@ import datetime
 import traceback as tb
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortia import schemas
@@ -47,10 +47,9 @@ def normalise_external(spark: SparkSession, uri: str, to: str | VersionedTable)
     """
     rows = require_columns(load_partition(spark, uri), schemas.SCORES.names)
     rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.SCORES])
-    noted = Observation()
-    rows = rows.observe(noted, F.collect_set(F.struct(*sinks.SCORE_KEYS)).alias("written"))
+    written = [tuple(row) for row in rows.select(*sinks.SCORE_KEYS).distinct().collect()]  # one per trait
     sinks.write_scores(rows, to)
-    return [tuple(row) for row in noted.get["written"]]  # one per trait
+    return written
 
 
 @dataclass
@@ -102,12 +101,9 @@ def _write_tables(day: DataFrame, together: list[Workflow], date: datetime.date,
         wanted = [w.trait_id for w in batch]
         try:
             of_batch = day.filter(F.col("tid").isin(wanted))
+            found = {r.tid for r in of_batch.select("tid").distinct().collect()}  # at most one per workflow
             table = threshold_tables(of_batch, configurations(day.sparkSession, batch))
-            table = table.withColumn("date", F.lit(date))
-            written = Observation()
-            table = table.observe(written, F.collect_set("tid").alias("traits"))  # one per workflow
-            sinks.write_thresholds(table, uri)
-            found = set(written.get["traits"])
+            sinks.write_thresholds(table.withColumn("date", F.lit(date)), uri)
             for w in batch:
                 if w.trait_id not in found:
                     missing = EmptyInput(f"no scores of trait {w.trait_id} on {date}")

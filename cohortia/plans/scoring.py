@@ -5,10 +5,14 @@ from __future__ import annotations
 import datetime
 import json
 import traceback as tb
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortia.errors import MissingFeatures, MissingHistory, MissingModel, ScoringError
@@ -58,16 +62,87 @@ def predicted(features: DataFrame, model: PipelineModel, name: str) -> DataFrame
     return scored.withColumn(name, vector_to_array("probability")[1]).drop(*scratch)
 
 
-def score_rows(features: DataFrame, models: dict[int, PipelineModel], user="infinity_id") -> DataFrame:
-    """``xid, tid, score`` of every user under every model, in one pass."""
-    wide = features
+@dataclass(frozen=True)
+class LinearModel:
+    """What a trained pipeline of an assembler and a binary logistic regression comes down to."""
+
+    features: tuple[str, ...]
+    coefficients: tuple[float, ...]
+    intercept: float
+
+    @classmethod
+    def of(cls, model: PipelineModel) -> LinearModel | None:
+        """The model's numbers; None if it is of another kind."""
+        if len(model.stages) != 2:
+            return None
+        assembler, regression = model.stages
+        if not isinstance(assembler, VectorAssembler) or not isinstance(regression, LogisticRegressionModel):
+            return None
+        if regression.coefficientMatrix.numRows != 1 or regression.getFeaturesCol() != assembler.getOutputCol():
+            return None
+        names, weights = tuple(assembler.getInputCols()), tuple(regression.coefficients.toArray().tolist())
+        return cls(names, weights, float(regression.intercept)) if len(names) == len(weights) else None
+
+
+def _linear_score(x: Column):
+    """From an entry of the coefficient table to ``tid, score`` of the features in x."""
+
+    def score(model):
+        margin = F.aggregate(model["terms"], model["start"], lambda total, term: total + term["by"] * F.get(x, term["at"]))
+        return F.struct(model["tid"].alias("tid"), (1 / (1 + F.exp(-margin))).cast("float").alias("score"))
+
+    return score
+
+
+def linear_scores(features: DataFrame, models: dict[int, LinearModel], user="infinity_id") -> DataFrame:
+    """``xid, tid, score`` of every user under every model.
+
+    Models with one list of features share its assembly into an array, and one
+    expression gives the scores of all of them: it runs over a constant table of
+    their coefficients other than 0.
+    """
+    lists: dict[tuple, list[int]] = {}
     for tid, model in models.items():
-        wide = predicted(wide, model, f"score_{tid}")
-    entries = [
-        F.struct(F.lit(tid).cast("int").alias("tid"), F.col(f"score_{tid}").cast("float").alias("score"))
-        for tid in models
-    ]
-    return wide.select(F.col(user).cast("string").alias("xid"), F.inline(F.array(*entries)))
+        lists.setdefault(model.features, []).append(tid)
+    held, entries = [], []
+    for k, (names, tids) in enumerate(lists.items()):
+        held.append(F.array(*[F.col(f"`{n}`").cast("double") for n in names]).alias(f"_x{k}"))
+        table = [
+            {"tid": t, "start": models[t].intercept, "terms": [{"at": i, "by": c} for i, c in enumerate(models[t].coefficients) if c]}
+            for t in tids
+        ]
+        table = F.from_json(
+            F.lit(json.dumps(table)), "array<struct<tid:int,start:double,terms:array<struct<at:int,by:double>>>>"
+        )
+        entries.append(F.transform(table, _linear_score(F.col(f"_x{k}"))))
+    return features.select(F.col(user).cast("string").alias("xid"), *held).select("xid", F.inline(F.concat(*entries)))
+
+
+def score_rows(features: DataFrame, models: dict[int, PipelineModel], user="infinity_id") -> DataFrame:
+    """``xid, tid, score`` of every user under every model, in one pass; missing numbers count as 0."""
+    features = features.fillna(0)
+    linear = {tid: found for tid, model in models.items() if (found := LinearModel.of(model))}
+    others = {tid: model for tid, model in models.items() if tid not in linear}
+    parts = [linear_scores(features, linear, user)] if linear else []
+    if others:
+        wide = features
+        for tid, model in others.items():
+            wide = predicted(wide, model, f"score_{tid}")
+        entries = [
+            F.struct(F.lit(tid).cast("int").alias("tid"), F.col(f"score_{tid}").cast("float").alias("score"))
+            for tid in others
+        ]
+        parts.append(wide.select(F.col(user).cast("string").alias("xid"), F.inline(F.array(*entries))))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def check_model(features: DataFrame, model: PipelineModel) -> None:
+    """Raise where a model cannot be applied to these columns."""
+    linear = LinearModel.of(model)
+    if linear is None:
+        predicted(features, model, "_score")
+    elif missing := [n for n in linear.features if n not in features.columns]:
+        raise ValueError(f"the snapshot lacks {missing}")
 
 
 def finish_scores(rows: DataFrame, date: datetime.date) -> DataFrame:
@@ -145,7 +220,7 @@ def score_all(features: DataFrame, targets: DataFrame, history: DataFrame,
             if isinstance(located[w.id], Exception):
                 raise located[w.id]
             model = PipelineModel.load(located[w.id])
-            predicted(snapshot, model, f"score_{w.trait_id}")  # fails where the snapshot lacks its columns
+            check_model(snapshot, model)
             ready[w.id] = (w, model)
         except Exception as fault:
             responses[w.id] = _failure(w, date, fault)

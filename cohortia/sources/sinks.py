@@ -13,11 +13,12 @@ import json
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortia import schemas
 from cohortia.errors import Conflict, InvalidDefinition
+from cohortia.session import scratch_dir
 from cohortia.sources import files
 from cohortia.sources.versioned import VersionedTable
 
@@ -39,21 +40,28 @@ def overwrite_partitions(df: DataFrame, uri: str, keys: list[str]) -> None:
 
 
 def overwrite_and_list(df: DataFrame, uri: str, keys: list[str]) -> set[tuple]:
-    """Replace the partitions that occur in ``df``; their keys as text, noted while they are written."""
-    noted = Observation()
-    each = F.array(*[F.col(k).cast("string") for k in keys])
-    overwrite_partitions(df.observe(noted, F.collect_set(each).alias("written")), uri, keys)
-    return {tuple(v or None for v in row) for row in noted.get["written"]}
+    """Replace the partitions that occur in ``df``; their keys as text.
+
+    Rows are written aside first, where folder names tell which partitions there
+    are; the table's own files are not listed.
+    """
+    spark = df.sparkSession
+    aside = f"{scratch_dir(spark)}/aside-{uuid.uuid4().hex}"
+    df.hint("rebalance", *keys).write.partitionBy(*keys).parquet(aside)
+    written = set(files.partition_values(spark, aside, keys))
+    if written:
+        overwrite_partitions(spark.read.schema(df.schema).parquet(aside), uri, keys)
+    files.delete(spark, aside)
+    return written
 
 
 def replace_targets(targets: DataFrame, uri: str, replaced: DataFrame) -> bool:
     """Write targets, replacing whole partitions listed in ``replaced``.
 
-    ``replaced`` holds partition keys, a subset of ``TARGET_KEYS``.  What is
-    written is noted during the write itself; covered partitions that are not
-    among it vanish.  They are found by folder name, so neither the files nor the
-    rows of other partitions are listed.  False, and nothing dropped, when there
-    were no rows.
+    ``replaced`` holds partition keys, a subset of ``TARGET_KEYS``.  Covered
+    partitions that are not among those written vanish.  Both are known from
+    folder names, so neither the files nor the rows of other partitions are
+    listed.  False, and nothing dropped, when there were no rows.
     """
     spark = targets.sparkSession
     written = overwrite_and_list(targets.select(*schemas.TARGETS.names), uri, TARGET_KEYS)

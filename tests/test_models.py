@@ -106,6 +106,36 @@ def nested(spark):
     return spark.createDataFrame(data, NESTED)
 
 
+def test_linear_models_score_as_their_pipelines(spark):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import StandardScaler, VectorAssembler
+    from pyspark.sql import functions as F
+
+    data = [(f"u{i}", i % 2, (i * 7 % 11) / 3, None if i % 9 == 0 else float(i % 5), i % 3) for i in range(200)]
+    raw = spark.createDataFrame(data, "infinity_id string, target int, feature_a double, feature_b double, feature_c int")
+    df = raw.fillna(0)
+    models = {}
+    for tid, names in enumerate((["feature_a", "feature_b", "feature_c"], ["feature_c", "feature_a"], ["feature_a", "feature_b", "feature_c"])):
+        vectors = VectorAssembler(inputCols=names, outputCol="features")
+        fitted = LogisticRegression(labelCol="target", regParam=0.01 * tid, elasticNetParam=1.0).fit(vectors.transform(df))
+        models[tid] = PipelineModel([vectors, fitted])
+    vectors = VectorAssembler(inputCols=["feature_a", "feature_b"], outputCol="raw")
+    scaler = StandardScaler(inputCol="raw", outputCol="features").fit(vectors.transform(df))
+    fitted = LogisticRegression(labelCol="target").fit(scaler.transform(vectors.transform(df)))
+    models[3] = PipelineModel([vectors, scaler, fitted])  # another kind of model
+    assert [scoring.LinearModel.of(m) is None for m in models.values()] == [False, False, False, True]
+    got = {(r.xid, r.tid): r.score for r in scoring.score_rows(raw, models).collect()}
+    assert len(got) == 800
+    for tid, model in models.items():
+        for r in scoring.predicted(df, model, "score").select("infinity_id", "score").collect():
+            assert got[r.infinity_id, tid] == pytest.approx(r.score, abs=1e-6)
+    plan = scoring.linear_scores(df, {t: scoring.LinearModel.of(models[t]) for t in (0, 1, 2)})._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("_x0") and "_x2" not in plan  # two lists of features, two assemblies
+    with pytest.raises(ValueError, match="feature_c"):
+        scoring.check_model(df.drop("feature_c"), models[1])
+
+
 def test_unpacked_arrays(spark):
     wide = feat.unpack_arrays(nested(spark), {"feature_brands": ["x", "y"], "feature_route": ["x"]})
     names = ["feature_brands_x", "feature_brands_y", "feature_route_x"]
@@ -113,6 +143,51 @@ def test_unpacked_arrays(spark):
     assert rows(wide.select("infinity_id", *names)) == {("a", 5, 2, 7): 1, ("b", 0, 0, 0): 1, ("c", 0, 0, 0): 1}
 
 
+def brute_slots(items, names, none=0):
+    first = {}
+    for name, value in items:
+        if value is not None:
+            first.setdefault(name, value)
+    return [first.get(n, none) for n in names]
+
+
+def test_slots_equal_brute_force(spark):
+    import random
+
+    draw = random.Random(4)
+    names = [f"n{i}" for i in range(40)] + ["é", "", "a b", 'q"uote']
+    data = [(f"u{k}", [(draw.choice([*names, "unknown", None]), draw.choice([None, 1, 2, 3])) for _ in range(draw.randint(1, 30))])
+            for k in range(120)]
+    df = spark.createDataFrame([*data, ("none", None), ("empty", [])], "infinity_id string, feature_brands array<struct<name:string,count:int>>")
+    got = {r.infinity_id: list(r)[1:] for r in feat.pivot_array(df, "feature_brands", names).collect()}
+    assert got == {user: brute_slots(items, names) for user, items in data}
+    found = feat.pivot_array(df, "feature_brands")
+    seen = sorted({name for _, items in data for name, _ in items if name is not None})
+    assert found.columns == ["infinity_id", *[f"feature_brands_{n}" for n in seen]]
+    assert {r.infinity_id: list(r)[1:] for r in found.collect()} == {u: brute_slots(i, seen) for u, i in data}
+
+
+def test_features_need_no_shuffle_and_no_join(spark, folder):
+    nested(spark).write.parquet(f"{folder}/t")
+    df = spark.read.parquet(f"{folder}/t")
+    wide = feat.nested_features(df, [*feat.STRUCT_FAMILIES][:1] + ["feature_brands", "feature_route", "feature_admantx"],
+                                topics=["feature_admantx_topics_cars"], names={"feature_brands": ["x"], "feature_route": ["x"]})
+    for frame_ in (wide, feat.pivot_array(df, "feature_brands"), feat.pivot_topics(df)):
+        assert not any(word in frame_._jdf.queryExecution().toString() for word in ("Exchange", "Join", "Generate", "Pivot"))
+    assert wide.columns == ["infinity_id", "feature_duration_lifespan", "feature_duration_days_since_last_seen",
+                            "feature_brands_x", "feature_route_x", "feature_admantx_topics_cars"]
+    assert rows(wide) == {("a", 3, 1, 1, 7, 0.5): 1}
+
+
+def test_more_names_than_a_pivot_allows(spark):
+    names = [f"n{i:05}" for i in range(10_050)]
+    df = spark.createDataFrame([("a", [(n, i + 1) for i, n in enumerate(names)])], "infinity_id string, feature_brands array<struct<name:string,count:int>>")
+    wide = feat.pivot_array(df, "feature_brands")
+    assert len(wide.columns) == 10_051
+    total = wide.select(sum([F.col(f"feature_brands_{n}") for n in (names[0], names[777], names[-1])], F.lit(0)).alias("t"))
+    assert total.first().t == 1 + 778 + 10_050
+
+
 def test_nested_and_flat_features(spark):
     wide = feat.nested_features(nested(spark), ["feature_duration", "feature_brands"], names={"feature_brands": ["y", "z"]})
     assert rows(wide.select("infinity_id", "feature_duration_lifespan", "feature_brands_y", "feature_brands_z")) == {
