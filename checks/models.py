@@ -69,6 +69,35 @@ def _(spark, sf):
     return training.balanced_accuracy(rows)
 
 
+@query("l04_roc_auc", """
+WITH r AS (SELECT CAST(score >= 0.5 AS INTEGER) AS l, CAST(floor(20 * ((score * 7) % 1)) AS INTEGER) AS p FROM v_scores),
+n AS (SELECT l, (rank() OVER (ORDER BY p) + count(*) OVER (PARTITION BY p) / 2.0 - 0.5) AS place FROM r),
+c AS (SELECT sum(l) AS pos, count(*) - sum(l) AS neg, sum(place) FILTER (l = 1) AS places, count(*) AS n FROM n)
+SELECT n AS rows_used, round((places - pos * (pos + 1) / 2.0) / (CAST(pos AS DOUBLE) * neg), 5) AS auc FROM c""")
+def _(spark, sf):
+    """The exact area under the ROC curve of a score with many ties, against the rank sum."""
+    rows = v.v_scores(spark, sf).select(
+        (F.col("score") >= 0.5).cast("int").alias("target"),
+        F.floor(20 * ((F.col("score") * 7) % 1)).cast("double").alias("rawPrediction"),
+    )
+    area = training.roc_auc(rows)
+    return rows.agg(F.count(F.lit(1)).alias("rows_used")).withColumn("auc", F.round(F.lit(area), 5))
+
+
+@query("l05_quality_warnings", """
+WITH m AS (SELECT tid, avg(CAST(score AS DOUBLE)) AS train, min(CAST(score AS DOUBLE)) + 0.45 AS test FROM v_scores GROUP BY tid)
+SELECT tid, 'overfit_warning' AS warning FROM m WHERE train - test > 0.05
+UNION ALL SELECT tid, 'poor_model_warning' FROM m WHERE test < 0.6""")
+def _(spark, sf):
+    """Warnings of models whose measures come from the score table."""
+    measured = v.v_scores(spark, sf).groupBy("tid").agg(
+        F.avg(F.col("score").cast("double")).alias("train_roc_auc"),
+        (F.min(F.col("score").cast("double")) + 0.45).alias("test_roc_auc"),
+    )
+    rows = [(r.tid, name) for r in measured.collect() for name in training.quality_warnings(r.asDict())]
+    return spark.createDataFrame(rows, "tid int, warning string").join(measured.select("tid"), "tid")
+
+
 @query("l06_predictions")
 def _(spark, sf):
     rows = v.v_training(spark, sf)

@@ -325,7 +325,7 @@ def v_ad_events(spark, sf):
     return v_events(spark, sf).select(
         "dt",
         F.col("k").cast("bigint").alias("order_id"),
-        F.create_map(F.lit("vnd_4d_xid"), F.col("xid")).alias("custom_targeting"),
+        F.create_map(F.lit("user_id"), F.col("xid")).alias("custom_targeting"),
         F.col("event_type").alias("creative_size"),
         F.col("k").alias("creative_id"),
         F.col("user_id").alias("line_item_id"),
@@ -347,12 +347,12 @@ def v_files(spark, sf):
     kind = F.when(F.dayofmonth("dt").isin(1, 15), "full").otherwise("iter")
     millis = (F.unix_date("dt").cast("bigint") * 86400 + 43200) * 1000
     return v_events(spark, sf).select("dt").distinct().select(
-        F.concat(F.lit("S3_77904_1955_"), kind, F.lit("_"), millis, F.lit(".info")).alias("name")
+        F.concat(F.lit("feed_1_2_"), kind, F.lit("_"), millis, F.lit(".info")).alias("name")
     )
 
 
 SQL["v_files"] = """
-SELECT DISTINCT 'S3_77904_1955_' || CASE WHEN day(dt) IN (1, 15) THEN 'full' ELSE 'iter' END || '_' ||
+SELECT DISTINCT 'feed_1_2_' || CASE WHEN day(dt) IN (1, 15) THEN 'full' ELSE 'iter' END || '_' ||
        (CAST(dt - DATE '1970-01-01' AS BIGINT) * 86400 + 43200) * 1000 || '.info' AS name, dt,
        CASE WHEN day(dt) IN (1, 15) THEN 'full' ELSE 'iter' END AS type,
        CAST((dt - DATE '1970-01-01') * 86400 + 43200 AS INTEGER) AS timestamp FROM v_events"""

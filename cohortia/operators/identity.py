@@ -88,14 +88,11 @@ def bridge_segments(selected: DataFrame, mcid: DataFrame, xid: DataFrame) -> Dat
 
     ``selected`` holds ``processing_start_date, mcid, segment_select``.
     """
-    single = selected.select(
-        "processing_start_date", "mcid", F.explode("segment_select").alias("group")
+    # segments travel as arrays over the first hop and are exploded where they are merged per visitor
+    linked = selected.join(mcid.select("mcid", "fullvisitor_id").distinct(), "mcid")
+    visitors = linked.select(
+        "processing_start_date", "fullvisitor_id", F.explode("segment_select").alias("group")
     ).distinct()
-    visitors = (
-        single.join(mcid.select("mcid", "fullvisitor_id").distinct(), "mcid")
-        .select("processing_start_date", "fullvisitor_id", "group")
-        .distinct()
-    )
     return (
         visitors.join(xid.select("xid", "fullvisitor_id").distinct(), "fullvisitor_id")
         .select("processing_start_date", "xid", "group")

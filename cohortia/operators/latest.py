@@ -8,10 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _any_order(df: DataFrame) -> Column:
+    """A number that tells rows apart by their columns, but for maps, which cannot be hashed."""
+    plain = [name for name, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    return F.xxhash64(*plain)
+
+
 def best_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The row of each key with the largest ``order`` tuple, all columns kept."""
+    """The row of each key with the largest ``order`` tuple, all columns kept.
+
+    Of several such rows the one whose columns have the largest hash: the same on every layout.
+    """
     record = F.struct(*df.columns)
-    rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
+    rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], _any_order(df).alias("tie"))
     picked = df.groupBy(*keys).agg(F.max_by(record, rank).alias("_best"))
     return picked.select("_best.*")
 
@@ -26,8 +35,8 @@ def best_run(df: DataFrame, keys=("workflow_id", "stage")) -> DataFrame:
 
 
 def newest(df: DataFrame, when="execution_date") -> DataFrame:
-    """The single newest row."""
-    return df.orderBy(F.col(when).desc()).limit(1)
+    """The single newest row; of several the one whose columns have the largest hash."""
+    return df.orderBy(F.col(when).desc(), _any_order(df).desc()).limit(1)
 
 
 def last_date(df: DataFrame, keys: list[str], column="arg_date", name="last_date") -> DataFrame:

@@ -68,11 +68,11 @@ class Requirements:
         if self.family == BINARY:
             for name in BINARY_NAMES.values():
                 if not sizes.get(name):
-                    raise InsufficientData(f"No {name}s found")
+                    raise InsufficientData(f"there are no {name}s among the labels")
         for name, least in self.minimum.items():
             if sizes.get(name, 0) < least:
                 raise InsufficientData(
-                    f"number of {name}: {sizes.get(name, 0)} less than required minimum value: {least}"
+                    f"class {name} has {sizes.get(name, 0)} users and needs at least {least}"
                 )
         return sizes
 

@@ -163,6 +163,7 @@ class AdEvents(VendorTargets):
     vendor = "dfp"
     fmt = "orc"
     orders: DataFrame | list = None
+    user_key: str = "user_id"  # key of the user id in the ad server's custom fields
     details: dict[str, str] = field(default_factory=dict)
 
     def transform(self, data):
@@ -170,7 +171,7 @@ class AdEvents(VendorTargets):
 
     def columns(self):
         return {
-            "xid": F.col("custom_targeting")["vnd_4d_xid"],
+            "xid": F.col("custom_targeting")[self.user_key],
             "date": F.lit(self.date),
             "group": F.col("order_id"),
             "aspect": aspect(self.details, as_text=True),

@@ -88,10 +88,10 @@ def quality_warnings(measured: dict, metric="roc_auc") -> dict[str, str]:
     warnings = {}
     if train - test > OVERFIT_GAP:
         warnings["overfit_warning"] = (
-            f"train_{metric} - test_{metric} = {train - test}. The model has probably overfit."
+            f"{metric} falls by {train - test} from the training to the test rows: check for overfitting"
         )
     if test < POOR_SCORE:
-        warnings["poor_model_warning"] = f"test_{metric} = {test} < {POOR_SCORE}. The model is poor."
+        warnings["poor_model_warning"] = f"{metric} on the test rows is {test}, below {POOR_SCORE}"
     return warnings
 
 

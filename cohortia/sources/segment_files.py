@@ -2,6 +2,7 @@
 
 import time
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,13 +67,15 @@ def manifest_names(spark: SparkSession, uris: str | list[str]) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, paths: list[str], tries=10, wait_seconds=120) -> DataFrame:
-    """Lines of several files, waiting while the files are being moved."""
+    """Lines of several files, waiting while the files are being moved; other faults surface at once."""
     if not paths:
         raise EmptyInput("no segment files to read")
     for attempt in range(tries):
         try:
             return spark.read.text(paths)
-        except Exception as fault:
+        except AnalysisException as fault:
+            if fault.getCondition() != "PATH_NOT_FOUND":
+                raise
             if attempt == tries - 1:
                 raise EmptyInput(f"files still missing after {tries} tries") from fault
             time.sleep(wait_seconds)

@@ -74,8 +74,8 @@ def test_campaign_scales_average_and_keep_null(spark):
 
 
 def test_ad_events(spark):
-    data = [(D, 5, {"vnd_4d_xid": x(1)}, "300x250", 11, 21, "u1"), (D, 6, {"vnd_4d_xid": x(1)}, "300x250", 11, 21, "u1"),
-            (D, 5, {"other": "k"}, "300x250", 11, 21, "u1"), (day("2021-01-30"), 5, {"vnd_4d_xid": x(2)}, "1x1", 1, 2, None)]
+    data = [(D, 5, {"user_id": x(1)}, "300x250", 11, 21, "u1"), (D, 6, {"user_id": x(1)}, "300x250", 11, 21, "u1"),
+            (D, 5, {"other": "k"}, "300x250", 11, 21, "u1"), (day("2021-01-30"), 5, {"user_id": x(2)}, "1x1", 1, 2, None)]
     events = spark.createDataFrame(data, "dt date, order_id long, custom_targeting map<string,string>, creative_size string, creative_id long, line_item_id long, adunit_id string")
     expected = {(x(1), D, "dfp", "network_clicks", "5",
                  '{"creative_size":"300x250","creative_id":"11","line_item_id":"21","ad_unit_id":"u1"}', 1.0): 1}
