@@ -34,7 +34,7 @@ def test_native_queries_run_no_python(spark, name):
 
 def test_every_operator_and_the_pipeline_are_registered():
     names = set(entry.queries())
-    assert {f"op{n}_" for n in range(1, 11)} <= {re.match(r"op\d+_|", n)[0] for n in names}
+    assert {f"op{n}_" for n in range(1, 14)} <= {re.match(r"op\d+_|", n)[0] for n in names}
     assert "pipeline" in names
 
 
