@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from cohortia.errors import EmptyInput
 from cohortia.functions.ids import vendor_of
 from cohortia.operators.latest import best_run, last_date, latest, newest
+from cohortia.session import staged
 
 SUCCESS = "success"
 MAX_FAILURES = 3
@@ -189,8 +190,21 @@ def unlaunched(history: DataFrame, workflows: DataFrame, stage: str, date) -> Da
     )
 
 
+def day_runs(history: DataFrame, date) -> DataFrame:
+    """The newest run of each workflow and stage on a date, written once.
+
+    One scan of the history; what reports ask about the date is asked of this
+    table, which has a row per workflow and stage.
+    """
+    return staged(latest(history.filter(F.col("arg_date") == F.lit(date)), ["workflow_id", "stage"]), "day-runs")
+
+
 def status_counts(history: DataFrame, workflows: DataFrame, stage: str, date) -> DataFrame:
     """``status, n``: latest runs by status, then the three launch totals."""
+    return _status_counts(day_runs(history, date), workflows, stage, date)
+
+
+def _status_counts(history: DataFrame, workflows: DataFrame, stage: str, date) -> DataFrame:
     counted = latest_runs(history, workflows, stage, date).filter(
         F.col("status").isin([*FAILURE_STATUSES, SUCCESS])
     )
@@ -212,12 +226,13 @@ def status_counts(history: DataFrame, workflows: DataFrame, stage: str, date) ->
 
 def daily_report(history: DataFrame, workflows: DataFrame, date,
                  stages=("assembly", "training", "scoring")) -> dict[str, dict[str, DataFrame]]:
-    """Counts, failures and unlaunched workflows of each stage."""
+    """Counts, failures and unlaunched workflows of each stage, from one scan of the history."""
+    runs = day_runs(history, date)
     return {
         stage: {
-            "counts": status_counts(history, workflows, stage, date),
-            "failures": latest_failures(history, workflows, stage, date),
-            "missing": unlaunched(history, workflows, stage, date),
+            "counts": _status_counts(runs, workflows, stage, date),
+            "failures": latest_failures(runs, workflows, stage, date),
+            "missing": unlaunched(runs, workflows, stage, date),
         }
         for stage in stages
     }

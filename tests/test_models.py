@@ -266,6 +266,24 @@ def test_assemble_train_score_and_report(spark, folder):
         ("w1", "success", "success"): 1, ("w2", "failed_on_load_target", "failed_on_train"): 1}
 
 
+def test_the_daily_report_reads_the_history_once(spark, folder):
+    done = [sinks.response_row(f"w{k % 3}", stage, status, D, executed=datetime.datetime(2021, 2, 1, k))
+            for k, (stage, status) in enumerate([("assembly", "success"), ("training", "failed_on_train"), ("scoring", "success"),
+                                                 ("assembly", "failed"), ("training", "success"), ("scoring", "MissingHistoryError")])]
+    sinks.append_history(sinks.history_frame(spark, done), f"{folder}/history")
+    history = spark.read.schema(schemas.HISTORY).parquet(f"{folder}/history")
+    flows = spark.createDataFrame([(f"w{k}", f"n{k}", "", True, k, 1) for k in range(4)],
+                                  "id string, name string, description string, enabled boolean, trait_id int, weekday int")
+    report = reports.daily_report(history, flows, D)
+    for stage, frames in report.items():
+        plain = {"counts": reports.status_counts(history, flows, stage, D), "failures": reports.latest_failures(history, flows, stage, D),
+                 "missing": reports.unlaunched(history, flows, stage, D)}
+        for name, frame_ in frames.items():
+            assert rows(frame_) == rows(plain[name])
+            assert f"{folder}/history" not in frame_._jdf.queryExecution().toString()
+    assert {r.workflow_id for r in report["scoring"]["missing"].collect()} == {"w0", "w1", "w3"}
+
+
 def test_a_model_that_fails_leaves_its_batch_alone(spark, folder):
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
