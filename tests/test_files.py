@@ -42,7 +42,7 @@ def test_lines_are_parsed(spark):
 
 
 def test_file_names(spark):
-    names = spark.createDataFrame([("feed_1_2_iter_1612500023000.info",), ("a_full_1612500000000.info",),
+    names = spark.createDataFrame([("S3_1_2_iter_1612500023000.info",), ("a_full_1612500000000.info",),
                                    ("b_iter_1612411200999.info",)], "name string")
     found = [(r.type, r.timestamp, str(r.date)) for r in sf.described_files(names).orderBy("name").collect()]
     assert found == [("iter", 1612500023, "2021-02-04"), ("full", 1612500000, "2021-02-04"), ("iter", 1612411200, "2021-02-03")]
