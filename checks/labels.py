@@ -9,6 +9,7 @@ from checks.scans import scratch
 from checks.views import query
 from cohortia.operators import requirements as req
 from cohortia.operators.recipe_defaults import by_percentile, dataset_for
+from cohortia.operators.recipe_index import label_rows
 from cohortia.operators.recipes import (
     Behavior,
     ColumnAsTarget,
@@ -314,6 +315,29 @@ def _(spark, sf):
     return label_users(v.v_targets(spark, sf), {g: ad_recipe(g) for g in names})
 
 
+@query("e12_label_index", """
+WITH wanted AS (SELECT i, 'w' || i AS name, 'g' || (i % 10) AS grp, (i // 10) AS least FROM range(2000) t(i)),
+row_labels AS (SELECT t.xid, w.name, CASE
+    WHEN w.i % 2 = 0 AND t.vendor = 'dfp' AND t.source = 'click' AND t."group" = w.grp AND t.value >= w.least THEN 1
+    WHEN w.i % 2 = 1 AND t.vendor = 'ncs' AND t."group" = w.grp AND json_extract_string(t.aspect, '$.k') = CAST(w.least AS VARCHAR) THEN 1
+    WHEN t.vendor = 'adobe' AND t."group" = w.grp THEN 0 END AS target
+  FROM v_targets t JOIN wanted w ON t."group" = w.grp)
+SELECT xid, name, max(target) AS target FROM row_labels WHERE target IS NOT NULL GROUP BY ALL""")
+def _(spark, sf):
+    """Two thousand data sets by an index of their values: bounds and aspects are tested on the rows found."""
+    datasets = {}
+    for i in range(2000):
+        group, least = f"g{i % 10}", i // 10
+        bound = {"value": least, "direction": "greater_than"}
+        clicks = Behavior({"vendor": "dfp", "source": "click", "group": group, "value": bound}, general=True)
+        bought = Behavior({"vendor": "ncs", "group": group}, {"k": str(least)})
+        datasets[f"w{i}"] = Dataset("binary", {
+            "positive": MatchesAny([bought if i % 2 else clicks]),
+            "negative": MatchesAny([Behavior({"vendor": "adobe", "group": group})]),
+        })
+    return label_rows(v.v_targets(spark, sf), datasets)
+
+
 @query("e13_features_and_labels", f"""
 SELECT f.xid, f.feature_view, f.feature_click, l.target FROM v_features f
 JOIN (SELECT xid, max({AD_LABEL}) AS target FROM v_targets GROUP BY xid) l ON f.xid = l.xid

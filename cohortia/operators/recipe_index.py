@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -151,17 +152,20 @@ class RecipeIndex:
             names=[*(f"_key_{position}_{i}" for i in range(len(columns))), f"_found_{position}"],
         ))
 
+    def _entries(self):
+        return (e for by_values in self.postings.values() for entries in by_values.values() for e in entries)
+
     def _passes(self, entry: Column) -> Column:
         """Whether a row passes the tests of an entry that its key led to."""
         numbers = [f for f in self.schema if _key_kind(f.dataType) in ("double", "bigint")]
-        bounded = {
-            test["name"] for by_values in self.postings.values() for entries in by_values.values()
-            for held in entries for test in held["tests"] if test["kind"].startswith("column")
-        }
+        tests = (test for held in self._entries() for test in held["tests"])
+        bounded = {test["name"] for test in tests if test["kind"].startswith("column")}
+
+        aspect = F.col("aspect") if "aspect" in self.schema.names else F.lit(None).cast("string")
 
         def holds(test: Column) -> Column:
             kind, number = test["kind"], test["number"]
-            text = F.call_function("get_json_object", F.col("aspect"), test["name"]) if "aspect" in self.schema.names else F.lit(None).cast("string")
+            text = F.call_function("get_json_object", aspect, test["name"])
             value = F.coalesce(
                 F.lit(None).cast("double"),
                 *[F.when(test["name"] == f.name, F.col(f.name).cast("double")) for f in numbers if f.name in bounded],
@@ -192,10 +196,10 @@ class RecipeIndex:
             rows = rows.join(table, same, "left")
             found.append(F.coalesce(F.col(f"_found_{position}"), F.expr("array()").cast(table.schema[-1].dataType)))
         entries = F.flatten(F.array(*found))
-        tested = any(e["tests"] for by_values in self.postings.values() for es in by_values.values() for e in es)
-        if tested:
+        if any(entry["tests"] for entry in self._entries()):
             entries = F.filter(entries, self._passes)
-        short = F.transform(entries, lambda e: F.struct(e["dataset"].alias("dataset"), e["place"].alias("place"), e["label"].alias("label")))
+        parts = ("dataset", "place", "label")
+        short = F.transform(entries, lambda e: F.struct(*[e[part].alias(part) for part in parts]))
         # a row's label in a data set is its first class that matches
         rows = rows.select(ID, F.array_sort(short).alias("found"))
         first = F.filter("found", lambda e, i: (i == 0) | (F.get("found", i - 1)["dataset"] != e["dataset"]))
@@ -210,28 +214,67 @@ def _long(wide: DataFrame, names: list[str]) -> DataFrame:
     return wide.select(ID, F.inline(F.array(*entries))).filter("target IS NOT NULL")
 
 
-def label_rows(targets: DataFrame, datasets: dict[str, Dataset]) -> DataFrame:
+def label_type(schema: T.StructType, datasets: dict[str, Dataset]) -> str:
+    """The type that labels of all data sets have, or text where they differ."""
+
+    def kind(dataset: Dataset) -> str:
+        if dataset.column:
+            return schema[dataset.column.target].dataType.simpleString()
+        return "int" if dataset.family == req.BINARY else "string"
+
+    kinds = {kind(dataset) for dataset in datasets.values()}
+    return kinds.pop() if len(kinds) == 1 else "string"
+
+
+def label_rows(targets: DataFrame, datasets: dict[str, Dataset], faults: dict | None = None) -> DataFrame:
     """``xid, name, target``: the label of every user in every data set that labels it.
 
-    The same labels as ``recipes.label_users`` has in its columns, as rows.  The
-    label is a number where all data sets are binary, and otherwise a text.
-    Recipes that need all rows of a user, a percentage, a column's value, or no
-    listed value at all are stated as expressions, in passes of ``AT_ONCE``.
+    The same labels as ``recipes.label_users`` has in its columns, as rows.  Labels
+    are texts where the data sets differ in the type of their labels.  Recipes that
+    need all rows of a user, a percentage, a column's value, or no listed value at
+    all are stated as expressions, in passes of ``AT_ONCE``.  A data set that does
+    not compile raises, or is left out and its exception put into ``faults``.
     Without data sets there are no rows.
     """
-    index = RecipeIndex(targets.schema)
-    others = {name: dataset for name, dataset in datasets.items() if not index.add(name, dataset)}
+    index, others, compiled = RecipeIndex(targets.schema), {}, {}
+
+    def tried(name, step):
+        try:
+            return step()
+        except Exception as fault:
+            if faults is None:
+                raise
+            faults[name] = fault
+
+    for name, dataset in datasets.items():
+        if tried(name, lambda: index.add(name, dataset)) is False:
+            others[name] = dataset
+    try:
+        keys = find_keys(targets, [share for d in others.values() for share in d.shares()])
+    except Exception:
+        if faults is None:
+            raise
+        keys = None  # some recipe is faulty: each finds its own
+    for name, dataset in others.items():
+        label = tried(name, lambda: dataset.user_label(targets, keys))
+        if label:
+            compiled[name] = label
     parts = [index.labels(targets)] if index.names else []
-    keys = find_keys(targets, [share for d in others.values() for share in d.shares()])
-    names = list(others)
+    names = list(compiled)
     for begin in range(0, len(names), AT_ONCE):
-        some = names[begin : begin + AT_ONCE]
-        wide = compiled_labels(targets, {name: others[name].user_label(targets, keys) for name in some})
-        parts.append(_long(wide, some))
+        some = {name: compiled[name] for name in names[begin : begin + AT_ONCE]}
+        try:
+            wide = compiled_labels(targets, some)
+        except Exception:  # a recipe may name a column that the targets lack
+            if faults is None:
+                raise
+            some = {n: c for n, c in some.items() if tried(n, lambda: compiled_labels(targets, {n: c}))}
+            if not some:
+                continue
+            wide = compiled_labels(targets, some)
+        parts.append(_long(wide, list(some)))
+    kind = label_type(targets.schema, {name: d for name, d in datasets.items() if name not in (faults or {})})
     if not parts:
-        return targets.sparkSession.createDataFrame([], f"{ID} string, name string, target int")
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
-    binary = all(dataset.family == req.BINARY and not dataset.column for dataset in datasets.values())
-    return rows.withColumn("target", F.col("target").cast("int")) if binary else rows
+        return targets.sparkSession.createDataFrame([], f"{ID} string, name string, target {kind}")
+    rows = reduce(DataFrame.unionByName, parts)
+    return rows.withColumn("target", F.col("target").cast(kind))

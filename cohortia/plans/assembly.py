@@ -5,11 +5,14 @@ from __future__ import annotations
 import datetime
 import traceback as tb
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortia.functions.ids import unit_hash
-from cohortia.operators.recipes import ID, compiled_labels, find_keys
+from cohortia.operators.recipe_index import label_rows
+from cohortia.operators.recipes import ID
+from cohortia.operators.requirements import BINARY
 from cohortia.plans.workflow import Workflow
 from cohortia.session import staged
 from cohortia.sources import sinks
@@ -21,39 +24,43 @@ def _label(position: int) -> str:
     return f"label_{position}"
 
 
-def label_counts(labels: DataFrame, names: list[str]) -> dict[str, dict]:
-    """``{label column: {class: users}}``; a few numbers per workflow."""
-    long = labels.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("target")) for n in names])
-        ).alias("l")
-    ).select("l.*")
-    rows = long.filter("target IS NOT NULL").groupBy("name", "target").count().collect()
-    counts: dict[str, dict] = {n: {} for n in names}
-    for row in rows:
-        counts[row["name"]][row["target"]] = row["count"]
+def label_counts(labels: DataFrame, datasets: dict) -> dict[str, dict]:
+    """``{label name: {class: users}}``; a few numbers per workflow."""
+    counts: dict[str, dict] = {name: {} for name in datasets}
+    for row in labels.groupBy("name", "target").count().collect():
+        if row["name"] in counts:
+            counts[row["name"]][class_of(datasets[row["name"]], row["target"])] = row["count"]
     return counts
 
 
-def kept_label(name: str, ratios: dict) -> Column:
-    """The label where the user survives its class's down-sampling, else NULL."""
-    keep = F.lit(1.0)
-    for label, share in ratios.items():
-        if share < 1:
-            keep = F.when(F.col(name) == label, share).otherwise(keep)
-    return F.when(unit_hash(ID) < keep, F.col(name))
+def class_of(dataset, label):
+    """The class of a label that may have become a text beside those of other workflows."""
+    number = dataset.family == BINARY and not dataset.column and isinstance(label, str)
+    return int(label) if number else label
 
 
-def training_rows(features: DataFrame, labels: DataFrame, kept: dict[str, Column]) -> DataFrame:
+def kept_labels(labels: DataFrame, shares: dict[str, tuple[str, dict]]) -> DataFrame:
+    """``workflow_id, xid, target`` of the users that survive their class's down-sampling.
+
+    ``shares`` holds ``{label name: (workflow id, {class: share})}``.
+    """
+    listed = [
+        (name, workflow, str(label), float(share))
+        for name, (workflow, ratios) in shares.items()
+        for label, share in ratios.items()
+    ]
+    columns = ["name", "workflow_id", "_class", "_share"]
+    arrays = [pa.array(values, kind) for values, kind in zip(zip(*listed), [pa.string()] * 3 + [pa.float64()])]
+    table = labels.sparkSession.createDataFrame(pa.table(arrays, names=columns))
+    found = labels.join(table, (labels["name"] == table["name"]) & (F.col("target").cast("string") == F.col("_class")))
+    return found.filter(unit_hash(ID) < F.col("_share")).select("workflow_id", ID, "target")
+
+
+def training_rows(features: DataFrame, kept: DataFrame) -> DataFrame:
     """``workflow_id, xid, feature_*, target`` for every kept user and workflow."""
     names = [c for c in features.columns if c.startswith("feature_")]
-    entries = [
-        F.struct(F.lit(workflow).alias("workflow_id"), label.alias("target"))
-        for workflow, label in kept.items()
-    ]
-    chosen = labels.select(ID, F.explode(F.array(*entries)).alias("l")).filter("l.target IS NOT NULL")
-    # the narrow side is expanded and filtered before it meets the wide features
-    return features.select(ID, *names).join(chosen, ID).select("l.workflow_id", ID, *names, "l.target")
+    # the narrow side is filtered before it meets the wide features
+    return features.select(ID, *names).join(kept, ID).select("workflow_id", ID, *names, "target")
 
 
 def assemble(features: DataFrame, targets: DataFrame, workflows: list[Workflow],
@@ -70,21 +77,15 @@ def assemble(features: DataFrame, targets: DataFrame, workflows: list[Workflow],
         trace = "".join(tb.format_exception(fault))
         problems[workflow.id] = (status, fault, trace)
 
-    usable, compiled = {}, {}
-    try:
-        keys = find_keys(targets, [s for w in workflows if w.dataset for s in w.dataset.shares()])
-    except Exception:
-        keys = None  # some recipe is faulty: find which one below
-    for position, workflow in enumerate(workflows):
-        try:
-            compiled[_label(position)] = workflow.dataset.user_label(targets, keys)
-            usable[_label(position)] = workflow
-        except Exception as fault:
-            failed(workflow, "failed_on_load_target", fault)
+    usable = {_label(position): workflow for position, workflow in enumerate(workflows)}
+    faults: dict[str, Exception] = {}
+    found = label_rows(targets, {name: w.dataset for name, w in usable.items()}, faults)
+    for name, fault in faults.items():
+        failed(usable.pop(name), "failed_on_load_target", fault)
 
     if usable:
-        labels = staged(compiled_labels(targets, compiled), "labels")
-        before = label_counts(labels, list(usable))
+        labels = staged(found, "labels")
+        before = label_counts(labels, {name: w.dataset for name, w in usable.items()})
         for name, workflow in list(usable.items()):
             try:
                 sizes = workflow.dataset.requirements.check(before[name])
@@ -95,26 +96,26 @@ def assemble(features: DataFrame, targets: DataFrame, workflows: list[Workflow],
 
     if usable:
         present = labels.join(features.select(ID), ID)
-        joined = label_counts(present, list(usable))
-        kept = {}
+        joined = label_counts(present, {name: w.dataset for name, w in usable.items()})
+        kept: dict[str, tuple[str, dict]] = {}
         for name, workflow in list(usable.items()):
             try:
                 workflow.dataset.requirements.check(joined[name])
-                kept[workflow.id] = kept_label(name, workflow.dataset.requirements.ratios(joined[name]))
+                kept[name] = (workflow.id, workflow.dataset.requirements.ratios(joined[name]))
             except Exception as fault:
                 failed(workflow, "failed_on_join_or_write", fault)
                 usable.pop(name)
 
     if usable:
         try:
-            rows = training_rows(features, labels, kept)
+            rows = training_rows(features, kept_labels(labels, kept))
             sinks.write_training_sets(rows, uri)
             # with the schema given, an id like 0012 stays a text
-            written = spark.read.schema(rows.schema).parquet(uri).filter(F.col("workflow_id").isin(list(kept)))
+            written = spark.read.schema(rows.schema).parquet(uri).filter(F.col("workflow_id").isin([w.id for w in usable.values()]))
             by_id = {w.id: w for w in usable.values()}
             for row in written.groupBy("workflow_id", "target").count().collect():
                 workflow = by_id[row["workflow_id"]]
-                name = workflow.dataset.requirements.name(row["target"])
+                name = workflow.dataset.requirements.name(class_of(workflow.dataset, row["target"]))
                 stats[workflow.id][f"final_{name}s"] = row["count"]
         except Exception as fault:
             for workflow in usable.values():

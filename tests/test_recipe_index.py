@@ -105,6 +105,26 @@ def test_other_logics_go_by_expressions(targets):
     assert as_text(label_rows(targets, column)) == as_rows(label_users(targets, column), column)
 
 
+def test_faulty_data_sets_are_left_out(targets):
+    fine = MatchesAny([Behavior({"group": "g1"})])
+    bad = MatchesAny([Behavior({"value": {"value": 1, "direction": "sideways"}, "group": "g1"}, {}, True)])
+    datasets = {
+        "fine": Dataset("binary", {"positive": fine, "negative": MatchesAny([Behavior({"group": "g2"})])}),
+        "direction": Dataset("binary", {"positive": bad, "negative": fine}),
+        "half": Dataset("binary", {"positive": fine}),
+        "column": Dataset("binary", {"positive": MatchesAny([Behavior({"no_such": 1})]), "negative": fine}),
+        "every": Dataset("binary", {"positive": MatchesAllExcept([Behavior({"group": "g1"})], [Behavior({"group": "g2"})]), "negative": fine}),
+        "none": None,
+    }
+    faults = {}
+    found = as_text(label_rows(targets, datasets, faults))
+    sound = {name: datasets[name] for name in ("fine", "every")}
+    assert sorted(faults) == ["column", "direction", "half", "none"]
+    assert found == as_rows(label_users(targets, sound), sound)
+    with pytest.raises(Exception):
+        label_rows(targets, datasets)
+
+
 def test_empty_tables_and_no_data_sets(spark, targets):
     one = {"d": Dataset("binary", {"positive": MatchesAny([Behavior({"group": "g1"})]),
                                    "negative": MatchesAny([Behavior({"group": "g2"})])})}
