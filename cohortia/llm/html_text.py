@@ -13,7 +13,13 @@ is that of its children's densities, and the largest sum marks the article. The
 lowest density on the path from the body to it is the threshold for what else
 belongs to the article: below an ``article`` or ``main`` element that encloses
 the node all of it, elsewhere the largest-sum subtrees of the nodes that reach
-the threshold.
+the threshold. Beside an ``article`` element, its neighbours below ``main`` that
+reach the threshold or hold no links belong to it too, and so do neighbouring
+``article`` elements that reach it and the heading right before it. Of a header
+within an article only the headings count.
+
+Reader comments may have names that tell nothing. Neighbours of one tag that each
+name an author and a date are taken for comments, unless the largest sum lies in them.
 
 Class names that are everyday words too (share, notice, header), and ids, cut an
 element off only if its density stays below that threshold as well. Ids below
@@ -81,6 +87,10 @@ BESIDES = frozenset(
 #: Times that a threshold is taken anew after thick elements of doubtful names have come back; the last settles all.
 ROUNDS = 8
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Names of what a comment says of its author and its time, and the elements that hold one comment.
+AUTHOR = frozenset("author user username commenter avatar byline vcard nickname poster".split())
+DATE = frozenset("date time datetime timestamp posted published ago".split())
+COMMENTS = frozenset("li div article section dd".split())
 #: Elements that hold an article; no class name cuts them off, or what contains them.
 HOLDERS = frozenset({"html", "body", "main", "article"})
 
@@ -105,6 +115,8 @@ class Tree:
         self.tag, self.parent, self.off = ["#root"], [-1], [False]
         self.hint = [0]  # by its names: 0 says nothing, 1 may be off, 2 is off
         self.within = [False]  # below article or main
+        self.titles = [False]  # in the header of an article, where headings alone count
+        self.marks = [0]  # 1: names an author, 2: names a date
         self.parts: list[tuple[int, str]] = []  # (element, text), or (element, "") where a block begins or ends
         self.open = [0]
         self.places: dict[str, list[int]] = {"#root": [0]}  # where in open each tag stands
@@ -126,11 +138,15 @@ class Tree:
         self.parent.append(self.open[-1])
         up = self.open[-1]
         self.within.append(self.within[up] or self.tag[up] in ("article", "main"))
-        off, hint = name in OFF_TAGS, 0
+        title = name == "header" and self.within[node]
+        self.titles.append((title or self.titles[up]) and name not in HEADINGS)
+        off, hint, mark = name in OFF_TAGS and not title, 0, 2 * (name == "time")
         if attributes and not off:
-            off, hint = self._told(name, attributes, self.within[node])
+            off, hint, named = self._told(name, attributes, self.within[node])
+            mark |= named
         self.off.append(off)
-        self.hint.append(hint)
+        self.hint.append(0 if title else hint)
+        self.marks.append(mark)
         if name in BLOCK:
             self.parts.append((node, ""))
         elif name == "br":
@@ -154,25 +170,28 @@ class Tree:
             self._pop_to(self.open[place])
 
     def text(self, data: str) -> None:
-        if data:
+        if data and not self.titles[self.open[-1]]:
             self.parts.append((self.open[-1], data))
 
     def _open_tags(self) -> set[str]:
         return {self.tag[node] for node in self.open[:4]}
 
-    def _told(self, name: str, attributes: str, within: bool) -> tuple[bool, int]:
-        """Whether attributes hide the element or give it another part, and what its names hint."""
+    def _told(self, name: str, attributes: str, within: bool) -> tuple[bool, int, int]:
+        """Whether attributes hide the element or give it another part, what its names hint, and its marks."""
         given = {m[0].lower(): m[1] or m[2] or m[3] for m in ATTRIBUTE.findall(attributes)}
         if "hidden" in given or given.get("aria-hidden", "").lower() == "true":
-            return True, 0
+            return True, 0, 0
         if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", given.get("style", ""), re.I):
-            return True, 0
+            return True, 0, 0
         if given.get("role", "").lower() in OFF_ROLES:
-            return True, 0
+            return True, 0, 0
+        classes = given.get("class", "").lower()
+        told = {*WORDS.findall(classes), given.get("itemprop", "").lower(), given.get("rel", "").lower()}
+        mark = int(not told.isdisjoint(AUTHOR)) | 2 * int(not told.isdisjoint(DATE))
         if name in HOLDERS or name in HEADINGS:
-            return False, 0
-        hint = max(map(_hint, given.get("class", "").lower().split()), default=0)
-        return False, hint or int(not within and _hint(given.get("id", "").lower()) > 0)
+            return False, 0, mark
+        hint = max(map(_hint, classes.split()), default=0)
+        return False, hint or int(not within and _hint(given.get("id", "").lower()) > 0), mark
 
     def _close(self, name: str, limit) -> None:
         """Close the newest element of this tag, if no element of the limit was opened in it."""
@@ -326,6 +345,66 @@ def _path(tree: Tree, off: list[bool], total: list[float]) -> list[int]:
     return path
 
 
+def threads(tree: Tree, off: list[bool]) -> list[int]:
+    """Comments whose names tell nothing, and the heading right before the first of them."""
+    marks = [0 if off[v] else mark for v, mark in enumerate(tree.marks)]
+    for node in range(len(marks) - 1, 0, -1):
+        marks[tree.parent[node]] |= marks[node]
+    alike: dict[tuple[int, str], list[int]] = {}
+    for node in range(1, len(marks)):
+        if marks[node] == 3 and tree.tag[node] in COMMENTS:
+            alike.setdefault((tree.parent[node], tree.tag[node]), []).append(node)
+    runs = [run for run in alike.values() if len(run) > 1]
+    if not runs:
+        return []
+    article = set(_path(tree, off, densities(tree, off)[1]))
+    before = _before(tree)
+    found = []
+    for run in runs:
+        if article.isdisjoint(run):
+            first = run[0] if before[run[0]] else tree.parent[run[0]]
+            heading = before[first]
+            found += run + [heading] * (tree.tag[heading] in HEADINGS and heading not in article)
+    return found
+
+
+def _before(tree: Tree) -> list[int]:
+    """The element right before each one in the same parent; 0 if there is none."""
+    last, before = [0] * len(tree.tag), [0] * len(tree.tag)
+    for node in range(1, len(tree.tag)):
+        up = tree.parent[node]
+        before[node], last[up] = last[up], node
+    return before
+
+
+def _beside(tree: Tree, off: list[bool], path: list[int], holder: int, dense: list[float]) -> list[int]:
+    """What belongs to the article beside the article element that holds the largest sum."""
+    threshold = min(dense[v] for v in path)
+    above = path[path.index(holder) + 1 :]
+    mains = [i for i, v in enumerate(above) if tree.tag[v] == "main"]
+    inside, above, own = set(above[: mains[0] + 1] if mains else []), set(above), set(path)
+    linked, titled = [tag == "a" for tag in tree.tag], False
+    for node in range(len(linked) - 1, 0, -1):
+        linked[tree.parent[node]] |= linked[node]
+    for node in range(holder + 1, len(linked)):
+        if tree.parent[node] < holder:
+            break
+        titled |= tree.tag[node] == "h1" and not off[node]
+    found = []
+    for node in range(1, len(linked)):
+        up = tree.parent[node]
+        if off[node] or node in own or up not in above:
+            continue
+        enough = dense[node] >= threshold
+        article = tree.tag[node] == "article" and up == tree.parent[holder]
+        if up in inside and (enough or not linked[node]) or article and enough:
+            found.append(node)
+    heading = _before(tree)[holder]
+    if tree.tag[heading] in HEADINGS and not off[heading] and not titled:
+        found.append(heading)
+    return found
+
+
 def _candidates(tree: Tree, off: list[bool]) -> list[int]:
     return [v for v in range(len(tree.tag)) if not off[v] and (v == 0 or tree.tag[v] in BLOCK)]
 
@@ -339,6 +418,9 @@ def article_nodes(tree: Tree, off: list[bool]) -> list[bool]:
     chosen = [False] * n
     if holder is not None:
         chosen[holder] = True
+        if tree.tag[holder] == "article":
+            for v in _beside(tree, off, path, holder, dense):
+                chosen[v] = True
     else:
         threshold = min(dense[v] for v in path)
         largest = list(range(n))
@@ -359,7 +441,14 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     tree = parse(page)
-    chosen = article_nodes(tree, parts_off(tree))
+    off = parts_off(tree)
+    comments = threads(tree, off)
+    if comments:
+        for v in comments:
+            off[v] = True
+        for v in range(1, len(off)):
+            off[v] |= off[tree.parent[v]]
+    chosen = article_nodes(tree, off)
     blocks: list[list[str]] = [[]]
     for node, text in tree.parts:
         if not text:

@@ -83,6 +83,41 @@ def test_formulas_do_not_thin_out_an_article():
     assert html_text.main_text(whole) == f"{LONG}\n\n{LONG} {'x+' * 40} {LONG}\n\n{LONG}"
 
 
+SAID = "".join(
+    f"<div class=c{i}><span class=author>Ann</span><time>3 May</time><p>I liked this a lot, thanks, and part {i} most.</p></div>"
+    for i in range(4)
+)
+STORY = f"<p>{LONG}</p>" * 3
+TOLD = "\n\n".join([LONG] * 3)
+LAYOUTS = {
+    "headline in a header": (f"<article><header><nav><a href=x>Up</a></nav><h1>Head</h1><p>By X</p></header>{STORY}</article>", f"Head\n\n{TOLD}"),
+    "header of main": (f"<main><header><h1>Head</h1></header>{STORY}</main>", f"Head\n\n{TOLD}"),
+    "headline before": (f"<div><h1>Head</h1><article>{STORY}</article></div>", f"Head\n\n{TOLD}"),
+    "a headline of its own": (f"<div><h1>Site</h1><article><h1>Head</h1>{STORY}</article></div>", f"Head\n\n{TOLD}"),
+    "lead and end in main": (
+        f"<main><h1>Head</h1><p>Short lead.</p><article>{STORY}</article><p>An end.</p></main>",
+        f"Head\n\nShort lead.\n\n{TOLD}\n\nAn end."),
+    "two articles": (f"<div><article>{STORY}</article><article>{STORY}</article></div>", f"{TOLD}\n\n{TOLD}"),
+    "two articles in main": (f"<main><article>{STORY}</article><article>{STORY}</article></main>", f"{TOLD}\n\n{TOLD}"),
+    "cards of other stories": (
+        f"<main><article>{STORY}</article><section class=more>" + "<article><h2><a href=x>Other</a></h2><a href=y>Read it</a></article>" * 3
+        + "</section></main>", TOLD),
+    "unnamed comments": (f"<article>{STORY}<section class=talk><h3>Discussion</h3>{SAID}</section></article>", TOLD),
+    "unnamed comments after": (f"<div class=content>{STORY}</div><div class=user-responses><h3>What you say</h3>{SAID}</div>", TOLD),
+    "dates without authors": (f"<article>{STORY}<div><time>1914</time><p>War.</p></div><div><time>1918</time><p>Peace.</p></div></article>",
+                              f"{TOLD}\n\n1914\n\nWar.\n\n1918\n\nPeace."),
+    "an author and a date": (f"<article><div><span class=author>Ann</span><time>May</time></div>{STORY}</article>", f"AnnMay\n\n{TOLD}"),
+    "posts by authors": (
+        "".join(f"<div class=post><span class=author>Ann</span><time>May</time>{STORY}</div>" for _ in range(1)), f"AnnMay\n\n{TOLD}"),
+}
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_layouts(layout):
+    body, text = LAYOUTS[layout]
+    assert html_text.main_text(f"<html><body><nav><a href=/>Home</a></nav>{body}<footer>Foot</footer></body></html>") == text
+
+
 @pytest.mark.parametrize("cut", range(1, 60, 7))
 def test_cut_off_page(cut):
     whole = page("<article><p>All of this is text.</p></article>", after=())
