@@ -116,7 +116,7 @@ def selected(spark, sf):
 WITH {BRIDGE_SQL} SELECT CAST(day AS VARCHAR) AS processing_start_date, xid,
   array_to_string(list_sort(list(segment_id)), ' ') AS segment_select FROM bridged GROUP BY day, xid""")
 def _(spark, sf):
-    return identity.user_segments(selected(spark, sf), *id_pairs(spark, sf))
+    return identity.user_segments(selected(spark, sf), *id_pairs(spark, sf), segments.known_segments(active(spark, sf)))
 
 
 @query("e06_membership_on_days", f"""
@@ -176,7 +176,7 @@ def _(spark, sf):
 WITH {BRIDGE_SQL} SELECT b.xid, CAST(b.day AS VARCHAR) AS processing_start_date, b.segment_id AS "group", a.segment_name
 FROM bridged b JOIN active a USING (segment_id)""")
 def _(spark, sf):
-    users = identity.user_segments(selected(spark, sf), *id_pairs(spark, sf))
+    users = identity.user_segments(selected(spark, sf), *id_pairs(spark, sf), segments.known_segments(active(spark, sf)))
     return segments.exploded_targets(users, active(spark, sf))
 
 

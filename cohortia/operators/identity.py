@@ -5,13 +5,17 @@ many ids never multiplies rows beyond the distinct pairs of the result; hot
 keys are split by adaptive skew joins (see ``session``).
 """
 
+import json
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortia.functions.ids import OFFLINE_ID_KINDS, keep_valid_xids
 
+#: Segments in one whole number.
+BITS = 64
+
 
 def user_ids(ids: DataFrame) -> DataFrame:
     """``date, xid, fullvisitor_id`` of valid user ids."""
@@ -83,30 +87,87 @@ def with_universal_id(users: DataFrame, vendor: DataFrame) -> DataFrame:
     return users.join(vendor, "universal_id")
 
 
-def bridge_segments(selected: DataFrame, mcid: DataFrame, xid: DataFrame) -> DataFrame:
+def bridge_segments(
+    selected: DataFrame, mcid: DataFrame, xid: DataFrame, known: list[int] | None = None
+) -> DataFrame:
     """Distinct ``processing_start_date, xid, group`` over mcid, visitor and xid.
 
-    ``selected`` holds ``processing_start_date, mcid, segment_select``.
+    See ``user_segments``; segments become rows only after the last merge.
     """
-    # segments travel as arrays over the first hop and are exploded where they are merged per visitor
-    linked = selected.join(mcid.select("mcid", "fullvisitor_id").distinct(), "mcid")
-    visitors = linked.select(
-        "processing_start_date", "fullvisitor_id", F.explode("segment_select").alias("group")
-    ).distinct()
-    return (
-        visitors.join(xid.select("xid", "fullvisitor_id").distinct(), "fullvisitor_id")
-        .select("processing_start_date", "xid", "group")
-        .distinct()
-    )
+    users = user_segments(selected, mcid, xid, known)
+    return users.select("processing_start_date", "xid", F.explode("segment_select").alias("group"))
 
 
-def user_segments(selected: DataFrame, mcid: DataFrame, xid: DataFrame) -> DataFrame:
+def user_segments(
+    selected: DataFrame, mcid: DataFrame, xid: DataFrame, known: list[int] | None = None
+) -> DataFrame:
     """One row per day and user with the sorted segments as an array.
 
-    An array holds at most the active segments, whatever the user's traffic.
+    ``selected`` holds ``processing_start_date, mcid, segment_select``; ``known``
+    the segments that occur there, looked up if it is not given.  They are a list
+    of active segments, short whatever the traffic.  A set of segments travels
+    as bits of a few whole numbers and is merged by ``bit_or``, in part before every
+    shuffle: no shuffle carries a row for each segment, and a visitor with very
+    many ids or days is merged where its rows are read.
     """
+    if known is None:
+        found = selected.select(F.explode("segment_select").alias("segment")).distinct().collect()
+        known = [row.segment for row in found]
+    known = sorted({segment for segment in known if segment is not None})
+    words = [f"_word_{i}" for i in range(-(-len(known) // BITS) or 1)]
+    keys = ["processing_start_date", "fullvisitor_id"]
+    places = selected.select("processing_start_date", "mcid", _places("segment_select", known).alias("places"))
+    bits = places.select("processing_start_date", "mcid", *_packed("places", words))
+    merged = [F.bit_or(word).alias(word) for word in words]
+    visitors = (
+        bits.join(mcid.select("mcid", "fullvisitor_id").distinct(), "mcid").groupBy(*keys).agg(*merged)
+    )
+    users = visitors.join(xid.select("xid", "fullvisitor_id").distinct(), "fullvisitor_id")
     return (
-        bridge_segments(selected, mcid, xid)
-        .groupBy("processing_start_date", "xid")
-        .agg(F.sort_array(F.collect_list("group")).alias("segment_select"))
+        users.groupBy("processing_start_date", "xid")
+        .agg(*merged)
+        .select("processing_start_date", "xid", _unpacked(known, words).alias("segment_select"))
+        .filter(F.size("segment_select") > 0)
     )
+
+
+def _places(column: str, known: list[int]) -> Column:
+    """The place of each segment of an array among the known ones, by a constant hash table."""
+    buckets: list[list[dict]] = [[] for _ in range(len(known) or 1)]
+    for place, segment in enumerate(known):
+        buckets[segment % len(buckets)].append({"id": segment, "place": place})
+    table = F.from_json(F.lit(json.dumps(buckets)), "array<array<struct<id:long,place:int>>>")
+
+    def place(segment):
+        held = F.get(table, F.pmod(segment, F.lit(len(buckets))).cast("int"))
+        found = F.get(F.filter(held, lambda entry: entry["id"] == segment), F.lit(0))["place"]
+        unknown = F.raise_error(F.concat(F.lit("unknown segment "), segment.cast("string")))
+        return F.coalesce(found, unknown.cast("int"))
+
+    return F.transform(F.filter(column, lambda segment: segment.isNotNull()), place)
+
+
+def _packed(places: str, words: list[str]) -> list[Column]:
+    """Places as bits of whole numbers."""
+    none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+
+    def bits(word):
+        here = F.filter(places, lambda p: p.between(word * BITS, word * BITS + BITS - 1))
+        return F.aggregate(
+            here, none, lambda held, p: held.bitwiseOR(F.call_function("shiftleft", one, p - word * BITS))
+        )
+
+    return [bits(i).alias(name) for i, name in enumerate(words)]
+
+
+def _unpacked(known: list[int], words: list[str]) -> Column:
+    """The segments whose bits are set, sorted."""
+    listed = [{"id": segment, "word": place // BITS, "bit": place % BITS} for place, segment in enumerate(known)]
+    entries = F.from_json(F.lit(json.dumps(listed)), "array<struct<id:int,word:int,bit:int>>")
+    held = F.array(*words)
+
+    def is_set(entry):
+        shifted = F.call_function("shiftright", F.get(held, entry["word"]), entry["bit"])
+        return shifted.bitwiseAND(F.lit(1).cast("long")) == 1
+
+    return F.transform(F.filter(entries, is_set), lambda entry: entry["id"])

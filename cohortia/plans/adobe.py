@@ -39,7 +39,8 @@ class SegmentTargets(VendorTargets):
         require_some_day(self.identity, self.date, self.identity_days)
         mcid, xid = id_maps(self.identity, self.date, self.identity_days)
         selected = seg.selected_segments(data, self.days, full)
-        return seg.named_targets(bridge_segments(selected, mcid, xid), active)
+        users = bridge_segments(selected, mcid, xid, seg.known_segments(active))
+        return seg.named_targets(users, active)
 
     def columns(self):
         return {

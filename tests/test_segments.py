@@ -1,5 +1,7 @@
 """Segment planning and the id bridge on small worked examples."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from tests.conftest import day, rows
@@ -87,6 +89,67 @@ def test_bridge_and_names(spark, membership, active):
     assert (X2, day("2021-02-02"), 40, "next") in rows(named)
 
 
+def plain_bridge(selected, mcid, xid):
+    """The bridge by rows of one segment each."""
+    one = selected.select("processing_start_date", "mcid", F.explode("segment_select").alias("group"))
+    return one.join(mcid, "mcid").join(xid, "fullvisitor_id").select("processing_start_date", "xid", "group").distinct()
+
+
+def many_members(spark):
+    """300 segments in five words, ids far apart, and one visitor with a third of all rows."""
+    rnd = random.Random(3)
+    known = sorted(rnd.sample(range(-500, 10**6), 300))
+    members = [
+        (day(f"2021-02-0{rnd.randrange(1, 5)}"), f"m{i}", rnd.sample(known, rnd.randrange(0, 9)) + known[-1:] * (i % 2))
+        for i in range(900)
+    ]
+    mcid = [(f"m{i}", "hot" if i % 3 == 0 else f"v{i % 50}") for i in range(900)] + [("m1", "v1"), ("m1", "v1")]
+    xid = [(f"x{i}", "hot" if i < 200 else f"v{i % 50}") for i in range(600)]
+    return (
+        spark.createDataFrame(members, "processing_start_date date, mcid string, segment_select array<int>"),
+        spark.createDataFrame(mcid, "mcid string, fullvisitor_id string"),
+        spark.createDataFrame(xid, "xid string, fullvisitor_id string"),
+        known,
+    )
+
+
+def test_bridge_by_bits_equals_rows_of_segments(spark):
+    selected, mcid, xid, known = many_members(spark)
+    expected = rows(plain_bridge(selected, mcid, xid))
+    assert rows(identity.bridge_segments(selected, mcid, xid, known)) == expected
+    assert rows(identity.bridge_segments(selected, mcid, xid)) == expected
+    users = identity.user_segments(selected, mcid, xid, known).collect()
+    assert all(row.segment_select == sorted(row.segment_select) for row in users)
+    assert rows(identity.user_segments(selected.limit(0), mcid, xid)) == {}
+    with pytest.raises(Exception, match="unknown segment"):
+        identity.user_segments(selected, mcid, xid, known[:-1]).collect()
+
+
+def test_bridge_shuffles_no_rows_of_segments_and_splits_hot_visitors(spark):
+    selected, mcid, xid, known = many_members(spark)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    hot = spark.range(20_000).selectExpr("concat('h', id) as xid", "'hot' as fullvisitor_id")
+    xid = xid.unionByName(hot)
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        users = identity.user_segments(selected.repartition(4), mcid, xid.repartition(4), known)
+        got = {(r[0], r[1]): r[2] for r in users.collect()}
+        plan = users._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert "skew=true" in plan and "explode" not in plan
+    assert sum(map(len, got.values())) == plain_bridge(selected, mcid, xid).count()
+
+
 def test_segment_targets_end_to_end(spark, membership, active, folder):
     pairs = [("1" * 38, "v1", "adobe_mcid"), (X1, "v1", "infinity_id"), ("bad", "v1", "infinity_id")]
     ids = spark.createDataFrame([(RUN, v, t, m) for m, v, t in pairs], "dt date, fullvisitor_id string, type string, mapped_id string")
