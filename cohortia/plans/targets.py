@@ -344,14 +344,20 @@ REGISTRY: dict[tuple[str, str | None], type[VendorTargets]] = {
 }
 
 
-def vendor_for(vendor: str, source: str | None, execution_date, **inputs) -> VendorTargets:
-    """Configured vendor for an execution date; ``inputs`` are its extra frames."""
+def vendor_for(
+    vendor: str, source: str | None, execution_date, first_party: str | None = None, **inputs
+) -> VendorTargets:
+    """Configured vendor for an execution date; ``inputs`` are its extra frames.
+
+    Source ``ga`` is the click log of ``first_party``; where that is not given, of
+    any vendor that is not registered for other sources.
+    """
     from cohortia.plans.adobe import SegmentTargets  # extends VendorTargets, so it comes after this module
 
     known = REGISTRY | {("adobe", "mcid"): SegmentTargets}
-    kind = known.get((vendor, source)) or (ClickLogGroups if source == "ga" else None)
-    if kind is None:
+    if (vendor, source) in known:
+        return known[vendor, source](run_date(vendor, execution_date), **inputs)
+    own = vendor == first_party if first_party else vendor not in {name for name, _ in known}
+    if source != "ga" or not own:
         raise KeyError(f"unknown vendor and source {vendor}/{source}")
-    if kind is ClickLogGroups:
-        inputs["label"] = vendor
-    return kind(run_date(vendor, execution_date), **inputs)
+    return ClickLogGroups(run_date(vendor, execution_date), label=vendor, **inputs)

@@ -116,6 +116,10 @@ def test_vendor_lookup_and_run_dates():
     assert (own.vendor, str(own.date)) == ("own", "2021-01-31")
     with pytest.raises(KeyError):
         vendors.vendor_for("dfp", "nothing", "2021-02-01")
+    assert vendors.vendor_for("own", "ga", "2021-02-01", first_party="own").vendor == "own"
+    for vendor, first_party in [("dfp", None), ("adobe", None), ("other", "own")]:
+        with pytest.raises(KeyError):
+            vendors.vendor_for(vendor, "ga", "2021-02-01", first_party=first_party)
 
 
 def test_aspects(spark):
