@@ -374,8 +374,9 @@ NULLED = "(SELECT xid, tid, CASE WHEN score >= 0.02 THEN score END AS score FROM
 
 
 def nulled_scores(spark, sf):
-    """Scores with the lowest ones missing."""
-    return v.v_scores(spark, sf).withColumn("score", F.when(F.col("score") >= 0.02, F.col("score")))
+    """Scores with the lowest ones missing; the bound has the scores' type, so a score of 0.02 is not one of them."""
+    bound = F.lit(0.02).cast("float")
+    return v.v_scores(spark, sf).withColumn("score", F.when(F.col("score") >= bound, F.col("score")))
 
 
 @query("g05_percent_rank", f"""
