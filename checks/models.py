@@ -175,7 +175,8 @@ RANGES = """coalesce(round(CAST(min(score) AS DOUBLE), 6), -1) AS min_score, coa
 
 
 def gappy(spark, sf):
-    return v.v_scores(spark, sf).withColumn("score", F.when(F.col("score") >= 0.02, F.col("score")))
+    bound = F.lit(0.02).cast("float")  # as a double it is larger than a score of 0.02
+    return v.v_scores(spark, sf).withColumn("score", F.when(F.col("score") >= bound, F.col("score")))
 
 
 def plain(table):
