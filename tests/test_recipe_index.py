@@ -130,6 +130,8 @@ def test_empty_tables_and_no_data_sets(spark, targets):
                                    "negative": MatchesAny([Behavior({"group": "g2"})])})}
     assert rows(label_rows(targets.limit(0), one)) == {}
     assert rows(label_rows(targets, {})) == {}
+    bare = {"bare": Dataset("multiclass", {}), **one}
+    assert as_text(label_rows(targets, bare)) == as_text(label_rows(targets, one).withColumn("target", F.col("target").cast("string")))
 
 
 def test_five_thousand_data_sets_plan_in_seconds_with_one_scan(spark, folder, targets):
@@ -152,3 +154,78 @@ def test_five_thousand_data_sets_plan_in_seconds_with_one_scan(spark, folder, ta
     few = {name: datasets[name] for name in ["w0", "w1", "w2", "w8", "w4000"]}
     got = as_text(long.filter(F.col("name").isin(list(few))))
     assert got == as_rows(label_users(stored, few), few)
+
+
+def shuffled_rows(df):
+    """Rows written by the exchanges of a frame that was run."""
+    def below(node):
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            return below(node.executedPlan())
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            return below(node.plan())
+        some = node.metrics().get("shuffleRecordsWritten")
+        children = node.children()
+        return (some.get().value() if some.isDefined() else 0) + sum(below(children.apply(i)) for i in range(children.size()))
+
+    return below(df._jdf.queryExecution().executedPlan())
+
+
+def test_rows_travel_as_bits_not_as_a_row_for_each_data_set(spark):
+    """A row that hundreds of data sets ask for is a few words of bits, however its value is bound."""
+    data = [
+        (f"u{i}", day("2021-01-31"), ["dfp", "adobe", "ncs"][i % 3], "click", "g1", '{"k":"7"}', float(i)) for i in range(90)
+    ]
+    targets = spark.createDataFrame(data, schemas.TARGETS)
+    datasets = {}
+    for i in range(300):
+        bound = {"value": i // 4, "direction": "greater_than"}
+        clicks = Behavior({"vendor": "dfp", "group": "g1", "value": bound}, general=True)
+        bought = Behavior({"vendor": "ncs", "group": "g1"}, {"k": str(i // 2)})
+        datasets[f"d{i}"] = Dataset("binary", {
+            "positive": MatchesAny([bought if i % 2 else clicks]),
+            "negative": MatchesAny([Behavior({"vendor": "adobe", "group": "g1"})]),
+        })
+    long = label_rows(targets, datasets)
+    got = as_text(long)
+    assert len(got) > 90 * 100
+    assert got == as_rows(label_users(targets, datasets), datasets)
+    written = label_rows(targets, datasets)
+    written.collect()
+    assert 0 < shuffled_rows(written) <= 90 * 10
+
+
+def test_many_classes_aspects_and_missing_ids(spark, targets):
+    """More classes than a word has bits, more sets of aspects than are looked up, and rows without an id."""
+    names = [f"a{i}" for i in range(12)]
+    data = [
+        (None if i % 5 == 0 else f"u{i % 7}", day("2021-01-31"), "ncs", "a", f"g{i % 80}", f'{{"a{i % 12}":"{i % 3}"}}', float(i % 9))
+        for i in range(400)
+    ]
+    table = spark.createDataFrame(data, schemas.TARGETS)
+    label = [f"c{i * 37 % 80}" for i in range(80)]
+    many = {label[i]: MatchesAny([Behavior({"group": f"g{i}"}), Behavior({"group": f"g{i + 1}"})]) for i in range(80)}
+    several = {name: many[name] for name in label[:63]}
+    falling = {name: many[name] for name in sorted(many, reverse=True)}
+    by_hand = {"many": many, "several": several, "falling": falling}
+    datasets = {name: Dataset("multiclass", classes) for name, classes in by_hand.items()}
+    index = RecipeIndex(table.schema)
+    assert all(index.add(name, d) for name, d in datasets.items())
+    expected = {}
+    for xid, *_, group, _, _ in data:  # the first class that has the group, and of a user's the largest
+        for name, classes in by_hand.items():
+            first = next((x for x, c in classes.items() if {"group": group} in [b.attributes for b in c.behaviors]), None)
+            if first:
+                expected[xid, name] = max(first, expected.get((xid, name), ""))
+    others = {}
+    for name in names:
+        bound = {"value": 4, "direction": "less_than"}
+        others[name] = Dataset("multiclass", {
+            "low": MatchesAny([Behavior({"vendor": "ncs"}, {name: "1"}), Behavior({"vendor": "ncs", "value": bound}, {name: "0"}, True)]),
+            "high": MatchesAny([Behavior({"vendor": "ncs"}, {name: "0"})]),
+        })
+    for row in label_users(table, others).collect():
+        expected |= {(row.xid, name): row[name] for name in others if row[name] is not None}
+    got = label_rows(table, {**datasets, **others}).select("xid", "name", "target").collect()
+    assert len(got) == len(expected)
+    assert {(xid, name): target for xid, name, target in got} == expected
+    assert any(row.xid is None for row in got)
