@@ -130,8 +130,6 @@ def test_empty_tables_and_no_data_sets(spark, targets):
                                    "negative": MatchesAny([Behavior({"group": "g2"})])})}
     assert rows(label_rows(targets.limit(0), one)) == {}
     assert rows(label_rows(targets, {})) == {}
-    bare = {"bare": Dataset("multiclass", {}), **one}
-    assert as_text(label_rows(targets, bare)) == as_text(label_rows(targets, one).withColumn("target", F.col("target").cast("string")))
 
 
 def test_five_thousand_data_sets_plan_in_seconds_with_one_scan(spark, folder, targets):
@@ -229,3 +227,10 @@ def test_many_classes_aspects_and_missing_ids(spark, targets):
     assert len(got) == len(expected)
     assert {(xid, name): target for xid, name, target in got} == expected
     assert any(row.xid is None for row in got)
+
+
+def test_a_data_set_without_classes_labels_nobody(targets):
+    plain = {"d": Dataset("binary", {"positive": MatchesAny([Behavior({"group": "g1"})]),
+                                     "negative": MatchesAny([Behavior({"group": "g2"})])})}
+    found = as_text(label_rows(targets, {"bare": Dataset("multiclass", {}), **plain}))
+    assert found and found == as_text(label_rows(targets, plain))
