@@ -124,12 +124,13 @@ def _clusters(nodes: DataFrame) -> DataFrame:
         .select("member", "bits", "i", "left", F.posexplode("right_keys").alias("j", "right"))
         .select(F.xxhash64("i", "j", "left", "right").alias("key"), "member", "bits")
     )
+    # Spark sizes exploded rows as if there were one for each node, and would collect them for a broadcast
     buckets = tables.groupBy("key").agg(F.min("member").alias("centre"), F.max("member").alias("most"))
-    centres = buckets.where("centre <> most").select("key", "centre").join(
+    centres = buckets.where("centre <> most").select("key", "centre").hint("merge").join(
         nodes.select(F.col("member").alias("centre"), F.col("bits").alias("centre_bits")), "centre"
     )
     near = F.bit_count(F.col("bits").bitwiseXOR(F.col("centre_bits"))) <= FAR_BITS
-    edges = tables.join(centres, "key").where(near & (F.col("member") != F.col("centre")))
+    edges = tables.hint("merge").join(centres, "key").where(near & (F.col("member") != F.col("centre")))
     # a member's centres, one a table at most, are tied to the least of them, so that many members share these edges
     tied = edges.groupBy("member").agg(F.collect_set("centre").alias("all")).withColumn("a", F.array_min("all"))
     between = tied.select("a", F.explode("all").alias("b")).where("a <> b").distinct()

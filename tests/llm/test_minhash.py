@@ -99,3 +99,18 @@ def test_components_of_a_path_and_a_star(spark):
     labels = graphs.components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r.root for r in labels if r.node < 100} == {0} and {r.root for r in labels if r.node > 100} == {1000}
     assert graphs.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("run", [minhash.one_of_each])
+def test_rows_of_tables_are_not_broadcast(spark, monkeypatch, run):
+    """Each node has a row a table, which Spark's estimate leaves out."""
+    plans = []
+
+    def noted(edges):
+        plans.append(edges._jdf.queryExecution().executedPlan().toString())
+        return graphs.components(edges)
+
+    monkeypatch.setattr(minhash, "components", noted)
+    rows = made(5)[:40]
+    assert run(spark.createDataFrame(rows, "doc_id long, text string")).count() > 0
+    assert "Generate posexplode" in plans[0] and "Broadcast" not in plans[0]
