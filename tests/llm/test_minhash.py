@@ -101,7 +101,7 @@ def test_components_of_a_path_and_a_star(spark):
     assert graphs.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-@pytest.mark.parametrize("run", [minhash.one_of_each])
+@pytest.mark.parametrize("run", [minhash.near_duplicates, minhash.one_of_each])
 def test_rows_of_tables_are_not_broadcast(spark, monkeypatch, run):
     """Each node has a row a table, which Spark's estimate leaves out."""
     plans = []
