@@ -1,16 +1,19 @@
 """Which stretches of texts repeat earlier ones, by messages between blocks and buckets.
 
 Texts lie in blocks of a few megabytes, seeds (kept by winnowing) in buckets by
-their hash. Every window of the given length holds a kept seed, and equal windows
-hold the same one at the same place, so what can repeat meets in a bucket.
+their hash. Every window of the given length keeps a seed, and equal windows
+keep the same one at the same place, so what can repeat meets in a bucket.
 
 1. A block sends each of its seeds with the hash of its context, that is all
-   windows around it, and the smallest document id that has it. Equal contexts
+   windows that keep it, and the smallest document id that has it. Equal contexts
    of a block are sent once, so a text copied a million times costs one message
-   a block.
+   a block. Two short hashes go with them, of the seed with the half of a
+   window's other symbols that lies before it, and of that behind it.
 2. A bucket tells the blocks which contexts also occur with a smaller id: all
-   their windows repeat. A seed that is left with several contexts may have
-   windows in common; their blocks are asked for them.
+   their windows repeat. Of the contexts that are left, two of one seed can have
+   a window in common only if one of their halves is equal, as a window reaches
+   that far to one side at least; blocks are asked for these. Most seeds that
+   texts share by chance, ever more in a larger corpus, have no such half.
 3. The blocks send these contexts, and the bucket decides window by window; how,
    is what the operators on top differ in.
 4. The blocks remove what the buckets named from their texts.
@@ -46,7 +49,7 @@ from cohortia.llm.sequences import (
 
 BLOCK_BYTES, BUCKET_BYTES = 1 << 21, 1 << 24
 LAST = np.int64((1 << 63) - 1)
-SEEDS = "bucket int, block int, seeds binary, contexts binary, docs binary"
+SEEDS = "bucket int, block int, seeds binary, contexts binary, halves binary, docs binary"
 CODES_SENT = "block int, bucket int, codes binary"
 ASKED = "bucket int, block int, seeds binary, docs binary, rows binary, places binary, payload binary"
 SPANS = "block int, begins binary, ends binary"
@@ -79,7 +82,7 @@ class Block:
 class Seeds:
     """A block's kept seeds in order of hash, context and place."""
 
-    seed: np.ndarray  # 48 bits
+    seed: np.ndarray  # 32 bits
     place: np.ndarray
     row: np.ndarray
     begin: np.ndarray  # of the context
@@ -87,6 +90,7 @@ class Seeds:
     group: np.ndarray  # number of the seed and context
     first: np.ndarray  # by group, its first entry
     context: np.ndarray  # by group
+    halves: np.ndarray  # by group, 16 bits for each side; 0 where no window reaches as far
     later: np.ndarray  # repeats an entry of its group
     stretches: Stretches
 
@@ -105,11 +109,9 @@ class Finder:
     def seeds(self, block: Block) -> Seeds:
         lengths = np.diff(block.offsets)
         stretches = Stretches(block.codes)
-        place = winnowed(stretches, np.repeat(block.offsets[1:], lengths), self.window, self.seed)
-        row = np.searchsorted(block.offsets, place, side="right") - 1
-        begin = np.maximum(block.offsets[row], place - (self.window - self.seed))
-        end = np.minimum(block.offsets[row + 1], place + self.window)
-        seed = stretches(place, place + self.seed) >> np.uint64(16)
+        place, begin, last = winnowed(stretches, np.repeat(block.offsets[1:], lengths), self.window, self.seed)
+        row, end = np.searchsorted(block.offsets, place, side="right") - 1, last + self.window
+        seed = stretches(place, place + self.seed) >> np.uint64(32)
         shape = ((place - begin) << 32 | (end - place)).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
         context = stretches(begin, end) ^ shape
         order = np.lexsort((place, context, seed))
@@ -121,10 +123,19 @@ class Finder:
         later = block.ids[row] > block.ids[row[first]][group] if len(row) else np.zeros(0, bool)
         if self.within:
             later[1:] |= ~new[1:] & (row[1:] == row[:-1])
-        return Seeds(seed, place, row, begin, end, group, first, context[first], later, stretches)
+        halves = self.halves(stretches, place[first], begin[first], end[first])
+        return Seeds(seed, place, row, begin, end, group, first, context[first], halves, later, stretches)
+
+    def halves(self, stretches: Stretches, place: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        reach = -(-(self.window - self.seed) // 2)
+        left, right = np.maximum(begin, place - reach), np.minimum(end, place + self.seed + reach)
+        short = lambda a, b: np.maximum(stretches(a, b) >> np.uint64(48), np.uint64(1)).astype(np.uint32)
+        before = np.where(place - left == reach, short(left, place + self.seed), np.uint32(0))
+        behind = np.where(right - place == self.seed + reach, short(place, right), np.uint32(0))
+        return before << np.uint32(16) | behind
 
     def bucket_of(self, seed: np.ndarray, buckets: int) -> np.ndarray:
-        return ((seed >> np.uint64(16)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        return (seed * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
 def _runs(values: np.ndarray):
@@ -173,25 +184,37 @@ def _send_seeds(finder: Finder, buckets: int):
         found = finder.seeds(block)
         seed, ids = found.seed[found.first], block.ids[found.row[found.first]].view(np.uint64) ^ np.uint64(1 << 63)
         rows = [
-            (bucket, packed_sorted(seed[a:b]), found.context[a:b].tobytes(), packed(ids[a:b]))
+            (bucket, packed_sorted(seed[a:b]), found.context[a:b].tobytes(), found.halves[a:b].tobytes(), packed(ids[a:b]))
             for bucket, a, b in _runs(finder.bucket_of(seed, buckets))
         ]
-        columns = list(zip(*rows, strict=True)) or [[]] * 4
+        columns = list(zip(*rows, strict=True)) or [[]] * 5
         number = table["block"][0].as_py()
         return pa.table(
             [pa.array(columns[0], pa.int32()), pa.array([number] * len(rows), pa.int32()),
              *[pa.array(c, pa.binary()) for c in columns[1:]]],
-            names=["bucket", "block", "seeds", "contexts", "docs"],
+            names=["bucket", "block", "seeds", "contexts", "halves", "docs"],
         )
 
     return run
 
 
+def _in_several(seed: np.ndarray, half: np.ndarray) -> np.ndarray:
+    """Which contexts, by the number of their seed, have a half that another context of the seed has."""
+    order = np.lexsort((half, seed))
+    seed, known = seed[order], half[order]
+    equal = (seed[1:] == seed[:-1]) & (known[1:] == known[:-1]) & (known[1:] > 0)
+    out = np.zeros(len(seed), bool)
+    out[order[1:]] = equal
+    out[order[:-1]] |= equal
+    return out
+
+
 def _judge_seeds(table: pa.Table) -> pa.Table:
     seeds = [unpacked_sorted(x.as_py()) for x in table["seeds"]]
     sizes = [len(x) for x in seeds]
     seed = np.concatenate(seeds)
     context = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in table["contexts"]])
+    halves = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in table["halves"]])
     doc = np.concatenate([unpacked(x.as_py()) for x in table["docs"]])
     del seeds
     codes = np.zeros(len(seed), np.uint8)
@@ -205,13 +228,15 @@ def _judge_seeds(table: pa.Table) -> pa.Table:
     seed, context, doc = seed[order], context[order], doc[order]
     within = np.lexsort((doc, context, seed))
     order, seed, context, doc = order[within], seed[within], context[within], doc[within]
+    halves = halves[order]
     if len(seed):
         new_seed = np.r_[True, seed[1:] != seed[:-1]]
         new = new_seed | np.r_[True, context[1:] != context[:-1]]
         group = np.cumsum(new) - 1
         first = np.flatnonzero(new)
-        several = np.add.reduceat(new.astype(np.int64), np.flatnonzero(new_seed)) > 1
-        code = np.where(doc > doc[first][group], COPY, np.where(several[np.cumsum(new_seed) - 1], EXTEND, 0))
+        of_seed, half = np.cumsum(new_seed)[first], halves[first]
+        meets = _in_several(of_seed, half >> np.uint32(16)) | _in_several(of_seed, half & np.uint32(0xFFFF))
+        code = np.where(doc > doc[first][group], COPY, np.where(meets[group], EXTEND, 0))
         codes[order] = code
     parts = np.split(codes, np.cumsum(sizes)[:-1])
     return pa.table(
@@ -281,9 +306,11 @@ def _decide(finder: Finder):
             order = np.lexsort((begin, sender[entry]))
             begin, of = begin[order], sender[entry][order]
             for block, a, b in _runs(of):
+                # windows that overlap or touch are one span
+                apart = np.flatnonzero(np.diff(begin[a:b]) > finder.window)
                 blocks.append(block)
-                begins.append(packed(begin[a:b]))
-                ends.append(packed(begin[a:b] + finder.window))
+                begins.append(packed(begin[a:b][np.r_[0, apart + 1]]))
+                ends.append(packed(begin[a:b][np.r_[apart, b - a - 1]] + finder.window))
         return pa.table(
             {"block": pa.array(blocks, pa.int32()), "begins": pa.array(begins, pa.binary()), "ends": pa.array(ends, pa.binary())}
         )
@@ -314,11 +341,13 @@ def without_repeats(
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # a byte is a symbol of its own, a word is several
     parts = 1 if finder.by_word else 2
-    blocks, buckets = (max(1, -(-size * parts // unit)) for unit in (BLOCK_BYTES, BUCKET_BYTES))
+    # each block sends a message to each bucket: with smaller buckets their number outgrows the texts
+    blocks, buckets = max(1, -(-size * parts // BLOCK_BYTES)), max(1, -(-size // BUCKET_BYTES))
     # by id alone: rows that repeat an id are compared inside their block
     blocked = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block"), *docs.columns)
     seeds = blocked.groupBy("block").applyInArrow(_send_seeds(finder, buckets), SEEDS)
     codes = seeds.groupBy("bucket").applyInArrow(_judge_seeds, CODES_SENT)
     asked = blocked.groupBy("block").cogroup(codes.groupBy("block")).applyInArrow(_send_contexts(finder, buckets), ASKED)
-    spans = asked.groupBy("bucket").applyInArrow(_decide(finder), SPANS)
+    # a bucket's work is far more than its bytes, by which Spark would join tasks
+    spans = asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_decide(finder), SPANS)
     return blocked.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(_finish(finder, output), schema)

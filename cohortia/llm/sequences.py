@@ -150,43 +150,43 @@ def sliding(op, values: np.ndarray, span: int) -> np.ndarray:
     return values
 
 
-def winnowed(stretches: Stretches, ends: np.ndarray, window: int, seed: int) -> np.ndarray:
-    """Places of the seeds that winnowing keeps.
+def winnowed(stretches: Stretches, ends: np.ndarray, window: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the seeds that winnowing keeps, and the first and last window that keeps each.
 
     ends: for each place the end of its text. Of the seeds (stretches of this
-    length) in a window the one of least hash is kept, and all equal to it, so
-    every window of one text holds a kept seed, and equal windows hold the same.
+    length) in a window the first of least hash is kept, so every window of one
+    text keeps a seed, and equal windows keep the same one at the same place.
     """
     n, span = len(ends), window - seed + 1
-    if n < window:
-        return np.zeros(0, np.int64)
-    order = (stretches.all_of(seed) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-    room = (ends - np.arange(n)).astype(np.int32)
-    order[room[: len(order)] < seed] = np.uint32(0xFFFFFFFF)
-    least = sliding(np.minimum, order, span)  # by the window's first place
-    least[room[: len(least)] < window] = 0
-    del room
-    padded = np.zeros(len(order) + span - 1, np.uint32)
-    padded[span - 1 : span - 1 + len(least)] = least
-    return np.flatnonzero(sliding(np.maximum, padded, span) == order)
+    starts = np.flatnonzero(ends - np.arange(n) >= window)
+    if not len(starts):
+        return starts, starts, starts
+    keys = stretches.all_of(seed) & np.uint64(0xFFFFFFFF00000000)
+    keys |= np.arange(len(keys), dtype=np.uint64)
+    kept = (sliding(np.minimum, keys, span)[starts] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    first = np.flatnonzero(np.r_[True, kept[1:] != kept[:-1]])
+    return kept[first], starts[first], starts[np.r_[first[1:], len(kept)] - 1]
 
 
 def packed(values: np.ndarray) -> bytes:
-    """64-bit numbers in as few bytes each as their range allows."""
+    """64-bit numbers in as few bytes each as their range allows; first the lowest byte of all, then the next."""
     if not len(values):
         return b""
     values = values.astype(np.uint64)
     least = values.min()
     values = values - least
-    kind = next(k for k in ("u1", "u2", "u4", "u8") if k == "u8" or values.max() < 1 << (8 * int(k[1])))
-    return kind.encode() + least.tobytes() + values.astype(f"<{kind}").tobytes()
+    width = max(1, -(-int(values.max()).bit_length() // 8))
+    low = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + least.tobytes() + low.T.tobytes()
 
 
 def unpacked(data: bytes) -> np.ndarray:
     if not data:
         return np.zeros(0, np.uint64)
-    least = np.frombuffer(data, np.uint64, 1, 2)
-    return np.frombuffer(data, f"<{data[:2].decode()}", offset=10).astype(np.uint64) + least
+    low = np.frombuffer(data, np.uint8, offset=9).reshape(data[0], -1)
+    values = np.zeros((low.shape[1], 8), np.uint8)
+    values[:, : data[0]] = low.T
+    return values.view("<u8")[:, 0].astype(np.uint64) + np.frombuffer(data, np.uint64, 1, 1)
 
 
 def packed_sorted(values: np.ndarray) -> bytes:

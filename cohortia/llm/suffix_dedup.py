@@ -128,33 +128,35 @@ def _contexts(window: int, seed: int):
 def _in_smaller(window: int):
     """Windows that a suffix array finds in a smaller document too."""
 
-    def decide(text: np.ndarray, lengths: np.ndarray, docs: np.ndarray, width: int) -> np.ndarray:
+    def decide(contexts: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        lengths = (contexts != END).sum(1)
+        text = contexts[np.arange(contexts.shape[1]) <= lengths[:, None]]  # one END each
+        starts = np.concatenate([[0], np.cumsum(lengths + 1)])
+        context = np.repeat(np.arange(len(contexts)), lengths + 1)
         order = suffix_order(text, window)
         # a window ends before its context does
-        order = order[order % width + window <= lengths[order // width]]
-        if not len(order):
-            return order
-        doc = docs[order // width]
+        order = order[order + window < starts[1:][context[order]]]
+        doc = docs[context[order]]
         new = common_prefixes(text, order, window) < window
-        new[0] = True
-        smallest = np.minimum.reduceat(doc, np.flatnonzero(new))[np.cumsum(new) - 1]
-        return order[doc > smallest]
+        new[:1] = True
+        if len(order):
+            smallest = np.minimum.reduceat(doc, np.flatnonzero(new))[np.cumsum(new) - 1]
+            order = order[doc > smallest]
+        return context[order], order - starts[context[order]]
 
     def run(asked: Asked) -> tuple[np.ndarray, np.ndarray]:
-        width = asked.payload.shape[1]
         by_seed = np.argsort(asked.seed, kind="stable")
         seed = asked.seed[by_seed]
         starts = np.flatnonzero(np.concatenate([[True], seed[1:] != seed[:-1]]))
         # equal windows share a seed, so arrays over whole seeds find them all
         cuts = np.unique(np.concatenate([starts[np.searchsorted(starts, np.arange(0, starts[-1] + 1, CONTEXTS))], [len(seed)]]))
-        found = [np.zeros(0, np.int64)]
+        entries, shifts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for begin, end in zip(np.r_[0, cuts[cuts > 0]][:-1], cuts[cuts > 0], strict=True):
             some = by_seed[begin:end]
-            contexts = asked.payload[some]
-            repeated = decide(contexts.reshape(-1), (contexts != END).sum(1), asked.doc[some], width)
-            found.append(some[repeated // width] * width + repeated % width)
-        places = np.concatenate(found)
-        return places // width, places % width
+            entry, shift = decide(asked.payload[some], asked.doc[some])
+            entries.append(some[entry])
+            shifts.append(shift)
+        return np.concatenate(entries), np.concatenate(shifts)
 
     return run
 

@@ -153,3 +153,33 @@ def test_texts_are_shuffled_once(spark, awkward):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ReusedExchange") >= 2
+
+
+def test_texts_that_share_less_than_half_of_a_window_send_no_contexts():
+    """A seed shared by chance is settled by the halves around it."""
+    import pyarrow as pa
+
+    from cohortia.llm.repeats import EXTEND, _judge_seeds, _send_seeds
+
+    finder = repeats.Finder(50, 16, False, False, None, None)
+    r = random.Random(7)
+    noise = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+
+    def codes(shared):
+        texts = [noise(200) + shared + noise(200) for _ in range(20)]
+        tables = [pa.table({"block": pa.array([k], pa.int32()), "doc_id": [k], "text": [t]}) for k, t in enumerate(texts)]
+        sent = pa.concat_tables([_send_seeds(finder, 1)(t) for t in tables])
+        return set(b"".join(x.as_py() for x in _judge_seeds(sent)["codes"]))
+
+    assert codes(noise(30)) == {0}
+    assert EXTEND in codes(noise(60))
+
+
+@pytest.mark.parametrize("bits", [1, 8, 9, 33, 63, 64])
+def test_numbers_take_as_few_bytes_as_their_range_allows(bits):
+    from cohortia.llm.sequences import packed, unpacked
+
+    values = np.random.default_rng(bits).integers(0, (1 << bits) - 1, 1000, np.uint64, endpoint=True)
+    values[:2] = 0, (1 << bits) - 1
+    assert (unpacked(packed(values)) == values).all()
+    assert len(packed(values)) <= 1000 * -(-bits // 8) + 16
